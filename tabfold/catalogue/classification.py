@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabfold.catalogue.registry import LINE_KEYS, registered
 from tabfold.functions import cast_label, threshold_label
 from tabfold.operators.features import assemble
-from tabfold.operators.models import decision_tree, logistic_regression
+from tabfold.operators.models import coefficients, decision_tree, logistic_regression
 from tabfold.operators.relational import project
 from tabfold.plans.classification import classify
 from tabfold.plans.sentiment import sentiment
@@ -100,7 +100,8 @@ newton(i, a, b) AS (
     GROUP BY i, a, b, total, ridge
   ) s
 )
-SELECT round(a, 5) AS intercept, round(b, 5) AS weight FROM newton WHERE i = 20
+SELECT 'intercept' AS term, round(a, 5) AS value FROM newton WHERE i = 20
+UNION ALL SELECT 'l_quantity', round(b, 5) FROM newton WHERE i = 20
 """
 
 
@@ -113,12 +114,8 @@ def logistic_fit(spark: SparkSession, folder: str) -> DataFrame:
     )
     vectors = assemble(lines, ["l_quantity"]).select("features", "label")
     # Run to convergence, so that the optimum itself can be compared.
-    model = logistic_regression(regParam=REG_PARAM, maxIter=200, tol=1e-9).fit(vectors)
-    # The fitted weights belong beside the rows they were fitted on.
-    return lines.agg(
-        F.round(F.first(F.lit(float(model.intercept))), 5).alias("intercept"),
-        F.round(F.first(F.lit(float(model.coefficients[0]))), 5).alias("weight"),
-    )
+    model = logistic_regression(regParam=REG_PARAM, maxIter=100, tol=1e-8).fit(vectors)
+    return coefficients(spark, model, ["l_quantity"]).withColumn("value", F.round("value", 5))
 
 
 @registered()

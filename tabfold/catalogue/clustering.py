@@ -76,7 +76,7 @@ def wssse_by_label(spark: SparkSession, folder: str) -> DataFrame:
 @registered(_silhouette_sql(LABELLED, "SELECT round(avg(s), 9) AS silhouette FROM scored"))
 def silhouette_by_label(spark: SparkSession, folder: str) -> DataFrame:
     score = op.silhouette(_labelled(spark, folder), "features", "label")
-    return score.select(F.round("silhouette", 9).alias("silhouette"))
+    return spark.createDataFrame([(round(score, 9),)], "silhouette double")
 
 
 @registered(

@@ -178,7 +178,7 @@ def _held_out_scores(spark: SparkSession, folder: str) -> DataFrame:
     assemble_stage = assembler(["l_quantity"])
     scale = minmax_scaler(assemble_stage.getOutputCol(), "normFeatures")
     line = linear_regression(scale.getOutputCol(), regParam=LAMBDA)
-    model = fit(chain(assemble_stage, scale, line), parts.train, ["l_quantity", "label"])
+    model = fit(chain(assemble_stage, scale, line), parts.train, ["features", "label"])
     return score(model, parts.test, *LINE_KEYS, "prediction", "trueLabel")
 
 
@@ -275,7 +275,5 @@ def ridge_search_rmse(spark: SparkSession, folder: str) -> DataFrame:
 @registered(_search_sql(FIVE, "SELECT round(rmse, 4) AS rmse FROM holdout"))
 def flight_like_regression(spark: SparkSession, folder: str) -> DataFrame:
     """The whole tuned workflow on five features: search, refit, held-out error."""
-    tuned = tuned_regression(
-        _lines(spark, folder, FIVE), FIVE, keys=LINE_KEYS, seed=SEED, parallelism=4
-    )
+    tuned = tuned_regression(_lines(spark, folder, FIVE), FIVE, keys=LINE_KEYS, seed=SEED)
     return tuned.rmse.select(F.round("rmse", 4).alias("rmse"))

@@ -1,20 +1,12 @@
 from tabfold.functions.hashing import hash_bucket
 from tabfold.functions.labels import cast_label, threshold_label
 from tabfold.functions.tokens import split_words, without_words, word_counts
-from tabfold.functions.vectors import (
-    as_array,
-    dot,
-    nearest_center,
-    rescale,
-    squared_distance,
-)
+from tabfold.functions.vectors import as_array, rescale, squared_distance
 
 __all__ = [
     "as_array",
     "cast_label",
-    "dot",
     "hash_bucket",
-    "nearest_center",
     "rescale",
     "split_words",
     "squared_distance",

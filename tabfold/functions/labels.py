@@ -15,5 +15,8 @@ def cast_label(column: str, on_bad: str = "error", to: str = "int") -> Column:
     if on_bad == "error":
         return F.col(column).cast(to)
     if on_bad == "null":
-        return F.col(column).try_cast(to)
+        # A failed cast raises inside and is slow; text without any digit is
+        # sorted out before, as no such text is a number.
+        text = F.col(column)
+        return F.when(text.cast("string").rlike("[0-9]"), text).try_cast(to)
     raise ValueError("on_bad must be 'error' or 'null'")

@@ -1,4 +1,4 @@
-"""Vector arithmetic on array<double> columns, inside generated code where it fits."""
+"""Vector arithmetic on array<double> columns."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 
 # Above this many terms a written-out sum makes generated methods too long for
 # the JVM's compiler, and a loop over a literal array is used.
-WRITTEN_OUT = 128
+WRITTEN_OUT = 32
 
 
 def as_array(vector: str) -> Column:
@@ -19,41 +19,14 @@ def as_array(vector: str) -> Column:
     return vector_to_array(F.col(vector), "float64")
 
 
-def _literal(values: Sequence[float]) -> Column:
-    return F.lit([float(v) for v in values])
-
-
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
-
-
-def dot(values: Column, weights: Sequence[float]) -> Column:
-    if len(weights) <= WRITTEN_OUT:
-        return reduce(add, [values[i] * F.lit(float(w)) for i, w in enumerate(weights)])
-    return _sum(F.zip_with(values, _literal(weights), lambda v, w: v * w))
-
-
-def squared_norm(values: Column, size: int) -> Column:
-    if size <= WRITTEN_OUT:
-        return reduce(add, [values[i] * values[i] for i in range(size)])
-    return _sum(F.transform(values, lambda v: v * v))
-
-
 def squared_distance(values: Column, point: Sequence[float]) -> Column:
     if len(point) <= WRITTEN_OUT:
         gaps = [values[i] - F.lit(float(p)) for i, p in enumerate(point)]
         return reduce(add, [g * g for g in gaps])
-    return _sum(F.zip_with(values, _literal(point), lambda v, p: (v - p) * (v - p)))
-
-
-def nearest_center(values: Column, centers: Sequence[Sequence[float]]) -> Column:
-    """Index of the closest centre; the first one on a tie."""
-    # The one-element array binds the distances to a name, so they are computed
-    # once and not for both uses.
-    distances = F.array(*[squared_distance(values, c) for c in centers])
-    return F.transform(
-        F.array(distances), lambda d: F.array_position(d, F.array_min(d)).cast("int") - F.lit(1)
-    )[0]
+    squares = F.zip_with(
+        values, F.lit([float(p) for p in point]), lambda v, p: (v - p) * (v - p)
+    )
+    return F.aggregate(squares, F.lit(0.0), lambda total, v: total + v)
 
 
 def rescale(column: Column, low: float, high: float) -> Column:

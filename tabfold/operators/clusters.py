@@ -2,34 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabfold.functions import as_array, dot, nearest_center, squared_distance
-from tabfold.functions.vectors import squared_norm
+from tabfold.functions import as_array, squared_distance
+from tabfold.operators.holding import held
 from tabfold.operators.tuning import best_row
 
-# Cluster statistics and centres are returned to the driver and written into the
-# plan as literals, so their total size is checked.
-MAX_CLUSTER_VALUES = 1_000_000
-
-
-@dataclass(frozen=True)
-class ClusterStats:
-    """Row count, vector sum and sum of squared norms of one cluster."""
-
-    n: int
-    total: np.ndarray
-    squares: float
-
 
 @dataclass(frozen=True)
 class Sweep:
@@ -47,132 +34,66 @@ class Sweep:
 # --- statistics per cluster --------------------------------------------------
 
 
-def cluster_stats(df: DataFrame, vector: str, groups: Sequence[str]) -> DataFrame:
-    """Vector statistics per cluster.
+def cluster_stats(df: DataFrame, vector: str, cluster: str) -> DataFrame:
+    """Rows (cluster, n, mean, spread), spread being the sum of squared distances
+    to the mean, from the running variance, so that large means do no harm.
 
-    ``spread`` is the sum of squared distances to the cluster's mean, from the
-    running variance, so it does not suffer from large means. The vectors are
-    summed in the map tasks: one partial row per cluster and task is shuffled,
-    however many rows one cluster holds.
+    The vectors are summed in the map tasks: one partial row per cluster and task
+    is shuffled, however many rows one cluster holds.
     """
-    wanted = Summarizer.metrics("count", "mean", "sum", "variance", "normL2")
-    stats = df.groupBy(*groups).agg(wanted.summary(F.col(vector)).alias("s"))
-    squares = F.aggregate(as_array("s.normL2"), F.lit(0.0), lambda t, v: t + v * v)
-    spread = F.aggregate(as_array("s.variance"), F.lit(0.0), lambda t, v: t + v)
+    wanted = Summarizer.metrics("count", "mean", "variance")
+    stats = df.groupBy(F.col(cluster).alias("cluster")).agg(
+        wanted.summary(F.col(vector)).alias("s")
+    )
+    variance = F.aggregate(as_array("s.variance"), F.lit(0.0), lambda t, v: t + v)
     return stats.select(
-        *groups,
+        "cluster",
         F.col("s.count").alias("n"),
         as_array("s.mean").alias("mean"),
-        as_array("s.sum").alias("total"),
-        squares.alias("squares"),
-        (spread * (F.col("s.count") - 1)).alias("spread"),
+        (variance * (F.col("s.count") - 1)).alias("spread"),
     )
 
 
-def _collect_stats(stats: DataFrame, groups: Sequence[str]) -> dict[tuple, ClusterStats]:
-    limited = stats.select(*groups, "n", "total", "squares").limit(MAX_CLUSTER_VALUES + 1)
-    found = {
-        tuple(r[g] for g in groups): ClusterStats(r["n"], np.array(r["total"]), r["squares"])
-        for r in limited.collect()
-    }
-    if sum(len(c.total) for c in found.values()) > MAX_CLUSTER_VALUES:
-        raise ValueError("too many clusters for their statistics to be held in the plan")
-    return found
-
-
 def wssse(df: DataFrame, vector: str, cluster: str) -> DataFrame:
     """Sum of squared distances to the own cluster's mean, in one pass."""
-    return cluster_stats(df, vector, [cluster]).agg(F.sum("spread").alias("wssse"))
+    return cluster_stats(df, vector, cluster).agg(F.sum("spread").alias("wssse"))
+
+
+def _with_distances(df: DataFrame, vector: str, centers: Sequence[Sequence[float]]) -> DataFrame:
+    """Add ``_distances``, the squared distances to each of the centres."""
+    # Two projections: the array is taken from the vector once per row.
+    distances = F.array(*[squared_distance(F.col("_values"), c) for c in centers])
+    return (
+        df.withColumn("_values", as_array(vector))
+        .withColumn("_distances", distances)
+        .drop("_values")
+    )
 
 
 def cost(df: DataFrame, vector: str, centers: Sequence[Sequence[float]]) -> DataFrame:
     """Sum of squared distances to the nearest of the given centres."""
-    values = as_array(vector)
-    closest = F.array_min(F.array(*[squared_distance(values, c) for c in centers]))
-    return df.agg(F.sum(closest).alias("cost"))
+    near = _with_distances(df.select(vector), vector, centers)
+    return near.agg(F.sum(F.array_min("_distances")).alias("cost"))
+
+
+def nearest(
+    df: DataFrame, vector: str, centers: Sequence[Sequence[float]], out: str = "prediction"
+) -> DataFrame:
+    """Assign rows to given centres by a plain expression, the first centre on a tie."""
+    place = F.array_position("_distances", F.array_min("_distances")).cast("int")
+    return _with_distances(df, vector, centers).withColumn(out, place - 1).drop("_distances")
 
 
 # --- silhouette --------------------------------------------------------------
 
 
-def _silhouette(
-    values: Column, norm: Column, cluster: Column, clusters: Mapping[object, ClusterStats]
-) -> Column:
-    """Silhouette of one row under squared Euclidean distance.
+def silhouette(df: DataFrame, vector: str = "features", cluster: str = "prediction") -> float:
+    """Mean silhouette under squared Euclidean distance, for two clusters or more.
 
-    The mean squared distance of x to the rows of a cluster is
-    |x|^2 + squares/n - 2 x.total/n, so no pair of rows is ever formed.
-    """
-    if len(clusters) < 2:
-        raise ValueError("silhouette needs at least two clusters")
-    keys = sorted(clusters)
-    means = F.array(
-        *[
-            norm
-            + F.lit(clusters[k].squares / clusters[k].n)
-            - dot(values, clusters[k].total * (2.0 / clusters[k].n))
-            for k in keys
-        ]
-    )
-    sizes = F.lit([float(clusters[k].n) for k in keys])
-    own_place = F.array_position(F.lit(list(keys)), cluster).cast("int")
-
-    def of_row(row: Column) -> Column:
-        own_n = F.element_at(sizes, row["own"])
-        inside = F.element_at(row["means"], row["own"]) * own_n / F.greatest(own_n - 1, F.lit(1.0))
-        nearest = F.array_min(
-            F.transform(row["means"], lambda m, i: F.when(i + 1 != row["own"], m))
-        )
-        return (
-            F.when(own_n == 1, F.lit(0.0))
-            .when(inside < nearest, 1 - inside / nearest)
-            .when(inside > nearest, nearest / inside - 1)
-            .otherwise(F.lit(0.0))
-        )
-
-    # The one-element array binds the mean distances, so they are computed once.
-    bound = F.array(F.struct(means.alias("means"), own_place.alias("own")))
-    return F.transform(bound, of_row)[0]
-
-
-def silhouette(df: DataFrame, vector: str, cluster: str) -> DataFrame:
-    """Mean silhouette of given cluster labels: a statistics pass and a scoring pass."""
-    stats = {k[0]: s for k, s in _collect_stats(cluster_stats(df, vector, [cluster]), [cluster]).items()}
-    size = len(next(iter(stats.values())).total)
-    values = as_array(vector)
-    score = _silhouette(values, squared_norm(values, size), F.col(cluster), stats)
-    return df.agg(F.avg(score).alias("silhouette"))
-
-
-def silhouettes(df: DataFrame, vector: str, clusterings: Mapping[int, str]) -> dict[int, float]:
-    """Mean silhouette of several cluster columns at once, in the same two passes.
-
-    A column with a single cluster scores null.
+    No pair of rows is formed: one pass sums up each cluster, and a second one
+    compares every row with these sums.
     """
-    runs = F.array(
-        *[
-            F.struct(F.lit(k).alias("run"), F.col(c).alias("cluster"))
-            for k, c in clusterings.items()
-        ]
-    )
-    long = df.select(vector, F.inline(runs))
-    collected = _collect_stats(cluster_stats(long, vector, ["run", "cluster"]), ["run", "cluster"])
-    by_run: dict[int, dict] = {k: {} for k in clusterings}
-    for (run, cluster), stats in collected.items():
-        by_run[run][cluster] = stats
-    size = len(next(iter(collected.values())).total)
-    values = as_array(vector)
-    norm = squared_norm(values, size)
-    usable = {k: s for k, s in by_run.items() if len(s) > 1}
-    if not usable:
-        return {k: None for k in clusterings}
-    row = df.agg(
-        *[
-            F.avg(_silhouette(values, norm, F.col(clusterings[k]), stats)).alias(f"run_{k}")
-            for k, stats in usable.items()
-        ]
-    ).first()
-    return {k: row[f"run_{k}"] if k in usable else None for k in clusterings}
+    return ClusteringEvaluator(featuresCol=vector, predictionCol=cluster).evaluate(df)
 
 
 # --- k-means -----------------------------------------------------------------
@@ -200,36 +121,28 @@ def kmeans_sweep(
 ) -> Sweep:
     """Fit and score every k: rows (k, silhouette, training_cost).
 
-    Only the feature vectors are held between the fits; lost blocks are
-    recomputed from the source. All silhouettes come from two shared passes.
+    Only the feature vectors are held between the passes. ``parallelism`` works
+    on that many values of k at a time. A fit that ends with a single cluster has
+    a null silhouette.
     """
-    spark = df.sparkSession
-    held = df.select(vector).persist(StorageLevel.MEMORY_AND_DISK)
     ks = list(ks)
-    try:
-        if parallelism > 1:
-            run = inheritable_thread_target(spark)(
-                lambda k: fit_kmeans(held, vector, k, seed, **params)
-            )
-            with ThreadPoolExecutor(parallelism) as pool:
-                models = dict(zip(ks, pool.map(run, ks)))
-        else:
-            models = {k: fit_kmeans(held, vector, k, seed, **params) for k in ks}
-        assigned = held
-        for k, model in models.items():
-            assigned = model.copy({model.predictionCol: f"_k{k}"}).transform(assigned)
-        scores = silhouettes(assigned, vector, {k: f"_k{k}" for k in ks})
-        rows = [(k, scores[k], float(models[k].summary.trainingCost)) for k in ks]
-    finally:
-        held.unpersist()
-    return Sweep(
-        models, spark.createDataFrame(rows, "k int, silhouette double, training_cost double")
-    )
+    with held(df, vector) as rows:
 
+        def run(k: int) -> tuple[KMeansModel, float | None]:
+            model = fit_kmeans(rows, vector, k, seed, **params)
+            several = len(model.clusterCenters()) > 1
+            return model, silhouette(model.transform(rows), vector) if several else None
 
-def nearest(df: DataFrame, vector: str, centers: Sequence[Sequence[float]], out: str = "prediction") -> DataFrame:
-    """Assign rows to given centres with a plain expression, first centre on a tie."""
-    return df.withColumn(out, nearest_center(as_array(vector), centers))
+        with ThreadPoolExecutor(parallelism) as pool:
+            results = list(pool.map(inheritable_thread_target(df.sparkSession)(run), ks))
+    models = {k: model for k, (model, _) in zip(ks, results)}
+    scores = [(k, s, float(m.summary.trainingCost)) for k, (m, s) in zip(ks, results)]
+    return Sweep(
+        models,
+        df.sparkSession.createDataFrame(
+            scores, "k int, silhouette double, training_cost double"
+        ),
+    )
 
 
 # --- tables about clusters ---------------------------------------------------
@@ -247,8 +160,8 @@ def model_centers(spark, model: KMeansModel) -> DataFrame:
 
 def group_centers(df: DataFrame, vector: str, cluster: str) -> DataFrame:
     """Mean vector of each cluster as rows (cluster, dim, value)."""
-    return cluster_stats(df, vector, [cluster]).select(
-        F.col(cluster).alias("cluster"), F.posexplode("mean").alias("dim", "value")
+    return cluster_stats(df, vector, cluster).select(
+        "cluster", F.posexplode("mean").alias("dim", "value")
     )
 
 

@@ -59,8 +59,8 @@ def assemble(
 
 def vector_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:
     """Vector elements as scalar columns, in place of the vector."""
-    values = as_array(vector)
-    return df.withColumns({n: values[i] for i, n in enumerate(names)}).drop(vector)
+    elements = {n: F.col("_values")[i] for i, n in enumerate(names)}
+    return df.withColumn("_values", as_array(vector)).withColumns(elements).drop("_values", vector)
 
 
 # --- min-max scaling on plain columns ----------------------------------------

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import takewhile
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import (
+    DecisionTreeClassifier,
+    LogisticRegression,
+    LogisticRegressionModel,
+)
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
+from tabfold.operators.holding import held
+
 
 def linear_regression(features: str = "features", label: str = "label", **params) -> LinearRegression:
     return LinearRegression(featuresCol=features, labelCol=label, **params)
@@ -38,17 +44,19 @@ def chain(*stages: Transformer | Estimator) -> Pipeline:
     return Pipeline(stages=list(stages))
 
 
-def fit(pipeline: Pipeline, train: DataFrame, columns: Sequence[str]) -> PipelineModel:
-    """Fit on the named columns only, held while the stages pass over them.
+def fit(pipeline: Pipeline, train: DataFrame, keep: Sequence[str]) -> PipelineModel:
+    """Fit a pipeline, holding only the columns that its estimators need.
 
-    Several stages each read the training rows; without the hold each of them
-    would scan and split the source again. Lost blocks are recomputed.
+    Leading stages that have nothing to learn run first; ``keep`` names the
+    columns that the stages after them read. The estimators then pass over these
+    and not over the source, which for texts means over hashed words.
     """
-    held = train.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return pipeline.fit(held)
-    finally:
-        held.unpersist()
+    stages = pipeline.getStages()
+    lead = list(takewhile(lambda s: isinstance(s, Transformer), stages))
+    prepared = PipelineModel(lead).transform(train) if lead else train
+    with held(prepared, *keep) as rows:
+        learned = Pipeline(stages=stages[len(lead) :]).fit(rows)
+    return PipelineModel([*lead, *learned.stages])
 
 
 def score(model: Transformer, test: DataFrame, *columns: str) -> DataFrame:
@@ -58,7 +66,9 @@ def score(model: Transformer, test: DataFrame, *columns: str) -> DataFrame:
 
 
 def coefficients(
-    spark: SparkSession, model: LinearRegressionModel, names: Sequence[str]
+    spark: SparkSession,
+    model: LinearRegressionModel | LogisticRegressionModel,
+    names: Sequence[str],
 ) -> DataFrame:
     """Fitted weights as rows (term, value), the intercept among them."""
     rows = [("intercept", float(model.intercept))]

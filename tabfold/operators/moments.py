@@ -92,6 +92,7 @@ def solve(rows: Moments, reg_param: float) -> RidgeFit:
 
 @dataclass(frozen=True)
 class RidgeSearch:
+    scores: list[float]
     metrics: DataFrame
     coefficients: DataFrame
     best: RidgeFit
@@ -121,6 +122,7 @@ def ridge_search(
     best = solve(Moments.union(parts), reg_params[pick])
     terms = [("intercept", best.intercept), *zip(features, map(float, best.weights))]
     return RidgeSearch(
+        scores=scores,
         metrics=spark.createDataFrame(
             [(i, float(r), s) for i, (r, s) in enumerate(zip(reg_params, scores))],
             "grid_index int, regParam double, metric double",

@@ -11,6 +11,8 @@ from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
+from tabfold.operators.holding import held
+
 
 @dataclass(frozen=True)
 class Search:
@@ -44,7 +46,8 @@ def cross_validate(
 
     With ``fold_column`` the folds are the given ones; otherwise rows are drawn
     at random with the required seed. ``parallelism`` fits that many grid points
-    at a time. Ties go to the first grid point.
+    at a time. Ties go to the first grid point. ``train`` should have no columns
+    beyond those used, as it is held while the search runs.
     """
     search = CrossValidator(
         estimator=estimator,
@@ -55,7 +58,8 @@ def cross_validate(
         parallelism=parallelism,
         **({"foldCol": fold_column} if fold_column else {}),
     )
-    fitted = search.fit(train)
+    with held(train, *train.columns) as rows:
+        fitted = search.fit(rows)
     scores = fitted.avgMetrics
     pick = max if evaluator.isLargerBetter() else min
     names = [p.name for p in points[0]]

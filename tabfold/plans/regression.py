@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabfold.operators.features import assembler, minmax_scaler
 from tabfold.operators.metrics import rmse, rmse_evaluator
-from tabfold.operators.models import chain, linear_regression, score
+from tabfold.operators.models import chain, fit, linear_regression, score
+from tabfold.operators.moments import MAX_FEATURES, ridge_search
 from tabfold.operators.relational import project
-from tabfold.operators.splits import with_hash_fold
+from tabfold.operators.splits import hash_fold
 from tabfold.operators.tuning import cross_validate, grid
 from tabfold.plans.holdout import Holdout, hold_out
 from tabfold.sources import FLIGHTS, read_csv
@@ -42,33 +43,57 @@ def tuned_regression(
     folds: int = 2,
     reg_params: Sequence[float] = REG_PARAMS,
     max_iters: Sequence[int] = MAX_ITERS,
+    refit_every_point: bool = False,
     parallelism: int = 1,
 ) -> TunedRegression:
     """Scale, fit, search penalty by iterations over the folds, score the held-out rows.
 
     ``data`` has the features and ``label``. With ``keys`` the split and the
     folds follow the key hash; otherwise both are drawn with ``seed``.
+
+    A linear fit of few features has a closed form, which makes the search one
+    pass over the training rows. The iteration limit then has no effect: grid
+    points that differ in it tie, and the first wins. ``refit_every_point``, and
+    more features than the one pass takes, run the general search instead.
     """
+    features = list(features)
     parts = hold_out(data, keys=keys, seed=None if keys else seed)
-    train = with_hash_fold(parts.train, keys, folds) if keys else parts.train
-    train = train.select(*features, "label", *(["fold"] if keys else []))
+    fold = hash_fold(keys, folds) if keys else F.floor(F.rand(seed) * folds).cast("int")
+    train = parts.train.withColumn("fold", fold).select(*features, "label", "fold")
     assemble = assembler(features)
     scale = minmax_scaler(assemble.getOutputCol(), "normFeatures")
     line = linear_regression(scale.getOutputCol())
-    search = cross_validate(
-        train,
-        chain(assemble, scale, line),
-        rmse_evaluator(),
-        grid([(line.regParam, reg_params), (line.maxIter, max_iters)]),
-        folds=folds,
-        seed=seed,
-        fold_column="fold" if keys else None,
-        parallelism=parallelism,
-    )
-    scored = score(search.best_model, parts.test, "normFeatures", "prediction", "trueLabel")
-    return TunedRegression(
-        parts, search.metrics, search.best_index, search.best_model, scored, rmse(scored, "trueLabel")
-    )
+    steps = chain(assemble, scale, line)
+    points = grid([(line.regParam, reg_params), (line.maxIter, max_iters)])
+    if refit_every_point or len(features) > MAX_FEATURES:
+        search = cross_validate(
+            train,
+            steps,
+            rmse_evaluator(),
+            points,
+            folds=folds,
+            seed=seed,
+            fold_column="fold",
+            parallelism=parallelism,
+        )
+        metrics, best_index, model = search.metrics, search.best_index, search.best_model
+    else:
+        scores = ridge_search(train, features, "label", "fold", reg_params).scores
+        by_point = [scores[reg_params.index(p[line.regParam])] for p in points]
+        best_index = by_point.index(min(by_point))
+        metrics = data.sparkSession.createDataFrame(
+            [
+                (i, float(p[line.regParam]), float(p[line.maxIter]), s)
+                for i, (p, s) in enumerate(zip(points, by_point))
+            ],
+            "grid_index int, regParam double, maxIter double, metric double",
+        )
+        line.setParams(
+            regParam=points[best_index][line.regParam], maxIter=points[best_index][line.maxIter]
+        )
+        model = fit(steps, train, ["features", "label"])
+    scored = score(model, parts.test, "normFeatures", "prediction", "trueLabel")
+    return TunedRegression(parts, metrics, best_index, model, scored, rmse(scored, "trueLabel"))
 
 
 def arrival_delay(spark: SparkSession, path: str, *, seed: int, **options) -> TunedRegression:

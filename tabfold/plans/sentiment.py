@@ -53,9 +53,11 @@ def sentiment(
         regParam=REG_PARAM,
         aggregationDepth=aggregation_depth,
     )
-    # All but the last stage only add columns, and the last holds what it needs
-    # while it iterates, so the texts themselves are not held.
-    fitted = chain(words, kept, hashed, model).fit(parts.train.select(text, "label"))
+    fitted = fit(
+        chain(words, kept, hashed, model),
+        parts.train.select(text, "label"),
+        ["features", "label"],
+    )
     return Sentiment(parts, fitted, score(fitted, parts.test))
 
 
