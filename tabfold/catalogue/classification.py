@@ -2,23 +2,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabfold.catalogue.registry import LINE_KEYS, registered
 from tabfold.functions import cast_label, threshold_label
-from tabfold.operators.features import assemble
-from tabfold.operators.models import coefficients, decision_tree, logistic_regression
+from tabfold.operators.features import assembler
+from tabfold.operators.models import chain, coefficients, decision_tree, fit, logistic_regression
 from tabfold.operators.relational import project
 from tabfold.plans.classification import classify
 from tabfold.plans.sentiment import sentiment
 from tabfold.sources import load_table
 
-PRICE_LIMIT = 45000
 REG_PARAM = 0.01
 
+# A line's "delay" follows its quantity, with the discount as noise.
+DELAY = "l_quantity + 200 * l_discount"
+DELAY_LIMIT = 35
+LATE_SQL = f"({DELAY} > {DELAY_LIMIT})"
+
+
+def _lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    lines = load_table(spark, folder, "lineitem").withColumn("delay", F.expr(DELAY))
+    return project(lines, *columns, label=threshold_label("delay", DELAY_LIMIT))
+
 
 # Best single split of a feature by Gini gain: impurity times size, summed over the
 # two sides, is smallest at the best threshold.
 STUMP = f"""
 WITH v AS (
   SELECT floor(l_quantity / 5)::integer AS step, count(*)::double AS n,
-    sum((l_extendedprice > {PRICE_LIMIT})::integer)::double AS pos
+    sum({LATE_SQL}::integer)::double AS pos
   FROM lineitem GROUP BY 1
 ),
 cuts AS (
@@ -42,14 +51,10 @@ FROM v, best
 
 @registered(STUMP)
 def tree_stump(spark: SparkSession, folder: str) -> DataFrame:
-    lines = project(
-        load_table(spark, folder, "lineitem"),
-        step=F.floor(F.col("l_quantity") / 5).cast("int"),
-        label=threshold_label("l_extendedprice", PRICE_LIMIT),
-    )
-    vectors = assemble(lines, ["step"])
-    model = decision_tree(maxDepth=1).fit(vectors.select("features", "label"))
-    return model.transform(vectors).groupBy("step", "prediction").agg(
+    step = F.floor(F.col("l_quantity") / 5).cast("int")
+    lines = _lines(spark, folder, "l_quantity").withColumn("step", step)
+    steps = chain(assembler(["step"]), decision_tree(maxDepth=1))
+    return fit(steps, lines, ["features", "label"]).transform(lines).groupBy("step", "prediction").agg(
         F.count("*").alias("n_rows")
     )
 
@@ -57,16 +62,8 @@ def tree_stump(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The seven-stage workflow; held-out rows with their predictions."""
-    lines = project(
-        load_table(spark, folder, "lineitem"),
-        *LINE_KEYS,
-        "l_returnflag",
-        "l_suppkey",
-        "l_quantity",
-        label=threshold_label("l_extendedprice", PRICE_LIMIT),
-    )
     result = classify(
-        lines,
+        _lines(spark, folder, *LINE_KEYS, "l_returnflag", "l_suppkey", "l_quantity"),
         "l_returnflag",
         ["l_linenumber", "l_suppkey"],
         ["l_quantity"],
@@ -81,7 +78,7 @@ def tree_scores(spark: SparkSession, folder: str) -> DataFrame:
 LOGISTIC = f"""
 WITH RECURSIVE g AS (
   SELECT l_quantity AS x, count(*)::double AS n,
-    sum((l_extendedprice > {PRICE_LIMIT})::integer)::double AS pos
+    sum({LATE_SQL}::integer)::double AS pos
   FROM lineitem GROUP BY 1
 ),
 c AS (SELECT count(*)::double AS total, {REG_PARAM} * var_samp(l_quantity) AS ridge FROM lineitem),
@@ -107,15 +104,11 @@ UNION ALL SELECT 'l_quantity', round(b, 5) FROM newton WHERE i = 20
 
 @registered(LOGISTIC)
 def logistic_fit(spark: SparkSession, folder: str) -> DataFrame:
-    lines = project(
-        load_table(spark, folder, "lineitem"),
-        "l_quantity",
-        label=threshold_label("l_extendedprice", PRICE_LIMIT),
-    )
-    vectors = assemble(lines, ["l_quantity"]).select("features", "label")
+    lines = _lines(spark, folder, "l_quantity")
     # Run to convergence, so that the optimum itself can be compared.
-    model = logistic_regression(regParam=REG_PARAM, maxIter=100, tol=1e-8).fit(vectors)
-    return coefficients(spark, model, ["l_quantity"]).withColumn("value", F.round("value", 5))
+    logit = logistic_regression(regParam=REG_PARAM, maxIter=100, tol=1e-8)
+    model = fit(chain(assembler(["l_quantity"]), logit), lines, ["features", "label"])
+    return coefficients(spark, model.stages[-1], ["l_quantity"]).withColumn("value", F.round("value", 5))
 
 
 @registered()

@@ -21,6 +21,8 @@ from tabfold.plans.regression import MAX_ITERS, REG_PARAMS, tuned_regression
 from tabfold.sources import load_table
 
 FIVE = ["l_quantity", "l_linenumber", "l_discount", "l_tax", "l_suppkey"]
+# A target that the features explain in part; the price adds noise.
+TARGET = "l_quantity + 200 * l_discount + 3 * l_linenumber + l_extendedprice / 5000"
 LAMBDA = 0.3
 SEED = 11
 
@@ -82,17 +84,17 @@ def _predicted(features: Sequence[str]) -> str:
 
 
 def _fit_sql(features: Sequence[str], penalty: float) -> str:
-    systems = f"SELECT 0 AS s, {_columns_sql(features)}, l_extendedprice AS y FROM lineitem"
+    systems = f"SELECT 0 AS s, {_columns_sql(features)}, {TARGET} AS y FROM lineitem"
     terms = [("intercept", "a")] + [(f, f"b{i}") for i, f in enumerate(features, start=1)]
     picked = " UNION ALL ".join(
-        f"SELECT '{t}' AS term, round({c}, 4) AS value FROM fits" for t, c in terms
+        f"SELECT '{t}' AS term, round({c}, 6) AS value FROM fits" for t, c in terms
     )
     return f"WITH RECURSIVE {_solve_sql(features, systems, [penalty])} {picked}"
 
 
 def _search_sql(features: Sequence[str], tail: str) -> str:
     """``scores`` (lam, metric) over two folds, ``chosen`` (lam), and ``holdout`` (rmse)."""
-    columns = f"{_columns_sql(features)}, l_extendedprice AS y"
+    columns = f"{_columns_sql(features)}, {TARGET} AS y"
     # Row set 0 and 1: everything but that fold. Row set 2: all training rows.
     systems = f"""
   SELECT t.s, v.* EXCLUDE (fold) FROM
@@ -121,10 +123,10 @@ GRID_SQL = ", ".join(
     for i, (r, m) in enumerate((r, m) for r in REG_PARAMS for m in MAX_ITERS)
 )
 METRICS_TAIL = f"""
-SELECT g.grid_index, g."regParam", g."maxIter", round(metric, 4) AS metric
+SELECT g.grid_index, g."regParam", g."maxIter", round(metric, 6) AS metric
 FROM (VALUES {GRID_SQL}) g(grid_index, "regParam", "maxIter") JOIN scores ON lam = g."regParam" """
 PENALTIES_TAIL = f"""
-SELECT g.grid_index, g."regParam", round(metric, 4) AS metric
+SELECT g.grid_index, g."regParam", round(metric, 6) AS metric
 FROM (VALUES {', '.join(f'({i}, {r}::double)' for i, r in enumerate(REG_PARAMS))})
   g(grid_index, "regParam") JOIN scores ON lam = g."regParam" """
 
@@ -135,14 +137,14 @@ FROM (VALUES {', '.join(f'({i}, {r}::double)' for i, r in enumerate(REG_PARAMS))
 def _lines(spark: SparkSession, folder: str, features: Sequence[str]) -> DataFrame:
     extra = [f for f in features if f not in LINE_KEYS]
     return project(
-        load_table(spark, folder, "lineitem"), *LINE_KEYS, *extra, label="l_extendedprice"
+        load_table(spark, folder, "lineitem"), *LINE_KEYS, *extra, label=F.expr(TARGET)
     )
 
 
 def _fitted(spark: SparkSession, folder: str, features: list[str], penalty: float) -> DataFrame:
     vectors = assemble(_lines(spark, folder, features), features).select("features", "label")
     model = linear_regression(regParam=penalty).fit(vectors)
-    return coefficients(spark, model, features).withColumn("value", F.round("value", 4))
+    return coefficients(spark, model, features).withColumn("value", F.round("value", 6))
 
 
 @registered(_fit_sql(["l_quantity"], 0.0))
@@ -168,7 +170,7 @@ def ridge_fit_5(spark: SparkSession, folder: str) -> DataFrame:
 # --- held-out rows -----------------------------------------------------------------
 
 HOLDOUT_SYSTEM = (
-    f"SELECT 0 AS s, {_columns_sql(['l_quantity'])}, l_extendedprice AS y "
+    f"SELECT 0 AS s, {_columns_sql(['l_quantity'])}, {TARGET} AS y "
     f"FROM lineitem WHERE {LINE_TRAIN_SQL}"
 )
 
@@ -184,21 +186,21 @@ def _held_out_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered(
     f"WITH RECURSIVE {_solve_sql(['l_quantity'], HOLDOUT_SYSTEM, [LAMBDA])} "
-    f'SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS "trueLabel", '
-    f"round(a + b1 * l_quantity, 4) AS prediction FROM lineitem, fits WHERE {LINE_TEST_SQL}"
+    f'SELECT l_orderkey, l_linenumber, l_partkey, {TARGET} AS "trueLabel", '
+    f"round(a + b1 * l_quantity, 6) AS prediction FROM lineitem, fits WHERE {LINE_TEST_SQL}"
 )
 def linear_predict(spark: SparkSession, folder: str) -> DataFrame:
-    return _held_out_scores(spark, folder).withColumn("prediction", F.round("prediction", 4))
+    return _held_out_scores(spark, folder).withColumn("prediction", F.round("prediction", 6))
 
 
 @registered(
     f"WITH RECURSIVE {_solve_sql(['l_quantity'], HOLDOUT_SYSTEM, [LAMBDA])} "
-    f"SELECT round(sqrt(avg((l_extendedprice - (a + b1 * l_quantity)) ** 2)), 4) AS rmse "
+    f"SELECT round(sqrt(avg(({TARGET} - (a + b1 * l_quantity)) ** 2)), 6) AS rmse "
     f"FROM lineitem, fits WHERE {LINE_TEST_SQL}"
 )
 def rmse_holdout(spark: SparkSession, folder: str) -> DataFrame:
     errors = rmse(_held_out_scores(spark, folder), "trueLabel")
-    return errors.select(F.round("rmse", 4).alias("rmse"))
+    return errors.select(F.round("rmse", 6).alias("rmse"))
 
 
 # --- search ------------------------------------------------------------------------
@@ -228,13 +230,13 @@ def _cross_validated(spark: SparkSession, folder: str):
 @registered(_search_sql(["l_quantity"], METRICS_TAIL))
 def cv_metrics(spark: SparkSession, folder: str) -> DataFrame:
     metrics = _cross_validated(spark, folder).metrics
-    return metrics.withColumn("metric", F.round("metric", 4))
+    return metrics.withColumn("metric", F.round("metric", 6))
 
 
 @registered(
     _search_sql(
         ["l_quantity"],
-        f"""SELECT g.grid_index, g."regParam", round(b1, 4) AS weight, round(a, 4) AS intercept
+        f"""SELECT g.grid_index, g."regParam", round(b1, 6) AS weight, round(a, 6) AS intercept
 FROM (SELECT min(grid_index) AS grid_index, min("regParam") AS "regParam"
       FROM (VALUES {GRID_SQL}) v(grid_index, "regParam", "maxIter")
       WHERE "regParam" = (SELECT lam FROM chosen)) g, fits
@@ -250,8 +252,8 @@ def cv_best(spark: SparkSession, folder: str) -> DataFrame:
     return search.metrics.where(F.col("grid_index") == search.best_index).select(
         "grid_index",
         "regParam",
-        F.round(F.lit(weight), 4).alias("weight"),
-        F.round(F.lit(line.intercept - weight * low), 4).alias("intercept"),
+        F.round(F.lit(weight), 6).alias("weight"),
+        F.round(F.lit(line.intercept - weight * low), 6).alias("intercept"),
     )
 
 
@@ -259,21 +261,21 @@ def cv_best(spark: SparkSession, folder: str) -> DataFrame:
 def ridge_search_metrics(spark: SparkSession, folder: str) -> DataFrame:
     train = _train_with_folds(spark, folder, FIVE)
     metrics = ridge_search(train, FIVE, "label", "fold", REG_PARAMS).metrics
-    return metrics.withColumn("metric", F.round("metric", 4))
+    return metrics.withColumn("metric", F.round("metric", 6))
 
 
-@registered(_search_sql(FIVE, "SELECT round(rmse, 4) AS rmse FROM holdout"))
+@registered(_search_sql(FIVE, "SELECT round(rmse, 6) AS rmse FROM holdout"))
 def ridge_search_rmse(spark: SparkSession, folder: str) -> DataFrame:
     """The one-pass search, refitted and scored on the held-out rows."""
     parts = hold_out(_lines(spark, folder, FIVE), keys=LINE_KEYS)
     best = ridge_search(
         with_hash_fold(parts.train, LINE_KEYS, 2), FIVE, "label", "fold", REG_PARAMS
     ).best
-    return rmse(predict(parts.test, best, FIVE), "trueLabel").select(F.round("rmse", 4).alias("rmse"))
+    return rmse(predict(parts.test, best, FIVE), "trueLabel").select(F.round("rmse", 6).alias("rmse"))
 
 
-@registered(_search_sql(FIVE, "SELECT round(rmse, 4) AS rmse FROM holdout"))
+@registered(_search_sql(FIVE, "SELECT round(rmse, 6) AS rmse FROM holdout"))
 def flight_like_regression(spark: SparkSession, folder: str) -> DataFrame:
     """The whole tuned workflow on five features: search, refit, held-out error."""
     tuned = tuned_regression(_lines(spark, folder, FIVE), FIVE, keys=LINE_KEYS, seed=SEED)
-    return tuned.rmse.select(F.round("rmse", 4).alias("rmse"))
+    return tuned.rmse.select(F.round("rmse", 6).alias("rmse"))

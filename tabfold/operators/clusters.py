@@ -99,10 +99,19 @@ def silhouette(df: DataFrame, vector: str = "features", cluster: str = "predicti
 # --- k-means -----------------------------------------------------------------
 
 
-def fit_kmeans(df: DataFrame, vector: str, k: int, seed: int, **params) -> KMeansModel:
+def _kmeans(rows: DataFrame, vector: str, k: int, seed: int, **params) -> KMeansModel:
     return KMeans(
         featuresCol=vector, predictionCol="prediction", k=k, seed=seed, **params
-    ).fit(df)
+    ).fit(rows)
+
+
+def fit_kmeans(df: DataFrame, vector: str, k: int, seed: int, **params) -> KMeansModel:
+    """One k-means fit, the feature vectors held while it iterates.
+
+    Centres depend on how rows lie in partitions, not on the seed alone.
+    """
+    with held(df, vector) as rows:
+        return _kmeans(rows, vector, k, seed, **params)
 
 
 def assign(df: DataFrame, model: KMeansModel) -> DataFrame:
@@ -129,7 +138,7 @@ def kmeans_sweep(
     with held(df, vector) as rows:
 
         def run(k: int) -> tuple[KMeansModel, float | None]:
-            model = fit_kmeans(rows, vector, k, seed, **params)
+            model = _kmeans(rows, vector, k, seed, **params)
             several = len(model.clusterCenters()) > 1
             return model, silhouette(model.transform(rows), vector) if several else None
 

@@ -1,0 +1,124 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tabfold.operators import clusters as op
+from tabfold.operators.features import assemble
+
+GROUPS = [(0.0, 0.0), (100.0, 0.0), (0.0, 100.0)]
+
+
+@pytest.fixture(scope="module")
+def grouped(spark):
+    rows = [
+        (i, g, cx + (i % 5), cy + (i % 3))
+        for g, (cx, cy) in enumerate(GROUPS)
+        for i in range(g * 100, g * 100 + 100)
+    ]
+    df = spark.createDataFrame(rows, "id int, g int, x double, y double")
+    return assemble(df, ["x", "y"])
+
+
+def pairwise_silhouette(rows):
+    """Silhouette by definition, over all pairs, for a small fixture."""
+
+    def gap(p, q):
+        return sum((a - b) ** 2 for a, b in zip(p, q))
+
+    scores = []
+    for i, (c, p) in enumerate(rows):
+        by = {}
+        for j, (d, q) in enumerate(rows):
+            if i != j:
+                by.setdefault(d, []).append(gap(p, q))
+        if c not in by:
+            scores.append(0.0)
+            continue
+        a = sum(by[c]) / len(by[c])
+        b = min(sum(v) / len(v) for d, v in by.items() if d != c)
+        scores.append((b - a) / max(a, b) if max(a, b) else 0.0)
+    return sum(scores) / len(scores)
+
+
+def test_silhouette_by_definition(spark):
+    rows = [(0, (1.0, 2.0)), (0, (2.0, 1.5)), (1, (8.0, 8.0)), (1, (3.0, 2.0)), (2, (50.0, 1.0))]
+    df = assemble(
+        spark.createDataFrame([(c, *p) for c, p in rows], "prediction int, x double, y double"),
+        ["x", "y"],
+    )
+    assert op.silhouette(df) == pytest.approx(pairwise_silhouette(rows), abs=1e-9)
+
+
+def test_sweep_finds_the_groups(spark, grouped):
+    sweep = op.kmeans_sweep(grouped, "features", range(2, 6), seed=0, parallelism=4)
+    rows = sweep.scores.orderBy("k").collect()
+    assert [r["k"] for r in rows] == [2, 3, 4, 5]
+    assert sweep.best().first()["k"] == 3
+    assert all(-1 <= r["silhouette"] <= 1 for r in rows)
+    costs = [r["training_cost"] for r in rows]
+    assert costs[0] > costs[1] >= costs[2] * 0.99
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+    model = sweep.best_model()
+    assigned = op.assign(grouped, model)
+    assert dict(assigned.dtypes)["prediction"] == "int"
+    assert assigned.count() == 300
+    assert assigned.groupBy("g").agg(F.countDistinct("prediction").alias("n")).where("n > 1").count() == 0
+
+    centers = [c.tolist() for c in model.clusterCenters()]
+    by_hand = op.nearest(grouped, "features", centers, "mine")
+    both = op.assign(by_hand, model)
+    assert both.where("mine <> prediction").count() == 0
+    assert op.cost(grouped, "features", centers).first()["cost"] == pytest.approx(
+        model.summary.trainingCost, rel=1e-9
+    )
+    assert op.wssse(assigned, "features", "prediction").first()["wssse"] == pytest.approx(
+        model.summary.trainingCost, rel=1e-9
+    )
+    table = op.model_centers(spark, model)
+    means = op.group_centers(assigned, "features", "prediction")
+    gap = table.alias("t").join(means.alias("m"), ["cluster", "dim"]).agg(
+        F.max(F.abs(F.col("t.value") - F.col("m.value"))), F.count("*")
+    ).first()
+    assert gap[0] < 1e-9 and gap[1] == 6
+
+
+def test_same_seed_and_layout_give_the_same_scores(grouped):
+    one, two = (
+        op.kmeans_sweep(grouped, "features", [2, 3], seed=4, parallelism=p).scores.collect()
+        for p in (1, 2)
+    )
+    # Partial sums are merged as tasks end, so the last digit may differ.
+    for a, b in zip(one, two, strict=True):
+        assert tuple(a) == pytest.approx(tuple(b), rel=1e-12)
+
+
+def test_fewer_points_than_clusters(spark):
+    df = assemble(spark.createDataFrame([(1.0,), (1.0,), (9.0,)], "x double"), ["x"])
+    assert len(op.fit_kmeans(df, "features", 5, 0).clusterCenters()) == 2
+    same = assemble(spark.createDataFrame([(1.0,), (1.0,)], "x double"), ["x"])
+    scores = op.kmeans_sweep(same, "features", [2], seed=0).scores.first()
+    assert scores["silhouette"] is None and scores["training_cost"] == 0.0
+
+
+def test_nearest_takes_the_first_on_a_tie_and_wide_vectors(spark):
+    df = assemble(spark.createDataFrame([(1.0,), (3.0,)], "x double"), ["x"])
+    got = op.nearest(df, "features", [(0.0,), (2.0,), (4.0,)]).orderBy("x").collect()
+    assert [r["prediction"] for r in got] == [0, 1]
+    wide = spark.range(2).select(
+        F.array(*[F.col("id").cast("double") + i for i in range(50)]).alias("a")
+    ).select(op.array_vector("a").alias("features"))
+    centers = [[float(i) + s for i in range(50)] for s in (0, 1)]
+    assert sorted(r["prediction"] for r in op.nearest(wide, "features", centers).collect()) == [0, 1]
+
+
+def test_stats_of_a_singleton(spark):
+    df = assemble(spark.createDataFrame([(0, 5.0), (1, 1.0), (1, 3.0)], "c int, x double"), ["x"])
+    rows = {r["cluster"]: r for r in op.cluster_stats(df, "features", "c").collect()}
+    assert rows[0]["n"] == 1 and rows[0]["spread"] == 0.0
+    assert rows[1]["mean"] == [2.0] and rows[1]["spread"] == pytest.approx(2.0)
+
+
+def test_profile(grouped):
+    rows = {r["g"]: r for r in op.cluster_profile(grouped, "g", ["x", "y"]).collect()}
+    assert rows[1]["n_rows"] == 100
+    assert (rows[1]["min_x"], rows[1]["max_x"], rows[1]["avg_x"]) == (100.0, 104.0, 102.0)

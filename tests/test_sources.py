@@ -1,0 +1,95 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType
+
+from tabfold.session import fresh_path, shared_dir
+from tabfold.sources import FLIGHTS, load_table, read_csv, register, require_not_null, sql
+
+FLIGHT_LINES = [
+    "DayofMonth,DayOfWeek,Carrier,OriginAirportID,DestAirportID,DepDelay,ArrDelay",
+    "19,5,DL,11433,13303,-3,1",
+    "19,5,AA,14869,12478,0,-8",
+]
+
+
+def write(tmp_path, lines, name="in.csv"):
+    path = tmp_path / name
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def test_all_columns_are_strings_without_schema_or_inference(spark, tmp_path):
+    df = read_csv(spark, write(tmp_path, FLIGHT_LINES))
+    assert {f.dataType for f in df.schema.fields} == {StringType()}
+    assert df.first()["DepDelay"] == "-3"
+
+
+def test_inferred_types(spark, tmp_path):
+    df = read_csv(spark, write(tmp_path, FLIGHT_LINES), infer=True)
+    assert dict(df.dtypes)["ArrDelay"] == "int"
+    assert dict(df.dtypes)["Carrier"] == "string"
+
+
+def test_declared_schema_and_separator(spark, tmp_path):
+    lines = [line.replace(",", ";") for line in FLIGHT_LINES]
+    df = read_csv(spark, write(tmp_path, lines), FLIGHTS, sep=";")
+    assert df.schema["DepDelay"].dataType == IntegerType()
+    assert [r["DepDelay"] for r in df.orderBy("DepDelay").collect()] == [-3, 0]
+
+
+def test_no_header(spark, tmp_path):
+    df = read_csv(spark, write(tmp_path, FLIGHT_LINES[1:]), FLIGHTS, header=False)
+    assert df.count() == 2
+
+
+def test_schema_and_inference_exclude_each_other(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read_csv(spark, write(tmp_path, FLIGHT_LINES), FLIGHTS, infer=True)
+
+
+def test_declared_non_null_columns_are_enforced(spark, tmp_path):
+    path = write(tmp_path, [*FLIGHT_LINES, "1,1,UA,1,2,,5"])
+    with pytest.raises(Exception, match="null in required column DepDelay"):
+        read_csv(spark, path, FLIGHTS).collect()
+    # A pruned column is not read, so it is not checked either.
+    assert read_csv(spark, path, FLIGHTS).select("Carrier").count() == 3
+
+
+def test_require_not_null_keeps_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    assert require_not_null(df, ["k"]).count() == 2
+    with pytest.raises(Exception, match="null in required column v"):
+        require_not_null(df, ["v"]).collect()
+
+
+def test_quotes_and_line_breaks(spark, tmp_path):
+    path = write(tmp_path, ["id,text", '1,"she said ""hi, you"" ok"', '2,"two', 'lines"'])
+    df = read_csv(spark, path, "id int, text string", escape='"', multiLine=True)
+    assert {r["id"]: r["text"] for r in df.collect()} == {
+        1: 'she said "hi, you" ok',
+        2: "two\nlines",
+    }
+
+
+def test_csv_filter_and_columns_reach_the_scan(spark, tmp_path, capsys):
+    df = read_csv(spark, write(tmp_path, FLIGHT_LINES), "a int, b int, c string, d int, e int, f int, g int")
+    df.where(F.col("a") == 19).select("b").explain()
+    plan = capsys.readouterr().out
+    assert "EqualTo(a,19)" in plan
+    assert "ReadSchema: struct<a:int,b:int>" in plan
+
+
+def test_views_are_read_by_name(spark, folder):
+    register(load_table(spark, folder, "nation"), "nations_by_name")
+    assert spark.table("nations_by_name").count() == 25
+    got = sql(
+        spark, "SELECT count(*) AS n FROM nations", nations=load_table(spark, folder, "nation")
+    )
+    assert got.first()["n"] == 25
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    used = shared_dir(spark)
+    assert named is None or used.removeprefix("file:").startswith(named.removeprefix("file:"))
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")
