@@ -117,7 +117,14 @@ def index_strings(
         hot = (F.col("_index") < HOT_LABELS) & (F.length("_label") <= HOT_LABEL_LENGTH)
         head = F.broadcast(table.where(hot))
         rest = df.join(head.select("_label"), on, "left_anti")
-        found = df.join(head, on, "inner").unionByName(rest.join(table.where(~hot), on, "left"))
+        # Nulls match nothing, and as join keys would all meet in one task.
+        tail = rest.where(F.col(column).isNotNull()).join(table.where(~hot), on, "left")
+        nulls = rest.where(F.col(column).isNull())
+        found = (
+            df.join(head, on, "inner")
+            .unionByName(tail)
+            .unionByName(nulls, allowMissingColumns=True)
+        )
     return _settle(found, F.col("_index"), column, out, size["n"], handle_invalid).drop(
         "_label", "_index"
     )

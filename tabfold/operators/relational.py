@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Spark trims each group inside the map tasks for row_number() limits up to this
-# size (spark.sql.optimizer.windowGroupLimitThreshold).
-TRIMMED_LIMIT = 1000
-SPREAD = 64
+from tabfold.operators.positions import with_position
+
+# Largest row_number() limit that Spark applies to each group in the map tasks.
+TRIM_SETTING, TRIM_DEFAULT = "spark.sql.optimizer.windowGroupLimitThreshold", "1000"
+BROADCAST_GROUPS = 100_000
 
 
 def project(df: DataFrame, *columns: str | Column, **renamed: str | Column) -> DataFrame:
@@ -41,22 +42,27 @@ def preview(df: DataFrame, n: int, order_by: list[str | Column]) -> DataFrame:
 def rows_per_group(df: DataFrame, group: str, n: int, order_by: list[str]) -> DataFrame:
     """First n rows of every group in one pass, with their position ``rn``.
 
-    For a small n Spark keeps at most n rows per group in each map task before it
-    shuffles, so a group that holds most rows stays cheap. For a larger n the
-    same is done by ranking inside hashed slices of the group first.
+    Up to a limit Spark keeps at most n rows per group in each map task before it
+    shuffles, so a group that holds most rows stays cheap. Beyond the limit the
+    rows are numbered by a distributed sort, and a group's first number is taken
+    off: no task ever holds a whole group.
     """
-    order = [F.col(c) for c in order_by]
-    if n > TRIMMED_LIMIT:
-        slice_ = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SPREAD)).alias("_slice")
-        within = Window.partitionBy(group, "_slice").orderBy(*order)
-        df = (
-            df.select("*", slice_)
-            .withColumn("_rn", F.row_number().over(within))
-            .where(F.col("_rn") <= n)
-            .drop("_slice", "_rn")
-        )
-    ranked = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= n)
+    spark = df.sparkSession
+    if n <= int(spark.conf.get(TRIM_SETTING, TRIM_DEFAULT)):
+        ranked = Window.partitionBy(group).orderBy(*order_by)
+        return df.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= n)
+    # The row id parts equal rows, which would all sort into one task.
+    told_apart = df.withColumn("_id_tie", F.monotonically_increasing_id())
+    numbered = with_position(told_apart, [F.col(c) for c in (group, *order_by, "_id_tie")], "_at")
+    starts = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("_at").alias("_start"))
+    if starts.count() <= BROADCAST_GROUPS:
+        starts = F.broadcast(starts)
+    return (
+        numbered.join(starts, F.col(group).eqNullSafe(F.col("_group")))
+        .withColumn("rn", (F.col("_at") - F.col("_start") + 1).cast("int"))
+        .where(F.col("rn") <= n)
+        .drop("_id_tie", "_at", "_group", "_start")
+    )
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:

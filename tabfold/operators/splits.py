@@ -36,10 +36,16 @@ def hash_split(
     if any(abs(e - c) > 1e-9 for e, c in zip(edges, cuts)):
         raise ValueError(f"weights {list(weights)} are no multiples of 1/{buckets}")
     bucket = hash_bucket(keys, buckets, draw=SPLIT_DRAW)
-    return [
-        df.where((bucket >= F.lit(low)) & (bucket < F.lit(high)))
-        for low, high in zip([0, *cuts], cuts)
-    ]
+
+    def inside(low: int, high: int) -> Column:
+        # One comparison each, so that a row is hashed once.
+        if low == 0:
+            return bucket < F.lit(high)
+        if high == buckets:
+            return bucket >= F.lit(low)
+        return F.pmod(bucket - low, F.lit(buckets)) < F.lit(high - low)
+
+    return [df.where(inside(low, high)) for low, high in zip([0, *cuts], cuts)]
 
 
 def hash_fold(keys: Sequence[str], folds: int) -> Column:

@@ -79,6 +79,16 @@ def test_rows_per_group_with_a_hot_group(spark, n):
     assert first["v"] == 0
 
 
+def test_rows_per_group_of_equal_rows_and_null_groups(spark):
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(1).alias("g"), F.lit(7).alias("v")
+    )
+    got = op.rows_per_group(df, "g", 1500, ["v"])
+    rows = got.groupBy("g").agg(F.count("*").alias("n"), F.countDistinct("rn").alias("d")).collect()
+    assert {(r["g"], r["n"], r["d"]) for r in rows} == {(None, 1500, 1500), (1, 1500, 1500)}
+    assert got.columns == ["g", "v", "rn"]
+
+
 def test_schema_table_counts_nulls(delays):
     rows = op.schema_table(delays.withColumn("s", F.lit("a"))).orderBy("position").collect()
     assert [tuple(r) for r in rows] == [(1, "v", "int", 1), (2, "s", "string", 0)]
