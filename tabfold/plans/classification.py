@@ -52,6 +52,7 @@ def classify(
     held-out rows to keep beside the predictions.
     """
     parts = hold_out(data, keys=keys, seed=None if keys else seed)
+    # Column names of the stages are those of the workflow's output.
     named = string_indexer(name, f"{name}Idx", handle_invalid)
     gathered = assembler([named.getOutputCol(), *categories], "catFeatures")
     indexed = category_indexer(

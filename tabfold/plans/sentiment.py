@@ -15,9 +15,12 @@ from tabfold.operators.text import HASHED_SIZE, stop_word_remover, term_hasher,
 from tabfold.plans.holdout import Holdout, hold_out
 from tabfold.sources import read_csv
 
-# Iteration limit and penalty of the classifier.
+# Iteration limit and penalty of the classifier, and the names of
+# the word columns in the scored tweets.
 MAX_ITER = 10
 REG_PARAM = 0.01
+WORDS_COLUMN = "SentimentWords"
+KEPT_COLUMN = "MeaningfulWords"
 
 
 @dataclass(frozen=True)
@@ -36,16 +39,20 @@ def sentiment(
     *,
     keys: Sequence[str] | None = None,
     seed: int = 0,
+    words_column: str = "words",
+    kept_column: str = "kept_words",
     size: int = HASHED_SIZE,
     aggregation_depth: int = 2,
 ) -> Sentiment:
     """Words, less stop words, hashed and counted, then logistic regression.
 
-    ``data`` has the text and an int ``label``.
+    ``data`` has the text and an int ``label``. Each iteration merges a gradient
+    of ``size`` numbers per task; with very many tasks raise
+    ``aggregation_depth``.
     """
     parts = hold_out(data, keys=keys, seed=None if keys else seed)
-    words = tokenizer(text, "words")
-    kept = stop_word_remover(words.getOutputCol(), "kept_words")
+    words = tokenizer(text, words_column)
+    kept = stop_word_remover(words.getOutputCol(), kept_column)
     hashed = term_hasher(kept.getOutputCol(), "features", size)
     model = logistic_regression(
         hashed.getOutputCol(),
@@ -68,4 +75,11 @@ def tweet_sentiment(spark: SparkSession, path: str, *, seed: int, **options) ->
     """
     tweets = read_csv(spark, path, infer=True, escape='"')
     data = project(tweets, "SentimentText", label=cast_label("Sentiment"))
-    return sentiment(data, "SentimentText", seed=seed, **options)
+    return sentiment(
+        data,
+        "SentimentText",
+        seed=seed,
+        words_column=WORDS_COLUMN,
+        kept_column=KEPT_COLUMN,
+        **options,
+    )

@@ -127,6 +127,9 @@ def test_tweet_sentiment(spark, tmp_path):
     scored = result.predictions("SentimentText")
     assert scored.columns == ["SentimentText", "prediction", "trueLabel"]
     assert scored.where("prediction <> trueLabel").count() == 0
+    assert {"SentimentWords", "MeaningfulWords", "features", "rawPrediction"} <= set(
+        result.scored.columns
+    )
     for r in result.scored.select("probability", "prediction").collect():
         p = r["probability"].toArray()
         assert p.sum() == pytest.approx(1.0) and r["prediction"] == float(p[1] > 0.5)
