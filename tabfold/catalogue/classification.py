@@ -1,6 +1,6 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.catalogue.registry import LINE_KEYS, registered
+from tabfold.catalogue.registry import LINE_KEYS, LINE_TRAIN_SQL, registered
 from tabfold.functions import cast_label, threshold_label
 from tabfold.operators.features import assembler
 from tabfold.operators.models import chain, coefficients, decision_tree, fit, logistic_regression
@@ -54,9 +54,8 @@ def tree_stump(spark: SparkSession, folder: str) -> DataFrame:
     step = F.floor(F.col("l_quantity") / 5).cast("int")
     lines = _lines(spark, folder, "l_quantity").withColumn("step", step)
     steps = chain(assembler(["step"]), decision_tree(maxDepth=1))
-    return fit(steps, lines, ["features", "label"]).transform(lines).groupBy("step", "prediction").agg(
-        F.count("*").alias("n_rows")
-    )
+    scored = fit(steps, lines, ["features", "label"]).transform(lines)
+    return scored.groupBy("step", "prediction").agg(F.count("*").alias("n_rows"))
 
 
 @registered()
@@ -73,6 +72,98 @@ def tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     return result.predictions.drop("features")
 
 
+# A tree in SQL, level by level, over one row per distinct combination of features.
+# A node is cut where the two sides' summed impurity is least; categories are first
+# ordered by their number of late rows, which is the ML library's order for two
+# classes. Every distinct quantity is a candidate, as the tree gets more bins than
+# there are quantities.
+TREE_DEPTH, TREE_BINS = 5, 64
+TREE_LATE = "l_quantity + 200 * l_discount + 3 * l_linenumber + 300 * l_tax"
+TREE_LIMIT = 60
+QUANTITY = 4
+TREE_FEATURES = {1: "ascii(l_returnflag)", 2: "l_linenumber", 3: "l_tax", QUANTITY: "l_quantity"}
+
+
+def _tree_level(d: int) -> str:
+    values = " UNION ALL ".join(
+        f"SELECT node, {f} AS f, x{f}::double AS v, sum(n) AS n, sum(pos) AS pos "
+        f"FROM r{d} WHERE n > 0 GROUP BY node, x{f}"
+        for f in TREE_FEATURES
+    )
+    return f"""
+o{d} AS (
+  SELECT node, f, v, row_number() OVER w AS rk, sum(n) OVER w AS ln, sum(pos) OVER w AS lp,
+    sum(n) OVER (PARTITION BY node, f) AS tn, sum(pos) OVER (PARTITION BY node, f) AS tp
+  FROM ({values}) u
+  WINDOW w AS (PARTITION BY node, f ORDER BY CASE f WHEN {QUANTITY} THEN v ELSE pos END, v
+               ROWS UNBOUNDED PRECEDING)
+),
+c{d} AS (
+  SELECT node, f, rk FROM (
+    SELECT *, lp * (1 - lp / ln) + (tp - lp) * (1 - (tp - lp) / (tn - ln)) AS impurity
+    FROM o{d} WHERE ln < tn) q
+  WHERE tp * (1 - tp / tn) - impurity > 1e-9
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY impurity, f, rk) = 1
+),
+b{d} AS (
+  SELECT c.node, c.f, list(o.v) AS lefts, max(o.v) AS top
+  FROM c{d} c JOIN o{d} o ON o.node = c.node AND o.f = c.f AND o.rk <= c.rk GROUP BY 1, 2
+),
+r{d + 1} AS (
+  SELECT r.* EXCLUDE (node), CASE
+    WHEN b.node IS NULL THEN r.node
+    WHEN b.f = {QUANTITY} AND x{QUANTITY} <= top THEN 2 * r.node
+    WHEN b.f < {QUANTITY} AND list_contains(lefts, (CASE b.f
+      {' '.join(f'WHEN {f} THEN x{f}' for f in TREE_FEATURES)} END)::double) THEN 2 * r.node
+    ELSE 2 * r.node + 1 END AS node
+  FROM r{d} r LEFT JOIN b{d} b ON b.node = r.node
+)"""
+
+
+TREE = f"""
+WITH rows_ AS (
+  SELECT {', '.join(LINE_KEYS)}, {', '.join(f'{e} AS x{f}' for f, e in TREE_FEATURES.items())},
+    {LINE_TRAIN_SQL} AS train, {TREE_LATE} > {TREE_LIMIT} AS late
+  FROM lineitem
+),
+r1 AS (
+  SELECT {', '.join(f'x{f}' for f in TREE_FEATURES)}, 1 AS node,
+    sum(train::integer)::double AS n, sum((train AND late)::integer)::double AS pos
+  FROM rows_ GROUP BY {', '.join(f'x{f}' for f in TREE_FEATURES)}
+),
+{','.join(_tree_level(d) for d in range(1, TREE_DEPTH + 1))},
+leaves AS (SELECT node, sum(pos) > sum(n - pos) AS late FROM r{TREE_DEPTH + 1} GROUP BY node)
+SELECT {', '.join(LINE_KEYS)}, leaves.late::integer::double AS prediction,
+  rows_.late::integer::double AS "trueLabel"
+FROM rows_ JOIN r{TREE_DEPTH + 1} USING ({', '.join(f'x{f}' for f in TREE_FEATURES)})
+JOIN leaves USING (node) WHERE NOT train
+"""
+
+
+@registered(TREE)
+def tree_workflow(spark: SparkSession, folder: str) -> DataFrame:
+    """The seven-stage workflow on features whose every value is a candidate cut."""
+    lines = load_table(spark, folder, "lineitem").withColumn("late", F.expr(TREE_LATE))
+    result = classify(
+        project(
+            lines,
+            *LINE_KEYS,
+            "l_returnflag",
+            "l_tax",
+            "l_quantity",
+            label=threshold_label("late", TREE_LIMIT),
+        ),
+        "l_returnflag",
+        ["l_linenumber", "l_tax"],
+        ["l_quantity"],
+        keys=LINE_KEYS,
+        carry=LINE_KEYS,
+        maxDepth=TREE_DEPTH,
+        maxBins=TREE_BINS,
+    )
+    return result.predictions.drop("features")
+
+
 # Newton steps to the penalised optimum, over one row per distinct feature value.
 # The penalty applies to the weight on the standardised feature, not to the intercept.
 LOGISTIC = f"""
@@ -108,7 +199,8 @@ def logistic_fit(spark: SparkSession, folder: str) -> DataFrame:
     # Run to convergence, so that the optimum itself can be compared.
     logit = logistic_regression(regParam=REG_PARAM, maxIter=100, tol=1e-8)
     model = fit(chain(assembler(["l_quantity"]), logit), lines, ["features", "label"])
-    return coefficients(spark, model.stages[-1], ["l_quantity"]).withColumn("value", F.round("value", 5))
+    weights = coefficients(spark, model.stages[-1], ["l_quantity"])
+    return weights.withColumn("value", F.round("value", 5))
 
 
 @registered()
