@@ -26,15 +26,28 @@ def random_split(
     return (freeze(df) if keep else df).randomSplit(list(weights), seed=seed)
 
 
+def _cuts(weights: Sequence[float], buckets: int) -> list[int]:
+    """Upper bucket bound of each part."""
+    edges = [buckets * w / sum(weights) for w in accumulate(weights)]
+    cuts = [round(e) for e in edges]
+    if any(abs(e - c) > 1e-9 for e, c in zip(edges, cuts)):
+        raise ValueError(f"weights {list(weights)} are no multiples of 1/{buckets}")
+    return cuts
+
+
+def hash_part(keys: Sequence[str], weights: Sequence[float], *, buckets: int = 10) -> Column:
+    """Number of the part, 0 for the first weight, that ``hash_split`` puts a row in."""
+    # A lookup by bucket, so that a row is hashed once.
+    cuts = _cuts(weights, buckets)
+    part_of = [sum(b >= c for c in cuts) for b in range(buckets)]
+    return F.lit(part_of)[hash_bucket(keys, buckets, draw=SPLIT_DRAW)]
+
+
 def hash_split(
     df: DataFrame, keys: Sequence[str], weights: Sequence[float], *, buckets: int = 10
 ) -> list[DataFrame]:
     """Parts by key hash: no shuffle, no sort, same rows in any layout or engine."""
-    total = sum(weights)
-    edges = [buckets * w / total for w in accumulate(weights)]
-    cuts = [round(e) for e in edges]
-    if any(abs(e - c) > 1e-9 for e, c in zip(edges, cuts)):
-        raise ValueError(f"weights {list(weights)} are no multiples of 1/{buckets}")
+    cuts = _cuts(weights, buckets)
     bucket = hash_bucket(keys, buckets, draw=SPLIT_DRAW)
 
     def inside(low: int, high: int) -> Column:

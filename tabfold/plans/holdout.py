@@ -7,24 +7,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabfold.operators.relational import rename
-from tabfold.operators.splits import hash_split, random_split
+from tabfold.operators.relational import rename, union_all
+from tabfold.operators.splits import hash_part, hash_split, random_split
 
 WEIGHTS = (0.7, 0.3)
+PARTS = ("train", "test")
 
 
 @dataclass(frozen=True)
 class Holdout:
     train: DataFrame
     test: DataFrame
+    tagged: DataFrame
 
     def counts(self) -> DataFrame:
-        """Row counts of both parts as one table, in one job."""
-        tagged = [
-            part.select(F.lit(name).alias("part"))
-            for name, part in (("train", self.train), ("test", self.test))
-        ]
-        return tagged[0].unionByName(tagged[1]).groupBy("part").agg(F.count("*").alias("n_rows"))
+        """Row counts of both parts as one table."""
+        return self.tagged.groupBy("part").agg(F.count("*").alias("n_rows"))
 
 
 def hold_out(
@@ -39,5 +37,12 @@ def hold_out(
     """Split by key hash, or at random by seed; the test label is renamed."""
     if (keys is None) == (seed is None):
         raise ValueError("give key columns or a seed, one of them")
-    parts = hash_split(data, keys, weights) if keys is not None else random_split(data, weights, seed)
-    return Holdout(parts[0], rename(parts[1], label, true_label))
+    if keys is not None:
+        parts = hash_split(data, keys, weights)
+        # One scan tells the parts apart.
+        number = hash_part(keys, weights)
+        tagged = data.select(F.element_at(F.lit(list(PARTS)), number + 1).alias("part"))
+    else:
+        parts = random_split(data, weights, seed)
+        tagged = union_all([p.select(F.lit(n).alias("part")) for n, p in zip(PARTS, parts)])
+    return Holdout(parts[0], rename(parts[1], label, true_label), tagged)

@@ -59,6 +59,11 @@ def test_hash_split_moves_nothing(spark, folder):
         assert "Exchange" not in plan_of(part) and "Sort" not in plan_of(part)
 
 
+def test_split_counts_take_one_scan(spark, folder):
+    plan = plan_of(queries()["hash_split_counts"](spark, folder))
+    assert plan.count("FileScan") == 1
+
+
 def test_preview_is_a_top_n(spark, folder):
     plan = plan_of(preview(load_table(spark, folder, "orders"), 5, ["o_totalprice"]))
     assert "TakeOrderedAndProject" in plan

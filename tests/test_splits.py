@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from tabfold.operators.splits import hash_fold, hash_split, random_split, with_hash_fold
+from tabfold.operators.splits import hash_fold, hash_part, hash_split, random_split, with_hash_fold
 from tabfold.plans.holdout import hold_out
 
 
@@ -29,6 +29,8 @@ def test_hash_split_joins_keys_and_takes_finer_weights(spark):
     assert {(r["a"]) for r in parts[0].collect()} == {
         i for i in range(300) if bucket(f"{i}-k{i % 3}", 100) < 25
     }
+    numbered = df.withColumn("part", hash_part(["a", "b"], [1, 1, 2], buckets=100))
+    assert [numbered.where(F.col("part") == i).count() for i in range(3)] == counts
     with pytest.raises(ValueError):
         hash_split(df, ["a"], [0.75, 0.25])
 
@@ -59,6 +61,9 @@ def test_hold_out_renames_the_test_label_and_counts(spark):
     assert "label" in parts.train.columns and "trueLabel" in parts.test.columns
     counts = {r["part"]: r["n_rows"] for r in parts.counts().collect()}
     assert counts == {"train": parts.train.count(), "test": parts.test.count()}
+    drawn = hold_out(df, seed=2)
+    counts = {r["part"]: r["n_rows"] for r in drawn.counts().collect()}
+    assert counts == {"train": drawn.train.count(), "test": drawn.test.count()}
     with pytest.raises(ValueError):
         hold_out(df)
     with pytest.raises(ValueError):
