@@ -234,3 +234,24 @@ def kmeans_rows(spark: SparkSession, folder: str) -> DataFrame:
     assigned = op.assign(vectors, model).select("o_orderkey", "band", "prediction")
     shown = rows_per_group(assigned, "prediction", 10, ["o_orderkey"])
     return shown.select("band", "o_orderkey", "rn")
+
+
+@registered(
+    f"SELECT {TRAITS_SQL['band']} AS center_band, count(*) AS n_rows, "
+    + ", ".join(
+        f"round(avg({TRAITS_SQL[t]}), 6) AS avg_{t}, min({TRAITS_SQL[t]})::double AS min_{t}, "
+        f"max({TRAITS_SQL[t]})::double AS max_{t}"
+        for t in TRAITS[1:]
+    )
+    + " FROM orders GROUP BY 1"
+)
+def kmeans_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Size, mean and range of every trait per fitted cluster."""
+    vectors, model = _five_clusters(spark, folder)
+    profile = op.cluster_profile(op.assign(vectors, model), "prediction", TRAITS)
+    averages = {f"avg_{t}": F.round(f"avg_{t}", 6) for t in TRAITS[1:]}
+    return (
+        profile.withColumns(averages)
+        .withColumn("center_band", F.round("avg_band").cast("int"))
+        .drop("prediction", "avg_band", "min_band", "max_band")
+    )

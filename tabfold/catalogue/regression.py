@@ -18,7 +18,7 @@ from tabfold.operators.splits import with_hash_fold
 from tabfold.operators.tuning import cross_validate, grid
 from tabfold.plans.holdout import hold_out
 from tabfold.plans.regression import MAX_ITERS, REG_PARAMS, tuned_regression
-from tabfold.sources import load_table
+from tabfold.sources import load_table, sql
 
 FIVE = ["l_quantity", "l_linenumber", "l_discount", "l_tax", "l_suppkey"]
 # A target that the features explain in part; the price adds noise.
@@ -193,6 +193,20 @@ def linear_predict(spark: SparkSession, folder: str) -> DataFrame:
     return _held_out_scores(spark, folder).withColumn("prediction", F.round("prediction", 6))
 
 
+@registered(
+    f"WITH RECURSIVE {_solve_sql(['l_quantity'], HOLDOUT_SYSTEM, [LAMBDA])} "
+    f'SELECT {TARGET} AS "trueLabel", round(a + b1 * l_quantity, 6) AS prediction '
+    f"FROM lineitem, fits WHERE {LINE_TEST_SQL}"
+)
+def predictions_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions read back by name through SQL."""
+    return sql(
+        spark,
+        "SELECT trueLabel, round(prediction, 6) AS prediction FROM predicted_lines",
+        predicted_lines=_held_out_scores(spark, folder),
+    )
+
+
 @registered(
     f"WITH RECURSIVE {_solve_sql(['l_quantity'], HOLDOUT_SYSTEM, [LAMBDA])} "
     f"SELECT round(sqrt(avg(({TARGET} - (a + b1 * l_quantity)) ** 2)), 6) AS rmse "

@@ -78,6 +78,12 @@ def filter_equals(spark: SparkSession, folder: str) -> DataFrame:
     return op.filter_equals(vectors, "label", 0).select("vec_id", "label")
 
 
+@registered("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def filter_sql(spark: SparkSession, folder: str) -> DataFrame:
+    orders = load_table(spark, folder, "orders")
+    return op.filter_sql(orders, "o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus")
+
+
 @registered(
     "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10"
 )

@@ -34,6 +34,11 @@ def filter_equals(df: DataFrame, column: str, value: int | float | str) -> DataF
     return df.where(F.col(column) == F.lit(value))
 
 
+def filter_sql(df: DataFrame, condition: str) -> DataFrame:
+    """Rows that meet a condition written in SQL, such as ``"prediction = 3"``."""
+    return df.where(condition)
+
+
 def preview(df: DataFrame, n: int, order_by: list[str | Column]) -> DataFrame:
     """First n rows in a stated order: a top-n per task, merged, never a full sort."""
     return df.orderBy(*order_by).limit(n)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tabfold.operators.clusters import (
     Sweep,
@@ -61,9 +62,17 @@ def segment(
     )
 
 
-def segment_customers(spark: SparkSession, path: str, **options) -> Segmentation:
-    """The workflow on a customers CSV file."""
+def segment_customers(
+    spark: SparkSession, path: str, *, schema: StructType | None = None, **options
+) -> Segmentation:
+    """The workflow on a customers CSV file.
+
+    Types are inferred, at the cost of reading the file once more, unless a
+    schema such as ``CUSTOMERS`` is given.
+    """
     customers = sql(
-        spark, "SELECT * FROM customers_csv", customers_csv=read_csv(spark, path, infer=True)
+        spark,
+        "SELECT * FROM customers_csv",
+        customers_csv=read_csv(spark, path, schema, infer=schema is None),
     )
     return segment(customers, CUSTOMER_FEATURES, **options)

@@ -68,12 +68,16 @@ def sentiment(
     return Sentiment(parts, fitted, score(fitted, parts.test))
 
 
-def tweet_sentiment(spark: SparkSession, path: str, *, seed: int, **options) -> Sentiment:
+def tweet_sentiment(
+    spark: SparkSession, path: str, *, seed: int, infer: bool = False, **options
+) -> Sentiment:
     """The workflow on a tweets CSV file.
 
-    Doubled quotes inside a quoted text are read as one quote.
+    The label is cast from text, which spares the pass over the file that type
+    inference takes; labels written as decimals need ``infer=True``. Doubled
+    quotes inside a quoted text are read as one quote.
     """
-    tweets = read_csv(spark, path, infer=True, escape='"')
+    tweets = read_csv(spark, path, infer=infer, escape='"')
     data = project(tweets, "SentimentText", label=cast_label("Sentiment"))
     return sentiment(
         data,

@@ -1,8 +1,9 @@
 from tabfold.sources.delimited import read_csv, require_not_null
 from tabfold.sources.named import load_table, register, sql
-from tabfold.sources.schemas import CUSTOMER_FEATURES, FLIGHTS
+from tabfold.sources.schemas import CUSTOMER_FEATURES, CUSTOMERS, FLIGHTS
 
 __all__ = [
+    "CUSTOMERS",
     "CUSTOMER_FEATURES",
     "FLIGHTS",
     "load_table",

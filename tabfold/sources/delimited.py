@@ -22,12 +22,16 @@ def read_csv(
 
     A declared schema is the form for large inputs: inference reads the whole
     input once more (``samplingRatio`` shortens that pass, at the risk of a type
-    that is too narrow). Text with doubled quotes needs ``escape='"'``. Text with
+    that is too narrow). A header that does not match the schema fails the query.
+    Text with doubled quotes needs ``escape='"'``. Text with
     line breaks needs ``multiLine=True``, which stops Spark from splitting a file
     among tasks, so such inputs should come as many files of moderate size.
     """
     if schema is not None and infer:
         raise ValueError("give a schema or ask for inference, not both")
+    if schema is not None and header:
+        # Compare the header with the declared names instead of going by position.
+        options.setdefault("enforceSchema", False)
     reader = spark.read.format("csv").options(header=header, sep=sep, **options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
     df = reader.load(path)

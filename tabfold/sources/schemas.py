@@ -32,3 +32,11 @@ CUSTOMER_FEATURES = (
     "Cars",
 )
 
+
+# The customers file as described; for files in this column order.
+CUSTOMERS = StructType(
+    [
+        StructField("CustomerName", StringType()),
+        *[StructField(name, IntegerType()) for name in CUSTOMER_FEATURES],
+    ]
+)

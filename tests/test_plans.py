@@ -12,7 +12,7 @@ from tabfold.plans import (
     tweet_sentiment,
 )
 from tabfold.session import fresh_path
-from tabfold.sources import CUSTOMER_FEATURES, FLIGHTS, load_table
+from tabfold.sources import CUSTOMER_FEATURES, CUSTOMERS, FLIGHTS, load_table
 
 
 @pytest.fixture(scope="module")
@@ -105,7 +105,10 @@ def test_segment_customers(spark, folder):
     for i, name in enumerate(CUSTOMER_FEATURES, start=2):
         picked.setdefault(name, (F.col("c_custkey") % i).cast("int"))
     path = fresh_path(spark, "customers")
-    customers.select(*[c.alias(n) for n, c in picked.items()]).write.option("header", True).csv(path)
+    rows = customers.select(*[picked[f].alias(f) for f in CUSTOMERS.fieldNames()])
+    rows.write.option("header", True).csv(path)
+    declared = segment_customers(spark, path, schema=CUSTOMERS, seed=0, ks=[5])
+    assert declared.centers.count() == 5 * 10
     found = segment_customers(spark, path, seed=0, parallelism=5)
     assert found.sweep.scores.count() == 5
     assert found.best.first()["k"] == 5 and found.best.first()["silhouette"] > 0.99999
@@ -123,6 +126,8 @@ def test_tweet_sentiment(spark, tmp_path):
         lines.append(f'{i},{i % 2},"{text}"')
     path = tmp_path / "tweets.csv"
     path.write_text("\n".join(lines) + "\n")
+    inferred = tweet_sentiment(spark, str(path), seed=1, size=64, infer=True)
+    assert inferred.holdout.train.count() + inferred.holdout.test.count() == 300
     result = tweet_sentiment(spark, str(path), seed=1, size=4096)
     scored = result.predictions("SentimentText")
     assert scored.columns == ["SentimentText", "prediction", "trueLabel"]

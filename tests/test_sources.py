@@ -37,6 +37,12 @@ def test_declared_schema_and_separator(spark, tmp_path):
     assert [r["DepDelay"] for r in df.orderBy("DepDelay").collect()] == [-3, 0]
 
 
+def test_header_must_match_the_declared_schema(spark, tmp_path):
+    lines = [FLIGHT_LINES[0].replace("DepDelay,ArrDelay", "ArrDelay,DepDelay"), *FLIGHT_LINES[1:]]
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, write(tmp_path, lines), FLIGHTS).collect()
+
+
 def test_no_header(spark, tmp_path):
     df = read_csv(spark, write(tmp_path, FLIGHT_LINES[1:]), FLIGHTS, header=False)
     assert df.count() == 2
@@ -72,11 +78,11 @@ def test_quotes_and_line_breaks(spark, tmp_path):
 
 
 def test_csv_filter_and_columns_reach_the_scan(spark, tmp_path, capsys):
-    df = read_csv(spark, write(tmp_path, FLIGHT_LINES), "a int, b int, c string, d int, e int, f int, g int")
-    df.where(F.col("a") == 19).select("b").explain()
+    df = read_csv(spark, write(tmp_path, FLIGHT_LINES), infer=True)
+    df.where(F.col("DayofMonth") == 19).select("DayOfWeek").explain()
     plan = capsys.readouterr().out
-    assert "EqualTo(a,19)" in plan
-    assert "ReadSchema: struct<a:int,b:int>" in plan
+    assert "EqualTo(DayofMonth,19)" in plan
+    assert "ReadSchema: struct<DayofMonth:int,DayOfWeek:int>" in plan
 
 
 def test_views_are_read_by_name(spark, folder):
