@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import url_filter
+from tabfold.llm import mixing, url_filter
 from tabfold.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -53,3 +53,67 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE rank = 1) USING (seq)
 def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(table(spark, folder, "pages"), rules, keep=["page_id"])
+
+
+# The draw of the mix: 13 hex digits of md5 as a number between 0 and 1.
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint AS size,
+    (('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || '-42'), 1, 13))::bigint::double + 0.5)
+      / 4503599627370496.0 AS draw
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::bigint AS source_size,
+    ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)]::double AS weight
+  FROM sized GROUP BY source
+), roomed AS (
+  SELECT *, 3.0::double * source_size AS cap, 3.0::double * source_size / weight AS room FROM sources
+), levelled AS (
+  SELECT *, (sum(source_size::double) OVER ()
+      - coalesce(sum(cap) OVER (ORDER BY room, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / (sum(weight) OVER ()
+      - coalesce(sum(weight) OVER (ORDER BY room, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    AS level
+  FROM roomed
+), targets AS (
+  SELECT source, source_size,
+    coalesce(least(cap, weight * (SELECT arg_min(level, room) FROM levelled WHERE level <= room)), cap) AS target
+  FROM levelled
+), rated AS (
+  SELECT doc_id, s.source, size, source_size, target, draw,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::double END AS rate
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), ranked AS (
+  SELECT *, target - floor(rate) * source_size AS words,
+    draw / (draw + (1.0::double - draw) * ((rate - floor(rate)) / (1.0::double - (rate - floor(rate))) * 1.0::double)) AS rank
+  FROM rated
+), units AS (
+  SELECT source, words, rank, size, sum(size) AS n FROM ranked GROUP BY ALL
+), summed AS (
+  SELECT *, coalesce(sum(n) OVER (PARTITION BY source ORDER BY rank, size), 0) AS upto FROM units
+), first_ones AS (
+  SELECT *, size > 0 AND words > 0 AND upto <= words AS taken FROM summed
+), gaps AS (
+  SELECT source, words - coalesce(max(CASE WHEN upto <= words THEN upto END), 0) AS gap FROM first_ones GROUP BY source, words
+), closing AS (
+  SELECT f.source, arg_min({'rank': rank, 'size': size, 'n': n, 'gap': gap}, (abs(gap - size), rank, size)) AS c
+  FROM first_ones f JOIN gaps g ON f.source IS NOT DISTINCT FROM g.source
+  WHERE NOT taken AND size > 0 AND abs(gap - size) < gap GROUP BY f.source
+), extra AS (
+  SELECT source, rank, size FROM first_ones WHERE taken
+  UNION ALL
+  SELECT source, c.rank, c.size FROM closing WHERE abs(c.gap - c.n) < c.gap
+)
+SELECT r.doc_id, r.size, source_size, target,
+  (r.size * (floor(rate) + (e.size IS NOT NULL)::int))::bigint AS taken
+FROM ranked r LEFT JOIN extra e
+  ON r.source IS NOT DISTINCT FROM e.source AND r.rank = e.rank AND r.size = e.size
+"""
+
+
+@registered(MIX_SQL)
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mixing.copies(table(spark, folder, "documents"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return plan.select("doc_id", "size", "source_size", "target", taken)
