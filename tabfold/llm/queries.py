@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import mixing, url_filter
+from tabfold.llm import mixing, simhash, url_filter
 from tabfold.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -117,3 +117,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.copies(table(spark, folder, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return plan.select("doc_id", "size", "source_size", "target", taken)
+
+
+@registered()
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    digits = simhash.hex_digits(F.col("fingerprint")).alias("fingerprint")
+    return found.select("doc_id", digits, "component_id")
