@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import mixing, simhash, url_filter
+from tabfold.llm import embedding_dedup, mixing, simhash, url_filter
 from tabfold.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -124,3 +124,8 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     digits = simhash.hex_digits(F.col("fingerprint")).alias("fingerprint")
     return found.select("doc_id", digits, "component_id")
+
+
+@registered()
+def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
