@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabfold.session import shared_dir
@@ -59,7 +60,7 @@ def batches_by_bytes(
 ) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``limit`` bytes in one column, or a single longer row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
         ends = np.cumsum(sizes)
         start = 0
         while start < len(sizes):

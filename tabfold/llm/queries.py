@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import embedding_dedup, mixing, simhash, url_filter
-from tabfold.llm.common import table
+from tabfold.llm import embedding_dedup, language, mixing, simhash, toxicity, url_filter
+from tabfold.llm.common import hash_part, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -129,3 +129,31 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def toxicity_lexicon(docs: DataFrame, labels: DataFrame) -> toxicity.Lexicon:
+    """Learned from the labelled documents that are not held out."""
+    training = docs.select("doc_id", "text").where(hash_part(3, F.col("doc_id")) != 1)
+    return toxicity.learn(training.join(labels.select("doc_id", "toxic"), "doc_id"))
+
+
+@registered()
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lexicon = toxicity_lexicon(docs, table(spark, folder, "labels"))
+    scored = toxicity.with_score(docs.select("doc_id", "text"), lexicon)
+    return scored.select(
+        "doc_id",
+        F.coalesce(hash_part(3, F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.TOXIC_SCORE).cast("int").alias("predicted"),
+    )
+
+
+@registered()
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(hash_part(4, F.col("doc_id")) == 2, F.lit(False))
+    profiles = language.learn(docs.where(~held_out))
+    found = language.with_language(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
