@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import embedding_dedup, language, mixing, simhash, toxicity, url_filter
+from tabfold.llm import embedding_dedup, language, licences, mixing, simhash, toxicity, url_filter
 from tabfold.llm.common import hash_part, table
 
 QUERIES, ORACLES = {}, {}
@@ -157,3 +157,19 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     profiles = language.learn(docs.where(~held_out))
     found = language.with_language(docs.select("doc_id", "text"), profiles)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@registered()
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan_licences(table(spark, folder, "documents"))
+    starts = F.col("places.start")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
