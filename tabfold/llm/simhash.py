@@ -28,14 +28,18 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tabfold.llm.common import WORD_BYTES, as_bytes, batches_by_bytes, settle
 from tabfold.llm.components import components, forest
-from tabfold.llm.tiles import TILE, pairs_of_tiles, tile_of
+from tabfold.llm.tiles import pairs_of_tiles, tile_of
 
 BITS = 64
 SHINGLE_WORDS = 4
 RADIUS = 4
 SEED = 42
-# Shingles whose bits are counted at a time, and rows of a tile compared at a time.
-COUNTED, COMPARED = 1 << 15, 256
+# Fingerprints of a tile: 512 KB, so that a fingerprint is sent to few tasks, and
+# some seconds for two tiles.
+TILE = 1 << 16
+# Shingles whose bits are counted at a time; rows and columns of a block of pairs,
+# which fits a core's cache.
+COUNTED, ROWS, COLUMNS = 1 << 15, 16, 8192
 
 _word = re.compile(WORD_BYTES)
 
@@ -86,11 +90,16 @@ def _compare(radius: int):
         left, right = np.flatnonzero(is_left), np.flatnonzero(~is_left)
         right = right if len(right) else left
         found = [(np.zeros(0, np.int64),) * 2]
-        for at in range(0, len(left), COMPARED):
-            some = left[at : at + COMPARED]
-            near = np.bitwise_count(bits[some, None] ^ bits[None, right]) <= radius
-            i, j = near.nonzero()
-            found.append((some[i], right[j]))
+        held = np.empty((ROWS, COLUMNS), np.uint64)
+        for at in range(0, len(right), COLUMNS):
+            others = right[at : at + COLUMNS]
+            for start in range(0, len(left), ROWS):
+                some = left[start : start + ROWS]
+                block = held[: len(some), : len(others)]
+                np.bitwise_xor(bits[some, None], bits[None, others], out=block)
+                i, j = (np.bitwise_count(block) <= radius).nonzero()
+                if len(i):
+                    found.append((some[i], others[j]))
         root = forest(len(codes), *map(np.concatenate, zip(*found)))
         linked = root != np.arange(len(codes))
         return pd.DataFrame({"a": codes[linked], "b": codes[root[linked]]})
