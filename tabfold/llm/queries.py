@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import embedding_dedup, language, licences, mixing, simhash, toxicity, url_filter
+from tabfold.llm import embedding_dedup, language, licences, mixing, packing, simhash, toxicity, url_filter
 from tabfold.llm.common import hash_part, table
 
 QUERIES, ORACLES = {}, {}
 
+# The tokenizer of the packing contract, by the name the installed files have.
+TOKENIZER = "word_bpe_49k.json"
+
 
 def registered(oracle: str | None = None):
     def add(function):
@@ -173,3 +176,13 @@ def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join("labels", ",").alias("labels"),
         "score",
     )
+
+
+@registered()
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from public_tokenizers import path
+
+    pieces = packing.pack(table(spark, folder, "documents"), path(TOKENIZER))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
