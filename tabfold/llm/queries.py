@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import embedding_dedup, language, licences, mixing, packing, simhash, toxicity, url_filter
+from tabfold.llm import embedding_dedup, language, licences, mixing, packing, simhash, topk, toxicity, url_filter
 from tabfold.llm.common import hash_part, table
 
 QUERIES, ORACLES = {}, {}
@@ -186,3 +186,30 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+# Every other row of a query, scored by the inner product of the floored components.
+TOP_K_SQL = """
+WITH coded AS (
+  SELECT vec_id, row_number() OVER () AS row_no,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS codes
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND list_aggregate(list_transform(embedding,
+    lambda x: coalesce(isfinite(x), false)), 'bool_and')
+), scored AS (
+  SELECT q.vec_id AS query_id, q.row_no AS query_row, c.vec_id,
+    list_inner_product(q.codes::double[], c.codes::double[])::bigint AS score
+  FROM coded q JOIN coded c ON q.row_no <> c.row_no AND len(q.codes) = len(c.codes)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, vec_id, score,
+    row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id)::int AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@registered(TOP_K_SQL)
+def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
