@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabfold.llm import embedding_dedup, language, licences, mixing, packing, simhash, topk, toxicity, url_filter
@@ -136,8 +137,7 @@ def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def toxicity_lexicon(docs: DataFrame, labels: DataFrame) -> toxicity.Lexicon:
     """Learned from the labelled documents that are not held out."""
-    training = docs.select("doc_id", "text").where(hash_part(3, F.col("doc_id")) != 1)
-    return toxicity.learn(training.join(labels.select("doc_id", "toxic"), "doc_id"))
+    return toxicity.learn(docs, labels.where(hash_part(3, F.col("doc_id")) != 1))
 
 
 @registered()
@@ -180,8 +180,6 @@ def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered()
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
-    from public_tokenizers import path
-
     pieces = packing.pack(table(spark, folder, "documents"), path(TOKENIZER))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"

@@ -13,8 +13,7 @@ toxic and other documents. A beginning stands for all its words; it is taken onl
 where it tells the classes apart as well as its longer forms do.
 
 Defined results: a null or empty text has nothing toxic and the lowest score. Labels
-that are null or whose document is missing teach nothing; a document labelled
-twice counts twice. A document without a label is scored like any other. With no
+that are null or whose document is missing teach nothing, nor does a null id. A document without a label is scored like any other. With no
 toxic training rows every score is zero. An empty table gives an empty result.
 Columns beyond those named do not matter.
 """
@@ -49,6 +48,8 @@ SHORTEST, LONGEST = 4, 12
 # The lexicon is the model and its size a parameter; so is that of the list of
 # candidates, the terms of most toxic documents.
 MAX_TERMS, MAX_CANDIDATES = 20_000, 200_000
+# Labelled rows that the lexicon is fitted on.
+MAX_ROWS = 1_000_000
 # Toxic texts that a term has to occur in: this many, and this share of all.
 MIN_TOXIC_DOCS, MIN_TOXIC_SHARE = 4, 0.01
 # Log odds count less this many standard errors. A term has to tell more than the
@@ -177,15 +178,42 @@ def with_score(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFra
     return docs.mapInArrow(run, schema)
 
 
-def learn(labelled: DataFrame, *, max_terms: int = MAX_TERMS, exceptions: Sequence[str] = EXCEPTIONS) -> Lexicon:
-    """Fit a lexicon on all rows (text, toxic); rows without a label are left out.
+def training_rows(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, max_rows: int) -> DataFrame:
+    """Rows (text, toxic), a text with one label once; no text is shuffled.
+
+    The labels are a table of two short columns. Beyond ``max_rows`` a sample of them
+    by a hash of the id is taken, so they can be broadcast at any size of the corpus.
+    """
+    known = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), (F.col("toxic") != 0).alias("toxic")).where(
+        "toxic IS NOT NULL AND doc_id IS NOT NULL"
+    )
+    n = known.count()
+    if n > max_rows:
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < max_rows)
+    named = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = named.join(F.broadcast(known), "doc_id").withColumn("hash", F.xxhash64("text"))
+    rows = settle(rows, "labelled")
+    first = rows.groupBy("hash", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    return rows.join(F.broadcast(first), ["hash", "toxic", "doc_id"], "left_semi").select("text", "toxic")
+
+
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    max_rows: int = MAX_ROWS,
+    max_terms: int = MAX_TERMS,
+    exceptions: Sequence[str] = EXCEPTIONS,
+) -> Lexicon:
+    """Fit a lexicon on documents with a label; ``labels`` has the id and ``toxic``, 0 or 1.
 
     Copies of a text with one label count once. Terms are counted in all toxic
     rows, then the candidates among them in all others. What reaches the driver is
-    bounded by the two sizes above.
+    bounded by the sizes above.
     """
-    rows = labelled.select("text", (F.col("toxic") != 0).alias("toxic")).where("toxic IS NOT NULL")
-    rows = settle(rows.distinct(), "labelled")
+    rows = training_rows(docs, labels, doc_id=doc_id, text=text, max_rows=max_rows)
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
 
@@ -247,3 +275,9 @@ def _best_cut(rows: DataFrame, draft: Lexicon) -> float:
     ties = np.flatnonzero(errors == errors.min())
     run = ties[: np.argmax(np.append(np.diff(ties) != 1, True)) + 1]
     return float((run[0] + run[-1]) / 2 - BINS // 2) / PER_DOUBLING
+
+
+def without_toxic(docs: DataFrame, lexicon: Lexicon, *, text: str = "text", threshold: float = TOXIC_SCORE) -> DataFrame:
+    """The documents that score below ``threshold``, with all their columns."""
+    packed = docs.select(F.struct("*").alias("_document"), F.col(f"`{text}`").alias("text"))
+    return with_score(packed, lexicon).where(F.col("score") < threshold).select("_document.*")
