@@ -1,11 +1,58 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
 
-STAGES = []
+Each stage takes the documents that the one before it kept. The first four return
+documents, with the same columns; the last returns the pieces of the sequences.
+"""
+
+from __future__ import annotations
+
+from public_tokenizers import path
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tabfold.llm import mixing, packing, repeats, simhash, toxicity
+from tabfold.llm.common import settle, table
+from tabfold.llm.queries import TOKENIZER, toxicity_lexicon
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon, learned from the labelled ones, does not reject."""
+    return toxicity.without_toxic(docs, toxicity_lexicon(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    return simhash.one_per_group(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document has, and their new lengths."""
+    return repeats.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences with their token ids."""
+    return packing.pack(docs, path(TOKENIZER))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("suffix_array_dedup", cut_repeats),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+# Fingerprints, repeats and tokens have no SQL form; tests compare with plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

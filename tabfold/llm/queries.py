@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import embedding_dedup, language, licences, mixing, packing, simhash, topk, toxicity, url_filter
+from tabfold.llm import embedding_dedup, language, licences, mixing, packing, repeats, simhash, topk, toxicity, url_filter
 from tabfold.llm.common import hash_part, table
 
 QUERIES, ORACLES = {}, {}
@@ -211,3 +211,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @registered(TOP_K_SQL)
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@registered()
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeats(table(spark, folder, "documents"))
