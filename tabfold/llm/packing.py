@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,49 +39,65 @@ CLOSING_ID = 1
 ID_BYTES = 4
 # Tokens that a task gathers before it packs them.
 BLOCK_TOKENS = 1 << 21
-# Words whose ids a task remembers.
-KNOWN_WORDS = 200_000
+# Words whose ids a Python worker remembers from task to task, at some 200 bytes each.
+KNOWN_WORDS = 800_000
 # Room for the number of a partition's sequences beside the partition's own number.
 SEQUENCE_BITS = 40
 
 # What the tokenizer splits a text into, for texts of the characters in
-# ``PLAIN`` only; any other text goes through the tokenizer as a whole.
+# ``PLAIN`` only; any other text goes through the tokenizer as a whole. Its closing
+# mark of a word tells the ids of words that are encoded in a row.
 PIECES = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zA-ZÀ-ÖØ-öø-ÿ]+|[0-9]|[^\t\n\r 0-9a-zA-ZÀ-ÖØ-öø-ÿ]+"
+    r"[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\t\n\r 0-9a-zß-öø-ÿ]+"
 )
 PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
 SPECIAL = "<|"
+WORD_END = "</w>"
 
 
 class WordTokenizer:
-    """Ids of a text as little-endian bytes, from the ids of its words.
+    """Ids of texts as little-endian bytes, from the ids of their words.
 
     The tokenizer encodes each word by itself, so a word's ids are the same in any
-    text, and common words are encoded once.
+    text, and a word is encoded once for many texts.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not PLAIN.fullmatch(text) or SPECIAL in text:
-            return self._encode([text])[0]
-        words = PIECES.findall(text.lower())
-        found = list(map(self.known.get, words))
-        if None in found:
-            new = list(dict.fromkeys(w for w, ids in zip(words, found) if ids is None))
-            learned = dict(zip(new, self._encode(new)))
-            if len(self.known) + len(new) > KNOWN_WORDS:
-                self.known.clear()
-            self.known.update(learned)
-            found = [ids if ids is not None else learned[w] for w, ids in zip(words, found)]
-        return b"".join(found)
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: list[str]) -> None:
+        ids = self._encode(" ".join(words))
+        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(cuts) != len(words):
+            raise ValueError("the tokenizer does not close each word with its mark")
+        held = ids.tobytes()
+        for word, start, end in zip(words, [0, *cuts], cuts):
+            self.known[word] = held[ID_BYTES * start : ID_BYTES * end]
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        plain = [t is not None and SPECIAL not in t and PLAIN.fullmatch(t) is not None for t in texts]
+        words = [PIECES.findall(t.lower()) if simple else None for t, simple in zip(texts, plain)]
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        new = set().union(*filter(None, words)) - self.known.keys()
+        if new:
+            self._learn(sorted(new))
+        of = self.known.__getitem__
+        return [
+            b"".join(map(of, w)) if w is not None else self._encode(t).tobytes() if t else b"" for t, w in zip(texts, words)
+        ]
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
 
 
 @dataclass(frozen=True)
@@ -228,7 +245,7 @@ def pack(
     closing = np.array([closing_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer)
+        words = _tokenizer(tokenizer)
         first = TaskContext.get().partitionId() << SEQUENCE_BITS
         placed: list[tuple] = []
 
@@ -245,10 +262,10 @@ def pack(
         packer, types = Packer(limits, place), None
         for batch in batches_by_bytes(batches, 1, 1 << 22):
             types = types or [batch.schema.field(0).type, *[pa.int64()] * 5, pa.binary()]
-            prompts = batch.column(2).to_pylist() if prompt else [None] * len(batch)
-            for key, text, ahead in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), prompts):
-                before = words.ids(ahead)
-                packer.add(Example(key, before + words.ids(text) + closing, len(before) // ID_BYTES))
+            keys, bodies = batch.column(0).to_pylist(), words.ids(batch.column(1).to_pylist())
+            heads = words.ids(batch.column(2).to_pylist()) if prompt else [b""] * len(bodies)
+            for key, head, body in zip(keys, heads, bodies):
+                packer.add(Example(key, head + body + closing, len(head) // ID_BYTES))
                 if packer.tokens >= BLOCK_TOKENS:
                     packer.drain()
             yield from handed()
