@@ -28,8 +28,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tabfold.llm.common import WORD_BYTES, WORD_TEXT, as_bytes, batches_by_bytes, settle
@@ -142,97 +143,59 @@ def _coarse(key: int, window: int):
     return run
 
 
-def _tag(words: np.ndarray) -> np.ndarray:
-    """Words as numbers of ``TAG_BITS`` bits from 1; 0 stands for the edge of a text."""
-    return words % np.uint64((1 << TAG_BITS) - 1) + np.uint64(1)
-
-
-def _neighbours(tags: np.ndarray, places: np.ndarray, step: int, n: int) -> np.ndarray:
-    """Tags of the n words before or behind each place, the nearest in the lowest bits."""
-    found = np.zeros(len(places), np.uint64)
-    for i in range(n):
-        at = places + step * (i + 1)
-        inside = (at >= 0) & (at < len(tags))
-        found |= np.where(inside, tags[np.clip(at, 0, len(tags) - 1)], np.uint64(0)) << np.uint64(TAG_BITS * i)
-    return found
-
-
 def _fine(key: int, window: int, before: int, behind: int):
-    """Selected long keys in the parts of a text around its places ``at``."""
+    """Selected long keys in the parts of the texts around their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_by_bytes(batches, 1, 1 << 22):
-            for uid, text, places in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist()):
-                words, counts = word_hashes([text])
-                chosen, hashes = minimisers(words, counts, key, window)
-                # A place opens the part of the text that a passage with it can reach.
-                opened = np.zeros(len(words) + 1, np.int64)
-                at = np.array(places, np.int64)
-                np.add.at(opened, np.maximum(at - before, 0), 1)
-                np.add.at(opened, np.minimum(at + behind, len(words)), -1)
-                closed = np.append(0, np.cumsum(np.cumsum(opened[:-1]) == 0))
-                kept = closed[chosen + key] == closed[chosen]
-                chosen, hashes = chosen[kept], hashes[kept]
-                tags, n = _tag(words), window - 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes.view(np.int64)),
-                        pa.array(np.full(len(chosen), uid, np.int64)),
-                        pa.array(chosen),
-                        pa.array(_neighbours(tags, chosen, -1, n).view(np.int64)),
-                        pa.array(_neighbours(tags, chosen + key - 1, 1, n).view(np.int64)),
-                    ],
-                    ["key", "uid", "at", "left", "right"],
-                )
+            words, counts = word_hashes(as_bytes(batch.column(1)))
+            ends = np.cumsum(counts)
+            starts = ends - counts
+            # A place opens the part of its text that a passage with it can reach.
+            own = np.repeat(np.arange(len(batch)), pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+            at = pc.list_flatten(batch.column(2)).to_numpy(zero_copy_only=False) + starts[own]
+            opened = np.zeros(len(words) + 1, np.int64)
+            np.add.at(opened, np.maximum(at - before, starts[own]), 1)
+            np.add.at(opened, np.minimum(at + behind, ends[own]), -1)
+            closed = np.append(0, np.cumsum(np.cumsum(opened[:-1]) == 0))
+            chosen, hashes = minimisers(words, counts, key, window)
+            kept = closed[chosen + key] == closed[chosen]
+            chosen, hashes = chosen[kept], hashes[kept]
+            text, place = _own_places(chosen, counts)
+            tags = words % np.uint64((1 << TAG_BITS) - 1) + np.uint64(1)
+            left, right = np.zeros(len(chosen), np.uint64), np.zeros(len(chosen), np.uint64)
+            for i in range(window - 1):
+                ahead, behind_key = chosen - 1 - i, chosen + key + i
+                inside, beyond = ahead >= starts[text], behind_key < ends[text]
+                left |= np.where(inside, tags[np.maximum(ahead, 0)], np.uint64(0)) << np.uint64(TAG_BITS * i)
+                right |= np.where(beyond, tags[np.minimum(behind_key, len(tags) - 1)], np.uint64(0)) << np.uint64(TAG_BITS * i)
+            uid = batch.column(0).to_numpy(zero_copy_only=False)[text]
+            columns = [hashes.view(np.int64), uid, place, left.view(np.int64), right.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "uid", "at", "left", "right"])
 
     return run
 
 
-def _shared(own: np.ndarray, other: np.ndarray, n: int) -> np.ndarray:
-    """How many neighbours agree, from the nearest on; an edge agrees with nothing."""
-    same, count = np.ones(len(own), bool), np.zeros(len(own), np.int64)
-    for i in range(n):
-        a, b = (x >> np.uint64(TAG_BITS * i) & np.uint64((1 << TAG_BITS) - 1) for x in (own, other))
-        same &= (a == b) & (a != 0)
-        count += same
+def _shared(one: str, other: str, n: int) -> Column:
+    """How many neighbours agree, from the nearest on; the edge of a text agrees with nothing."""
+    tag = lambda c, i: F.shiftright(F.col(c), TAG_BITS * i).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
+    count = F.lit(0)
+    for i in reversed(range(n)):
+        count = F.when((tag(one, i) == tag(other, i)) & (tag(one, i) != 0), count + 1).otherwise(0)
     return count
 
 
-def spans_of(text: bytes, found: list[dict], key: int, window: int, min_words: int) -> list[tuple[int, int, int | None, int]]:
-    """Repeats of one text: start, end, first id, start there; matches in line are one span."""
-    words, _ = word_hashes([text])
-    tags, n = _tag(words), window - 1
-    at = np.array([f["at"] for f in found], np.int64)
-    left = np.array([f["left"] for f in found], np.int64).view(np.uint64)
-    right = np.array([f["right"] for f in found], np.int64).view(np.uint64)
-    before = _shared(_neighbours(tags, at, -1, n), left, n)
-    behind = _shared(_neighbours(tags, at + key - 1, 1, n), right, n)
-    spans: dict[tuple, list[list[int]]] = {}
-    order = np.argsort(at, kind="stable")
-    for i in order[(before + key + behind >= min_words)[order]].tolist():
-        start, end = int(at[i] - before[i]), int(at[i] + key + behind[i])
-        line = spans.setdefault((found[i]["first_uid"], found[i]["first_id"], found[i]["first_at"] - int(at[i])), [])
-        if line and start <= line[-1][1]:
-            line[-1][1] = max(line[-1][1], end)
-        else:
-            line.append([start, end])
-    return sorted((start, end, first, start + shift) for (_, first, shift), line in spans.items() for start, end in line)
-
-
-def _spans(key: int, window: int, min_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_by_bytes(batches, 1, 1 << 22):
-            rows = [
-                (uid, *span)
-                for uid, text, found in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist())
-                for span in spans_of(text, found, key, window, min_words)
-            ]
-            columns = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["uid", "start", "end", "first_id", "first_start"]
-            )
-
-    return run
+def _lines(matches: DataFrame) -> DataFrame:
+    """Matches (uid, first_id, first_uid, shift, start, end) that overlap in line, as one span."""
+    line = Window.partitionBy("uid", "first_uid", "first_id", "shift").orderBy("start")
+    reached = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    begun = matches.withColumn("begins", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
+    numbered = begun.withColumn("span", F.sum("begins").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    return (
+        numbered.groupBy("uid", "first_uid", "first_id", "shift", "span")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .select("uid", "start", "end", "first_id", (F.col("start") + F.col("shift")).alias("first_start"))
+    )
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -254,51 +217,42 @@ def content_spans(docs: DataFrame, classes: DataFrame, min_words: int = MIN_WORD
     # A key repeats if it stands at two places of contents; copies of a content are one.
     edges = [f(F.struct("uid", "at")).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
     repeated = coarse.groupBy("key").agg(*edges).where("low < high").select("key")
-    places = coarse.join(repeated, "key").groupBy("uid").agg(F.collect_set("at").alias("places"))
-    places = settle(places.join(classes, "uid"), "places").withColumnRenamed("uid", "_uid")
-    # One document of each content; its text goes on with the places.
-    small = _small(places)
-    texts = docs.join(small, (docs["uid"] == small["_uid"]) & (docs["doc_id"] == small["least"]))
-    texts = settle(texts.select("uid", "text", "places", "least"), "texts")
-    fine = texts.select("uid", "text", "places").mapInArrow(
+    places = settle(coarse.join(repeated, "key").groupBy("uid").agg(F.collect_set("at").alias("places")), "places")
+    # One document of each content; texts without a repeated key go before the shuffle.
+    ids = settle(places.select("uid").join(classes, "uid"), "ids")
+    named = ids.withColumnRenamed("uid", "_uid")
+    one = docs.join(_small(named), (docs["uid"] == named["_uid"]) & (docs["doc_id"] == named["least"]), "left_semi")
+    texts = one.select("uid", "text").join(places, "uid")
+    fine = texts.mapInArrow(
         _fine(fine_key, fine_window, window - 1, min_words), "key long, uid long, at long, left long, right long"
     )
     fine = settle(fine, "suffixes")
-    ids = _small(settle(texts.select("uid", "least").distinct(), "ids"))
     first = (
-        fine.join(ids, "uid")
+        fine.join(_small(ids), "uid")
         .groupBy("key")
         .agg(
             F.min(F.struct("least", "uid", "at", "left", "right")).alias("first"),
             F.max(F.struct("least", "uid", "at")).alias("last"),
         )
         .where(F.struct("first.least", "first.uid", "first.at") < F.col("last"))
-        .select("key", "first")
-    )
-    found = (
-        fine.select("key", "uid", "at")
-        .join(first, "key")
-        .where((F.col("uid") != F.col("first.uid")) | (F.col("at") != F.col("first.at")))
         .select(
-            "uid",
-            F.struct(
-                "at",
-                F.col("first.left").alias("left"),
-                F.col("first.right").alias("right"),
-                F.col("first.least").alias("first_id"),
-                F.col("first.uid").alias("first_uid"),
-                F.col("first.at").alias("first_at"),
-            ).alias("match"),
+            "key",
+            F.col("first.least").alias("first_id"),
+            F.col("first.uid").alias("first_uid"),
+            F.col("first.at").alias("first_at"),
+            F.col("first.left").alias("first_left"),
+            F.col("first.right").alias("first_right"),
         )
-        .groupBy("uid")
-        .agg(F.collect_set("match").alias("matches"))
     )
-    return (
-        texts.select("uid", "text")
-        .join(found, "uid")
-        .mapInArrow(_spans(fine_key, fine_window, min_words), "uid long, start long, end long, first_id long, first_start long")
-        .distinct()
+    matches = (
+        fine.join(first, "key")
+        .where((F.col("uid") != F.col("first_uid")) | (F.col("at") != F.col("first_at")))
+        .withColumn("start", F.col("at") - _shared("left", "first_left", fine_window - 1))
+        .withColumn("end", F.col("at") + fine_key + _shared("right", "first_right", fine_window - 1))
+        .where(F.col("end") - F.col("start") >= min_words)
+        .select("uid", "first_uid", "first_id", (F.col("first_at") - F.col("at")).alias("shift"), "start", "end")
     )
+    return _lines(matches)
 
 
 def _contents(docs: DataFrame, doc_id: str, text: str, *more: Column) -> DataFrame:
