@@ -10,6 +10,8 @@ from tabfold.plans.sentiment import sentiment
 from tabfold.sources import load_table
 
 REG_PARAM = 0.01
+# The tables here are single files; fits pass over them many times.
+SPREAD = 8
 
 # A line's "delay" follows its quantity, with the discount as noise.
 DELAY = "l_quantity + 200 * l_discount"
@@ -54,7 +56,7 @@ def tree_stump(spark: SparkSession, folder: str) -> DataFrame:
     step = F.floor(F.col("l_quantity") / 5).cast("int")
     lines = _lines(spark, folder, "l_quantity").withColumn("step", step)
     steps = chain(assembler(["step"]), decision_tree(maxDepth=1))
-    scored = fit(steps, lines, ["features", "label"]).transform(lines)
+    scored = fit(steps, lines, ["features", "label"], spread=SPREAD).transform(lines)
     return scored.groupBy("step", "prediction").agg(F.count("*").alias("n_rows"))
 
 
@@ -198,7 +200,7 @@ def logistic_fit(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder, "l_quantity")
     # Run to convergence, so that the optimum itself can be compared.
     logit = logistic_regression(regParam=REG_PARAM, maxIter=100, tol=1e-8)
-    model = fit(chain(assembler(["l_quantity"]), logit), lines, ["features", "label"])
+    model = fit(chain(assembler(["l_quantity"]), logit), lines, ["features", "label"], spread=SPREAD)
     weights = coefficients(spark, model.stages[-1], ["l_quantity"])
     return weights.withColumn("value", F.round("value", 5))
 
@@ -209,4 +211,4 @@ def sentiment_scores(spark: SparkSession, folder: str) -> DataFrame:
     texts = load_table(spark, folder, "documents").select("doc_id", "text")
     labels = load_table(spark, folder, "labels").select("doc_id", "quality")
     data = project(texts.join(labels, "doc_id"), "doc_id", "text", label=cast_label("quality"))
-    return sentiment(data, "text", keys=["doc_id"]).predictions("doc_id")
+    return sentiment(data, "text", keys=["doc_id"], spread=SPREAD).predictions("doc_id")

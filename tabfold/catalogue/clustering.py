@@ -8,6 +8,8 @@ from tabfold.plans.segmentation import segment
 from tabfold.sources import load_table
 
 SEED = 0
+# The tables here are single files; fits pass over them many times.
+SPREAD = 8
 
 
 # --- given labels on embeddings ------------------------------------------------
@@ -160,35 +162,57 @@ def _traits(spark: SparkSession, folder: str) -> DataFrame:
     return orders.selectExpr("o_orderkey", *[f"{e} AS {n}" for n, e in TRAITS_SPARK.items()])
 
 
-def _segments(spark: SparkSession, folder: str):
-    return segment(_traits(spark, folder), TRAITS, seed=SEED, parallelism=5)
+# For the sweep the large trait has six levels, each ten times the one before. The
+# best k clusters are then the k - 1 highest levels and all lower ones together.
+# Each round of the search for first centres reaches about one level further down.
+LEVELS = 6
+SWEEP = {"seed": SEED, "parallelism": 5, "spread": SPREAD, "initSteps": 3 * LEVELS}
+STEPPED_SPARK = TRAITS_SPARK | {"band": f"100.0 * pow(10, o_custkey % {LEVELS})"}
+STEPPED_SQL = TRAITS_SQL | {"band": f"100.0 * pow(10, o_custkey % {LEVELS})"}
+STEPPED_X = f"[{', '.join(f'({e})::double' for e in STEPPED_SQL.values())}]"
 
 
-@registered()
-def kmeans_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = assemble(_traits(spark, folder), TRAITS)
-    return op.kmeans_sweep(vectors, "features", seed=SEED, parallelism=5).scores
+def _sweep_row_sql(k: int) -> str:
+    groups = f"SELECT greatest(o_custkey % {LEVELS}, {LEVELS - k}) AS c, {STEPPED_X} AS x FROM orders"
+    tail = (
+        f"SELECT {k}::integer AS k, (SELECT avg(s) FROM scored) AS silhouette, "
+        "(SELECT w FROM spread) AS training_cost"
+    )
+    return f"SELECT * FROM ({_silhouette_sql(groups, tail)}) k{k}"
 
 
-@registered(
-    _silhouette_sql(
-        BANDS,
-        "SELECT 5::integer AS k, round((SELECT avg(s) FROM scored), 9) AS silhouette, "
-        "round((SELECT w FROM spread), 1) AS training_cost",
+SWEEP_SQL = " UNION ALL ".join(map(_sweep_row_sql, range(2, LEVELS + 1)))
+
+
+def _stepped(spark: SparkSession, folder: str) -> DataFrame:
+    orders = load_table(spark, folder, "orders")
+    return orders.selectExpr(*[f"{e} AS {n}" for n, e in STEPPED_SPARK.items()])
+
+
+def _rounded(scores: DataFrame) -> DataFrame:
+    return scores.select(
+        "k", F.round("silhouette", 6).alias("silhouette"), F.format_string("%.5e", "training_cost").alias("training_cost")
     )
-)
+
+
+ROUNDED_SQL = "k, round(silhouette, 6) AS silhouette, printf('%.5e', training_cost) AS training_cost"
+
+
+@registered(f"SELECT {ROUNDED_SQL} FROM ({SWEEP_SQL}) sweep")
+def kmeans_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = assemble(_stepped(spark, folder), TRAITS)
+    return _rounded(op.kmeans_sweep(vectors, "features", **SWEEP).scores)
+
+
+@registered(f"SELECT {ROUNDED_SQL} FROM ({SWEEP_SQL}) sweep ORDER BY sweep.silhouette DESC, k LIMIT 1")
 def best_k(spark: SparkSession, folder: str) -> DataFrame:
-    best = _segments(spark, folder).best
-    return best.select(
-        "k",
-        F.round("silhouette", 9).alias("silhouette"),
-        F.round("training_cost", 1).alias("training_cost"),
-    )
+    found = segment(_stepped(spark, folder), TRAITS, **SWEEP)
+    return _rounded(found.best)
 
 
 def _five_clusters(spark: SparkSession, folder: str):
     vectors = assemble(_traits(spark, folder), TRAITS)
-    return vectors, op.fit_kmeans(vectors.select("features"), "features", 5, SEED)
+    return vectors, op.fit_kmeans(vectors.select("features"), "features", 5, SEED, spread=SPREAD)
 
 
 @registered(

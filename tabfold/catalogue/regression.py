@@ -25,6 +25,8 @@ FIVE = ["l_quantity", "l_linenumber", "l_discount", "l_tax", "l_suppkey"]
 TARGET = "l_quantity + 200 * l_discount + 3 * l_linenumber + l_extendedprice / 5000"
 LAMBDA = 0.3
 SEED = 11
+# The tables here are single files; fits pass over them many times.
+SPREAD = 8
 
 
 # --- oracle text ---------------------------------------------------------------
@@ -180,7 +182,7 @@ def _held_out_scores(spark: SparkSession, folder: str) -> DataFrame:
     assemble_stage = assembler(["l_quantity"])
     scale = minmax_scaler(assemble_stage.getOutputCol(), "normFeatures")
     line = linear_regression(scale.getOutputCol(), regParam=LAMBDA)
-    model = fit(chain(assemble_stage, scale, line), parts.train, ["features", "label"])
+    model = fit(chain(assemble_stage, scale, line), parts.train, ["features", "label"], spread=SPREAD)
     return score(model, parts.test, *LINE_KEYS, "prediction", "trueLabel")
 
 
@@ -238,6 +240,7 @@ def _cross_validated(spark: SparkSession, folder: str):
         seed=SEED,
         fold_column="fold",
         parallelism=4,
+        spread=SPREAD,
     )
 
 
@@ -274,7 +277,7 @@ def cv_best(spark: SparkSession, folder: str) -> DataFrame:
 @registered(_search_sql(FIVE, PENALTIES_TAIL))
 def ridge_search_metrics(spark: SparkSession, folder: str) -> DataFrame:
     train = _train_with_folds(spark, folder, FIVE)
-    metrics = ridge_search(train, FIVE, "label", "fold", REG_PARAMS).metrics
+    metrics = ridge_search(train, FIVE, "label", "fold", REG_PARAMS, folds=2).metrics
     return metrics.withColumn("metric", F.round("metric", 6))
 
 
@@ -283,7 +286,7 @@ def ridge_search_rmse(spark: SparkSession, folder: str) -> DataFrame:
     """The one-pass search, refitted and scored on the held-out rows."""
     parts = hold_out(_lines(spark, folder, FIVE), keys=LINE_KEYS)
     best = ridge_search(
-        with_hash_fold(parts.train, LINE_KEYS, 2), FIVE, "label", "fold", REG_PARAMS
+        with_hash_fold(parts.train, LINE_KEYS, 2), FIVE, "label", "fold", REG_PARAMS, folds=2
     ).best
     return rmse(predict(parts.test, best, FIVE), "trueLabel").select(F.round("rmse", 6).alias("rmse"))
 
@@ -291,5 +294,29 @@ def ridge_search_rmse(spark: SparkSession, folder: str) -> DataFrame:
 @registered(_search_sql(FIVE, "SELECT round(rmse, 6) AS rmse FROM holdout"))
 def flight_like_regression(spark: SparkSession, folder: str) -> DataFrame:
     """The whole tuned workflow on five features: search, refit, held-out error."""
-    tuned = tuned_regression(_lines(spark, folder, FIVE), FIVE, keys=LINE_KEYS, seed=SEED)
+    tuned = tuned_regression(
+        _lines(spark, folder, FIVE), FIVE, keys=LINE_KEYS, seed=SEED, parallelism=4, spread=SPREAD
+    )
     return tuned.rmse.select(F.round("rmse", 6).alias("rmse"))
+
+
+# --- a wider search ------------------------------------------------------------------
+
+# Twenty-one features: the five, their products in pairs, and their squares and a cube.
+WIDE_PARTS = {f"{a}_{b}": f"{a} * {b}" for i, a in enumerate(FIVE) for b in FIVE[i:]}
+WIDE_PARTS["l_quantity_cube"] = "l_quantity * l_quantity * l_quantity"
+WIDE = [*FIVE, *WIDE_PARTS]
+WIDE_LINES = "(SELECT *, " + ", ".join(f"({e})::double AS {n}" for n, e in WIDE_PARTS.items()) + " FROM lineitem)"
+
+
+@registered(_search_sql(WIDE, PENALTIES_TAIL).replace("FROM lineitem", f"FROM {WIDE_LINES} lineitem"))
+def ridge_search_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """The one-pass search on twenty-one features, many of them nearly collinear."""
+    lines = load_table(spark, folder, "lineitem").withColumns(
+        {n: F.expr(f"cast({e} as double)") for n, e in WIDE_PARTS.items()}
+    )
+    extra = [f for f in WIDE if f not in LINE_KEYS]
+    train = hold_out(project(lines, *LINE_KEYS, *extra, label=F.expr(TARGET)), keys=LINE_KEYS).train
+    folded = with_hash_fold(train, LINE_KEYS, 2)
+    metrics = ridge_search(folded, WIDE, "label", "fold", REG_PARAMS, folds=2).metrics
+    return metrics.withColumn("metric", F.round("metric", 6))

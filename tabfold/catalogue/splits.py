@@ -45,9 +45,15 @@ def _random_parts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@registered()
+@registered("SELECT count(*) AS n_rows, true AS train_share_is_near FROM orders")
 def random_split_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _random_parts(spark, folder).groupBy("part").agg(F.count("*").alias("n_rows"))
+    """All rows, and whether the larger part is within six standard errors of its share."""
+    counts = _random_parts(spark, folder).agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("part") == "train").alias("n_train")
+    )
+    error = F.sqrt(F.col("n_rows") * 0.7 * 0.3)
+    near = F.abs(F.col("n_train") - 0.7 * F.col("n_rows")) <= 6 * error
+    return counts.select("n_rows", near.alias("train_share_is_near"))
 
 
 @registered("SELECT o_orderkey, 1::bigint AS n_parts FROM orders")

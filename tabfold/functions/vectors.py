@@ -3,16 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, functions as F
 
-# Above this many terms a written-out sum makes generated methods too long for
-# the JVM's compiler, and a loop over a literal array is used.
-WRITTEN_OUT = 32
-
 
 def as_array(vector: str) -> Column:
     """ML vector column to array<double>."""
@@ -20,13 +14,13 @@ def as_array(vector: str) -> Column:
 
 
 def squared_distance(values: Column, point: Sequence[float]) -> Column:
-    if len(point) <= WRITTEN_OUT:
-        gaps = [values[i] - F.lit(float(p)) for i, p in enumerate(point)]
-        return reduce(add, [g * g for g in gaps])
+    """Squared distance to a point; values of another length fail the query."""
     squares = F.zip_with(
         values, F.lit([float(p) for p in point]), lambda v, p: (v - p) * (v - p)
     )
-    return F.aggregate(squares, F.lit(0.0), lambda total, v: total + v)
+    total = F.aggregate(squares, F.lit(0.0), lambda total, v: total + v)
+    unequal = F.raise_error(F.concat(F.lit(f"not {len(point)} values but "), F.size(values).cast("string")))
+    return F.when(values.isNotNull() & (F.size(values) != len(point)), unequal).otherwise(total)
 
 
 def rescale(column: Column, low: float, high: float) -> Column:

@@ -10,19 +10,16 @@ from pyspark.sql import DataFrame
 
 
 @contextmanager
-def held(df: DataFrame, *columns: str) -> Iterator[DataFrame]:
+def held(df: DataFrame, *columns: str, spread: int | None = None) -> Iterator[DataFrame]:
     """The named columns, persisted for the time of the block.
 
-    Blocks lost with an executor are recomputed from the source. An input that
-    arrives in fewer partitions than half the cores is small, and is spread over
-    all of them; a large input has more partitions than that and is not moved.
+    Nothing runs before the rows are first used. Blocks lost with an executor are
+    recomputed from the source. ``spread`` deals the rows out to that many
+    partitions, for inputs of a few large ones such as unsplittable files.
     """
-    frames = [df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)]
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    rows = df.select(*columns)
+    rows = (rows.repartition(spread) if spread else rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if frames[0].rdd.getNumPartitions() * 2 < cores:
-            frames.append(frames[0].repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
-        yield frames[-1]
+        yield rows
     finally:
-        for frame in frames:
-            frame.unpersist()
+        rows.unpersist()

@@ -44,17 +44,20 @@ def chain(*stages: Transformer | Estimator) -> Pipeline:
     return Pipeline(stages=list(stages))
 
 
-def fit(pipeline: Pipeline, train: DataFrame, keep: Sequence[str]) -> PipelineModel:
+def fit(
+    pipeline: Pipeline, train: DataFrame, keep: Sequence[str], *, spread: int | None = None
+) -> PipelineModel:
     """Fit a pipeline, holding only the columns that its estimators need.
 
     Leading stages that have nothing to learn run first; ``keep`` names the
     columns that the stages after them read. The estimators then pass over these
-    and not over the source, which for texts means over hashed words.
+    and not over the source, which for texts means over hashed words. ``spread``
+    deals them out to that many partitions first.
     """
     stages = pipeline.getStages()
     lead = list(takewhile(lambda s: isinstance(s, Transformer), stages))
     prepared = PipelineModel(lead).transform(train) if lead else train
-    with held(prepared, *keep) as rows:
+    with held(prepared, *keep, spread=spread) as rows:
         learned = Pipeline(stages=stages[len(lead) :]).fit(rows)
     return PipelineModel([*lead, *learned.stages])
 
@@ -71,6 +74,8 @@ def coefficients(
     names: Sequence[str],
 ) -> DataFrame:
     """Fitted weights as rows (term, value), the intercept among them."""
+    if len(names) != len(model.coefficients):
+        raise ValueError(f"{len(names)} names for {len(model.coefficients)} weights")
     rows = [("intercept", float(model.intercept))]
     rows += [(n, float(v)) for n, v in zip(names, model.coefficients)]
     return spark.createDataFrame(rows, "term string, value double")

@@ -8,22 +8,37 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabfold.functions import hash_bucket
-from tabfold.session import freeze
+from tabfold.session import fresh_path
 
 SPLIT_DRAW, FOLD_DRAW = 0, 1
+DRAW = "_draw"
 
 
 def random_split(
-    df: DataFrame, weights: Sequence[float], seed: int, *, keep: bool = True
+    df: DataFrame, weights: Sequence[float], seed: int
 ) -> list[DataFrame]:
     """Random parts by weight. The seed is required.
 
-    Spark draws by position inside a partition, so the parts are disjoint and
-    whole only as long as the input comes back in the same layout. ``keep``
-    writes the rows to the shared folder once before drawing, which holds even
-    when executors are lost; pass False for an input that is already a table.
+    Every row gets one draw, and a part is a filter on it: no sort. A draw depends
+    on the row's place in its partition, so rows and draws are written to the
+    shared folder once, as Parquet, which keeps them when executors are lost and
+    lets a part read only the columns it needs.
     """
-    return (freeze(df) if keep else df).randomSplit(list(weights), seed=seed)
+    whole = draw_once(df, seed)
+    edges = [0.0, *(w / sum(weights) for w in accumulate(weights))]
+    # The last edge is open, whatever the sum of the weights is rounded to.
+    draw = F.col(DRAW)
+    insides = [(draw >= low) & (draw < high) for low, high in zip(edges, edges[1:-1])]
+    return [whole.where(c).drop(DRAW) for c in [*insides, draw >= edges[-2]]]
+
+
+def draw_once(df: DataFrame, seed: int) -> DataFrame:
+    """``df`` with a uniform draw per row, written and read back."""
+    if DRAW in df.columns:
+        raise ValueError(f"the input has a column {DRAW}")
+    path = fresh_path(df.sparkSession, "drawn")
+    df.withColumn(DRAW, F.rand(seed)).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _cuts(weights: Sequence[float], buckets: int) -> list[int]:

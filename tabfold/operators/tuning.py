@@ -41,6 +41,7 @@ def cross_validate(
     seed: int,
     fold_column: str | None = None,
     parallelism: int = 1,
+    spread: int | None = None,
 ) -> Search:
     """Fit every grid point on every fold, then refit the best on all rows.
 
@@ -49,6 +50,7 @@ def cross_validate(
     at a time. Ties go to the first grid point. ``train`` should have no columns
     beyond those used, as it is held while the search runs.
     """
+    columns = _grid_columns(points)
     search = CrossValidator(
         estimator=estimator,
         evaluator=evaluator,
@@ -58,23 +60,38 @@ def cross_validate(
         parallelism=parallelism,
         **({"foldCol": fold_column} if fold_column else {}),
     )
-    with held(train, *train.columns) as rows:
+    with held(train, *train.columns, spread=spread) as rows:
         fitted = search.fit(rows)
     scores = fitted.avgMetrics
     pick = max if evaluator.isLargerBetter() else min
-    names = [p.name for p in points[0]]
     rows = [
-        (i, *[float(v) for v in point.values()], float(metric))
+        (i, *[kind(point[param]) for param, kind in columns], float(metric))
         for i, (point, metric) in enumerate(zip(points, scores))
     ]
-    columns = ", ".join(["grid_index int", *[f"{n} double" for n in names], "metric double"])
+    typed = [f"{param.name} {'double' if kind is float else 'string'}" for param, kind in columns]
     return Search(
-        metrics=train.sparkSession.createDataFrame(rows, columns),
+        metrics=train.sparkSession.createDataFrame(rows, ", ".join(["grid_index int", *typed, "metric double"])),
         best_model=fitted.bestModel,
         best_index=scores.index(pick(scores)),
     )
 
 
+def _grid_columns(points: list[dict]) -> list[tuple[Param, type]]:
+    """Searched parameters with their kind in the metrics table: numbers, or else text."""
+    if not points:
+        raise ValueError("the grid is empty")
+    if any(set(p) != set(points[0]) for p in points):
+        raise ValueError("grid points set different parameters")
+    if len({p.name for p in points[0]}) < len(points[0]):
+        raise ValueError("two searched parameters have one name")
+
+    def kind(param: Param) -> type:
+        values = [p[param] for p in points]
+        return float if all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in values) else str
+
+    return [(param, kind(param)) for param in points[0]]
+
+
 def best_row(metrics: DataFrame, metric: str = "metric", *, larger: bool, tie: str) -> DataFrame:
     """The best row of a metrics table, ties to the smallest ``tie`` value."""
     order = F.desc(metric) if larger else F.asc(metric)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tabfold.functions import threshold_label
 from tabfold.operators.features import (
@@ -17,7 +18,7 @@ from tabfold.operators.features import (
 )
 from tabfold.operators.models import chain, decision_tree, fit, score
 from tabfold.operators.relational import project
-from tabfold.plans.holdout import Holdout, hold_out
+from tabfold.plans.holdout import BUCKETS, Holdout, hold_out
 from tabfold.sources import FLIGHTS, read_csv
 
 # Minutes beyond which an arrival is late, and the flight columns.
@@ -25,6 +26,8 @@ LATE_AFTER = 15
 FLIGHT_NAME = "Carrier"
 FLIGHT_CATEGORIES = ("DayofMonth", "DayOfWeek", "OriginAirportID", "DestAirportID")
 FLIGHT_NUMBERS = ("DepDelay",)
+# Labels of the text column that the driver and the model hold at most.
+MAX_LABELS = 100_000
 
 
 @dataclass(frozen=True)
@@ -44,14 +47,21 @@ def classify(
     seed: int = 0,
     handle_invalid: str = "error",
     carry: Sequence[str] = (),
+    spread: int | None = None,
+    buckets: int = BUCKETS,
+    max_labels: int = MAX_LABELS,
     **tree_params,
 ) -> Classification:
     """Index the text column and the categories, scale the numbers, fit a tree.
 
     ``data`` has a double ``label``. ``carry`` names further columns of the
-    held-out rows to keep beside the predictions.
+    held-out rows to keep beside the predictions. The text column's labels become a
+    part of the model, so more than ``max_labels`` of them are refused.
     """
-    parts = hold_out(data, keys=keys, seed=None if keys else seed)
+    parts = hold_out(data, keys=keys, seed=None if keys else seed, buckets=buckets)
+    found = parts.train.select(name).distinct().limit(max_labels + 1).count()
+    if found > max_labels:
+        raise ValueError(f"column {name} has more than {max_labels} labels")
     # Column names of the stages are those of the workflow's output.
     named = string_indexer(name, f"{name}Idx", handle_invalid)
     gathered = assembler([named.getOutputCol(), *categories], "catFeatures")
@@ -66,20 +76,35 @@ def classify(
         chain(named, gathered, indexed, measured, scaled, joined, tree),
         parts.train,
         [name, *categories, *numbers, "label"],
+        spread=spread,
     )
     scored = score(model, parts.test, *carry, "features", "prediction", "trueLabel")
     return Classification(parts, model, scored)
 
 
-def late_flights(spark: SparkSession, path: str, *, seed: int, **options) -> Classification:
-    """The workflow on a flights CSV file: will the flight arrive late?"""
+def late_flights(
+    spark: SparkSession,
+    path: str,
+    *,
+    seed: int = 0,
+    keys: Sequence[str] | None = None,
+    schema: StructType | str = FLIGHTS,
+    csv: Mapping | None = None,
+    **options,
+) -> Classification:
+    """The workflow on a flights CSV file: will the flight arrive late?
+
+    ``keys`` names columns of the file that identify a row; they replace the seeded
+    split by one that neither copies nor sorts. ``schema`` declares a file with more
+    columns, ``csv`` holds reader options, ``options`` are those of ``classify``.
+    """
+    used = (FLIGHT_NAME, *FLIGHT_CATEGORIES, *FLIGHT_NUMBERS)
     flights = project(
-        read_csv(spark, path, FLIGHTS),
-        FLIGHT_NAME,
-        *FLIGHT_CATEGORIES,
-        *FLIGHT_NUMBERS,
+        read_csv(spark, path, schema, **(csv or {})),
+        *used,
+        *[k for k in keys or () if k not in used],
         label=threshold_label("ArrDelay", LATE_AFTER),
     )
     return classify(
-        flights, FLIGHT_NAME, FLIGHT_CATEGORIES, FLIGHT_NUMBERS, seed=seed, **options
+        flights, FLIGHT_NAME, FLIGHT_CATEGORIES, FLIGHT_NUMBERS, keys=keys, seed=seed, **options
     )

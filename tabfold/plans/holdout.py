@@ -11,6 +11,7 @@ from tabfold.operators.relational import rename, union_all
 from tabfold.operators.splits import hash_part, hash_split, random_split
 
 WEIGHTS = (0.7, 0.3)
+BUCKETS = 10
 PARTS = ("train", "test")
 
 
@@ -33,14 +34,18 @@ def hold_out(
     weights: Sequence[float] = WEIGHTS,
     label: str = "label",
     true_label: str = "trueLabel",
+    buckets: int = BUCKETS,
 ) -> Holdout:
-    """Split by key hash, or at random by seed; the test label is renamed."""
+    """Split by key hash, or at random by seed; the test label is renamed.
+
+    The weights of a split by keys must be multiples of 1 / ``buckets``.
+    """
     if (keys is None) == (seed is None):
         raise ValueError("give key columns or a seed, one of them")
     if keys is not None:
-        parts = hash_split(data, keys, weights)
+        parts = hash_split(data, keys, weights, buckets=buckets)
         # One scan tells the parts apart.
-        number = hash_part(keys, weights)
+        number = hash_part(keys, weights, buckets=buckets)
         tagged = data.select(F.element_at(F.lit(list(PARTS)), number + 1).alias("part"))
     else:
         parts = random_split(data, weights, seed)

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tabfold.operators.features import assembler, minmax_scaler
 from tabfold.operators.metrics import rmse, rmse_evaluator
 from tabfold.operators.models import chain, fit, linear_regression, score
-from tabfold.operators.moments import MAX_FEATURES, ridge_search
+from tabfold.operators.moments import ridge_search
 from tabfold.operators.relational import project
 from tabfold.operators.splits import hash_fold
 from tabfold.operators.tuning import cross_validate, grid
-from tabfold.plans.holdout import Holdout, hold_out
+from tabfold.plans.holdout import BUCKETS, Holdout, hold_out
 from tabfold.sources import FLIGHTS, read_csv
 
 # The searched penalties and iteration limits, and the features.
@@ -43,21 +44,26 @@ def tuned_regression(
     folds: int = 2,
     reg_params: Sequence[float] = REG_PARAMS,
     max_iters: Sequence[int] = MAX_ITERS,
-    refit_every_point: bool = False,
+    search: str = "general",
     parallelism: int = 1,
+    spread: int | None = None,
+    buckets: int = BUCKETS,
 ) -> TunedRegression:
     """Scale, fit, search penalty by iterations over the folds, score the held-out rows.
 
     ``data`` has the features and ``label``. With ``keys`` the split and the
     folds follow the key hash; otherwise both are drawn with ``seed``.
 
-    A linear fit of few features has a closed form, which makes the search one
-    pass over the training rows. The iteration limit then has no effect: grid
-    points that differ in it tie, and the first wins. ``refit_every_point``, and
-    more features than the one pass takes, run the general search instead.
+    The general search fits every grid point on every fold. ``search="moments"``
+    computes the errors from the moments of the folds, in one pass: a linear fit
+    has a closed form, in which the iteration limit has no effect, so grid points
+    that differ in it tie and the first wins. ``spread`` deals the training rows
+    out to that many partitions while they are fitted.
     """
+    if search not in ("general", "moments"):
+        raise ValueError("search must be 'general' or 'moments'")
     features = list(features)
-    parts = hold_out(data, keys=keys, seed=None if keys else seed)
+    parts = hold_out(data, keys=keys, seed=None if keys else seed, buckets=buckets)
     fold = hash_fold(keys, folds) if keys else F.floor(F.rand(seed) * folds).cast("int")
     train = parts.train.withColumn("fold", fold).select(*features, "label", "fold")
     assemble = assembler(features)
@@ -65,8 +71,8 @@ def tuned_regression(
     line = linear_regression(scale.getOutputCol())
     steps = chain(assemble, scale, line)
     points = grid([(line.regParam, reg_params), (line.maxIter, max_iters)])
-    if refit_every_point or len(features) > MAX_FEATURES:
-        search = cross_validate(
+    if search == "general":
+        found = cross_validate(
             train,
             steps,
             rmse_evaluator(),
@@ -75,10 +81,11 @@ def tuned_regression(
             seed=seed,
             fold_column="fold",
             parallelism=parallelism,
+            spread=spread,
         )
-        metrics, best_index, model = search.metrics, search.best_index, search.best_model
+        metrics, best_index, model = found.metrics, found.best_index, found.best_model
     else:
-        scores = ridge_search(train, features, "label", "fold", reg_params).scores
+        scores = ridge_search(train, features, "label", "fold", reg_params, folds=folds).scores
         by_point = [scores[reg_params.index(p[line.regParam])] for p in points]
         best_index = by_point.index(min(by_point))
         metrics = data.sparkSession.createDataFrame(
@@ -91,14 +98,29 @@ def tuned_regression(
         line.setParams(
             regParam=points[best_index][line.regParam], maxIter=points[best_index][line.maxIter]
         )
-        model = fit(steps, train, ["features", "label"])
+        model = fit(steps, train, ["features", "label"], spread=spread)
     scored = score(model, parts.test, "normFeatures", "prediction", "trueLabel")
     return TunedRegression(parts, metrics, best_index, model, scored, rmse(scored, "trueLabel"))
 
 
-def arrival_delay(spark: SparkSession, path: str, *, seed: int, **options) -> TunedRegression:
-    """The workflow on a flights CSV file: arrival delay from five columns."""
-    flights = read_csv(spark, path, FLIGHTS)
-    return tuned_regression(
-        project(flights, *FLIGHT_FEATURES, label="ArrDelay"), FLIGHT_FEATURES, seed=seed, **options
-    )
+def arrival_delay(
+    spark: SparkSession,
+    path: str,
+    *,
+    seed: int = 0,
+    keys: Sequence[str] | None = None,
+    schema: StructType | str = FLIGHTS,
+    csv: Mapping | None = None,
+    **options,
+) -> TunedRegression:
+    """The workflow on a flights CSV file: arrival delay from five columns.
+
+    ``keys`` names columns of the file that identify a row; they replace the seeded
+    split by one that neither copies nor sorts. ``schema`` declares a file with more
+    columns, ``csv`` holds reader options, ``options`` are those of
+    ``tuned_regression``.
+    """
+    flights = read_csv(spark, path, schema, **(csv or {}))
+    extra = [k for k in keys or () if k not in FLIGHT_FEATURES]
+    data = project(flights, *FLIGHT_FEATURES, *extra, label="ArrDelay")
+    return tuned_regression(data, FLIGHT_FEATURES, keys=keys, seed=seed, **options)

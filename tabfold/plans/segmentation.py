@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeansModel
@@ -47,10 +47,15 @@ def segment(
     ks: Iterable[int] = range(2, 7),
     seed: int = 0,
     parallelism: int = 1,
+    spread: int | None = None,
+    **params,
 ) -> Segmentation:
-    """Sweep k, take the k with the best silhouette, and assign every row."""
+    """Sweep k, take the k with the best silhouette, and assign every row.
+
+    ``params`` are those of the k-means estimator.
+    """
     vectors = assemble(data, features)
-    sweep = kmeans_sweep(vectors, "features", ks, seed=seed, parallelism=parallelism)
+    sweep = kmeans_sweep(vectors, "features", ks, seed=seed, parallelism=parallelism, spread=spread, **params)
     model = sweep.best_model()
     return Segmentation(
         sweep,
@@ -63,16 +68,21 @@ def segment(
 
 
 def segment_customers(
-    spark: SparkSession, path: str, *, schema: StructType | None = None, **options
+    spark: SparkSession,
+    path: str,
+    *,
+    schema: StructType | str | None = None,
+    csv: Mapping | None = None,
+    **options,
 ) -> Segmentation:
     """The workflow on a customers CSV file.
 
     Types are inferred, at the cost of reading the file once more, unless a
-    schema such as ``CUSTOMERS`` is given.
+    schema such as ``CUSTOMERS`` is given. ``csv`` holds reader options.
     """
     customers = sql(
         spark,
         "SELECT * FROM customers_csv",
-        customers_csv=read_csv(spark, path, schema, infer=schema is None),
+        customers_csv=read_csv(spark, path, schema, infer=schema is None, **(csv or {})),
     )
     return segment(customers, CUSTOMER_FEATURES, **options)

@@ -122,3 +122,15 @@ def test_profile(grouped):
     rows = {r["g"]: r for r in op.cluster_profile(grouped, "g", ["x", "y"]).collect()}
     assert rows[1]["n_rows"] == 100
     assert (rows[1]["min_x"], rows[1]["max_x"], rows[1]["avg_x"]) == (100.0, 104.0, 102.0)
+
+
+def test_squared_distance_has_one_form_and_checks_the_length(spark):
+    from tabfold.functions import squared_distance
+
+    for size in (3, 40):
+        df = spark.createDataFrame([([2.0] * size,), (None,)], "x array<double>")
+        found = [r.d for r in df.select(squared_distance(F.col("x"), [0.0] * size).alias("d")).collect()]
+        assert found == [4.0 * size, None]
+        for wrong in (size - 1, size + 1):
+            with pytest.raises(Exception, match=f"not {wrong} values but {size}"):
+                df.select(squared_distance(F.col("x"), [0.0] * wrong).alias("d")).collect()

@@ -38,6 +38,8 @@ def test_linear_regression_by_hand(spark, points, penalty, slope):
     vectors = assemble(points, ["x"])
     model = linear_regression(regParam=penalty).fit(vectors)
     table = {r["term"]: r["value"] for r in coefficients(spark, model, ["x"]).collect()}
+    with pytest.raises(ValueError):
+        coefficients(spark, model, ["x", "y"])
     assert table["x"] == pytest.approx(slope, abs=1e-9)
     assert table["intercept"] == pytest.approx(27.9 / 5 - slope * 19 / 5, abs=1e-8)
 

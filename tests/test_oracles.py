@@ -13,7 +13,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tabfold.catalogue import ORACLES, QUERIES
 
 # Fitted models without a closed form; their invariants are tested elsewhere.
-NO_ORACLE = {"kmeans_sweep", "random_split_counts", "sentiment_scores", "tree_scores"}
+NO_ORACLE = {"sentiment_scores", "tree_scores"}
 
 
 @pytest.fixture(scope="module")

@@ -47,14 +47,34 @@ def test_arrival_delay(spark, flights):
     assert line.getRegParam() == best["regParam"] and line.getMaxIter() == best["maxIter"]
 
 
+def test_workflows_take_keys_and_reader_options(spark, tmp_path):
+    names = "Id|DayofMonth|DayOfWeek|Carrier|OriginAirportID|DestAirportID|DepDelay|ArrDelay"
+    rows = [f"{i}|{i % 28 + 1}|{i % 7 + 1}|C{i % 3}|{i % 11}|{i % 13}|{i % 50}|{i % 50 + i % 5}" for i in range(400)]
+    path = tmp_path / "flights.csv"
+    path.write_text("\n".join([names, *rows]) + "\n")
+    schema = "Id INT NOT NULL, " + ", ".join(f"{f.name} {f.dataType.simpleString()} NOT NULL" for f in FLIGHTS.fields)
+    options = dict(keys=["Id"], schema=schema, csv={"sep": "|"}, buckets=100)
+    tuned = arrival_delay(spark, str(path), search="moments", spread=2, **options)
+    assert tuned.rmse.first()["rmse"] < 3
+    late = late_flights(spark, str(path), handle_invalid="keep", carry=["Id"], **options)
+    assert late.predictions.columns == ["Id", "features", "prediction", "trueLabel"]
+    with pytest.raises(ValueError, match="more than 2 labels"):
+        late_flights(spark, str(path), max_labels=2, **options)
+    tweets = tmp_path / "tweets.csv"
+    tweets.write_text("Id;Sentiment;SentimentText\n" + "".join(f'{i};{i % 2};"good\n{"day" if i % 2 else "sad"} {i}"\n' for i in range(200)))
+    mood = tweet_sentiment(spark, str(tweets), keys=["Id"], csv={"sep": ";", "multiLine": True}, size=4096, max_iter=30, tol=1e-9)
+    scored = mood.predictions("Id")
+    assert 30 < scored.count() < 100 and scored.where("prediction <> trueLabel").count() == 0
+
+
 def test_both_searches_agree(spark, folder):
     data = load_table(spark, folder, "lineitem").withColumn("label", F.col("l_extendedprice"))
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
     one, every = (
         tuned_regression(
-            data, ["l_quantity", "l_discount"], keys=keys, refit_every_point=r, parallelism=4
+            data, ["l_quantity", "l_discount"], keys=keys, search=search, parallelism=4
         )
-        for r in (False, True)
+        for search in ("moments", "general")
     )
     assert one.best_index == every.best_index
     assert [r["metric"] for r in one.metrics.orderBy("grid_index").collect()] == pytest.approx(

@@ -44,17 +44,38 @@ def test_folds_are_independent_of_the_split(spark):
     assert row["f"] == bucket("0", 5, draw=1)
 
 
-@pytest.mark.parametrize("keep", [True, False])
-def test_random_split_is_whole_and_seeded(spark, keep):
+def test_random_split_is_whole_and_seeded(spark):
     df = spark.range(4000)
-    parts = random_split(df, [0.7, 0.3], 5, keep=keep)
+    parts = random_split(df, [0.7, 0.3], 5)
     ids = [{r["id"] for r in p.collect()} for p in parts]
     assert not ids[0] & ids[1] and ids[0] | ids[1] == set(range(4000))
     assert 2600 < len(ids[0]) < 3000
-    again = random_split(df, [0.7, 0.3], 5, keep=keep)
+    again = random_split(df, [0.7, 0.3], 5)
     assert {r["id"] for r in again[0].collect()} == ids[0]
 
 
+def test_random_parts_are_filters_without_a_sort(spark, capsys):
+    for part in random_split(spark.range(100).withColumn("v", F.lit("x")), [1, 1, 2], 5):
+        part.select("id").explain()
+        plan = capsys.readouterr().out
+        assert "Sort" not in plan and "Exchange" not in plan and "ReadSchema: struct<id:bigint,_draw:double>" in plan
+
+
+def test_keys_that_look_alike_are_told_apart_and_null_keys_refused(spark):
+    pairs = [("1-2", "3"), ("1", "2-3"), ("1\\", "-2-3"), ("1", "\\2-3")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert len({r.f for r in df.select(hash_fold(["a", "b"], 1 << 30).alias("f")).collect()}) == 4
+    for keys in (["a"], ["a", "b"]):
+        with pytest.raises(Exception, match="null in key column a"):
+            hash_split(spark.createDataFrame([(None, "x")], "a string, b string"), keys, [1, 1])[0].collect()
+
+
+def test_hold_out_takes_finer_weights(spark):
+    df = spark.range(2000).withColumn("label", F.lit(1.0))
+    parts = hold_out(df, keys=["id"], weights=(0.75, 0.25), buckets=100)
+    assert {r["id"] for r in parts.train.collect()} == {i for i in range(2000) if bucket(str(i), 100) < 75}
+
+
 def test_hold_out_renames_the_test_label_and_counts(spark):
     df = spark.range(1000).withColumn("label", F.lit(1.0))
     parts = hold_out(df, keys=["id"])

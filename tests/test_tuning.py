@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tabfold.operators.features import assembler, minmax_scaler
 from tabfold.operators.metrics import rmse, rmse_evaluator
 from tabfold.operators.models import chain, linear_regression
-from tabfold.operators.moments import Moments, collect_moments, moments_table, predict, ridge_search, solve
+from tabfold.operators.moments import Moments, moments_table, predict, ridge_search, solve
 from tabfold.operators.tuning import best_row, cross_validate, grid
 from tabfold.sources import load_table
 
@@ -62,7 +62,7 @@ def test_iteration_limit_ties_and_the_first_wins(searched):
 
 
 def test_one_pass_search_equals_the_general_one(train, searched):
-    found = ridge_search(train, FEATURES, "label", "fold", [300.0, 0.01])
+    found = ridge_search(train, FEATURES, "label", "fold", [300.0, 0.01], folds=3)
     general = searched.metrics.where("maxIter = 10").orderBy("grid_index").collect()
     assert found.scores == pytest.approx([r["metric"] for r in general], rel=1e-9)
     one = predict(train, found.best, FEATURES, "p1")
@@ -85,7 +85,7 @@ def test_random_folds_need_only_a_seed(train):
 
 
 def test_moments_merge_exactly(train):
-    parts = collect_moments(moments_table(train, FEATURES, "label", "fold"), len(FEATURES) + 1)
+    parts = moments_table(train, FEATURES, "label", "fold").collect(3)
     assert len(parts) == 3
     whole = Moments.union(parts)
     data = np.array(train.drop("fold").collect(), dtype=float)
@@ -95,14 +95,14 @@ def test_moments_merge_exactly(train):
 
 
 def test_error_from_moments_is_the_error_of_the_rows(train):
-    parts = collect_moments(moments_table(train, FEATURES, "label", "fold"), len(FEATURES) + 1)
+    parts = moments_table(train, FEATURES, "label", "fold").collect(3)
     fitted = solve(Moments.union(parts[1:]), 0.3)
     held_out = predict(train.where("fold = 0"), fitted, FEATURES)
     assert fitted.rmse(parts[0]) == pytest.approx(rmse(held_out).first()["rmse"], rel=1e-10)
 
 
 def test_one_pass_is_one_grouped_aggregate(train, capsys):
-    moments_table(train, FEATURES, "label", "fold").explain()
+    moments_table(train, FEATURES, "label", "fold").rows.explain()
     plan = capsys.readouterr().out
     assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1
     assert "BatchEvalPython" not in plan
@@ -113,21 +113,44 @@ def test_constant_columns_and_labels(spark):
         [(float(i), 3.0, 2.0 * i + 1, i % 2) for i in range(10)],
         "x double, k double, label double, fold int",
     )
-    best = ridge_search(df, ["x", "k"], "label", "fold", [0.0]).best
+    best = ridge_search(df, ["x", "k"], "label", "fold", [0.0], folds=2).best
     assert best.weights.tolist() == pytest.approx([2.0, 0.0])
     assert best.intercept == pytest.approx(1.0)
-    flat = ridge_search(df, ["x"], "k", "fold", [0.3]).best
+    flat = ridge_search(df, ["x"], "k", "fold", [0.3], folds=2).best
     assert flat.weights.tolist() == [0.0] and flat.intercept == 3.0
 
 
-def test_one_pass_refuses_nulls_single_folds_and_wide_inputs(spark):
+def test_collinear_columns_get_the_least_weights(spark):
+    df = spark.createDataFrame(
+        [(float(i), float(i), 3.0 * i + (i % 3) * 0.01, i % 2) for i in range(30)], "x double, y double, label double, fold int"
+    )
+    best = ridge_search(df, ["x", "y"], "label", "fold", [0.0], folds=2).best
+    model = linear_regression().fit(assembler(["x", "y"]).transform(df))
+    assert best.weights.tolist() == pytest.approx(list(model.coefficients), rel=1e-6)
+    assert best.intercept == pytest.approx(model.intercept, abs=1e-6)
+
+
+def test_grid_values_of_any_kind_and_checked_before_fitting(train):
+    line = linear_regression()
+    steps = chain(assembler(FEATURES), line)
+    points = grid([(line.solver, ["normal", "auto"]), (line.regParam, [0.3])])
+    found = cross_validate(train, steps, rmse_evaluator(), points, folds=3, seed=1, fold_column="fold")
+    rows = found.metrics.orderBy("grid_index").collect()
+    assert [(r.solver, r.regParam) for r in rows] == [("normal", 0.3), ("auto", 0.3)]
+    uneven = [{line.regParam: 0.1}, {line.maxIter: 5}]
+    with pytest.raises(ValueError, match="different parameters"):
+        cross_validate(None, steps, rmse_evaluator(), uneven, folds=2, seed=1)
+
+
+def test_one_pass_refuses_nulls_and_wrong_folds(spark):
     df = spark.createDataFrame([(1.0, 1.0, 0), (None, 2.0, 1)], "x double, label double, fold int")
     with pytest.raises(Exception, match="null in required column x"):
-        ridge_search(df, ["x"], "label", "fold", [0.1])
-    with pytest.raises(ValueError):
-        ridge_search(df.where("fold = 0"), ["x"], "label", "fold", [0.1])
-    with pytest.raises(ValueError):
-        moments_table(df, [f"c{i}" for i in range(41)], "label", "fold")
+        ridge_search(df, ["x"], "label", "fold", [0.1], folds=2)
+    with pytest.raises(ValueError, match="fewer than 2"):
+        ridge_search(df.where("fold = 0"), ["x"], "label", "fold", [0.1], folds=2)
+    ids = spark.range(50).selectExpr("id as x", "id as label", "id as fold")
+    with pytest.raises(ValueError, match="more than 2"):
+        ridge_search(ids, ["x"], "label", "fold", [0.1], folds=2)
 
 
 def test_best_row_breaks_ties_by_the_smallest(spark):
