@@ -100,9 +100,11 @@ def row_count(spark: SparkSession, folder: str) -> DataFrame:
 @registered(
     " UNION ALL ".join(
         f"SELECT {i}::integer AS position, '{name}' AS column_name, '{kind}' AS data_type, "
-        f"(count(*) - count({name}))::bigint AS n_null FROM lineitem"
+        f"true AS nullable, (count(*) - count({name}))::bigint AS n_null FROM lineitem"
         for i, (name, kind) in enumerate(LINEITEM_TYPES.items(), start=1)
     )
 )
 def schema_report(spark: SparkSession, folder: str) -> DataFrame:
-    return op.schema_table(load_table(spark, folder, "lineitem"))
+    """The schema, and beside it what one pass over the rows finds."""
+    lines = load_table(spark, folder, "lineitem")
+    return op.schema_table(lines).join(op.null_counts(lines), "column_name")

@@ -1,4 +1,5 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tabfold.catalogue.registry import registered
 from tabfold.session import fresh_path
@@ -60,3 +61,26 @@ def view_project(spark: SparkSession, folder: str) -> DataFrame:
         "SELECT c_custkey, c_acctbal AS balance FROM balances",
         balances=load_table(spark, folder, "customer"),
     )
+
+
+LINES = StructType(
+    [
+        StructField("l_orderkey", LongType(), nullable=False),
+        StructField("l_linenumber", IntegerType(), nullable=False),
+        StructField("l_quantity", DoubleType(), nullable=False),
+        StructField("l_returnflag", StringType(), nullable=False),
+    ]
+)
+
+
+@registered(
+    "SELECT l_returnflag, count(*) AS n_rows, round(sum(l_quantity), 4) AS quantity, max(l_linenumber) AS last_line "
+    "FROM lineitem WHERE l_quantity > 15 GROUP BY l_returnflag"
+)
+def csv_not_null(spark: SparkSession, folder: str) -> DataFrame:
+    """A filtered aggregate over a CSV whose columns are declared as not null."""
+    path = _as_csv(load_table(spark, folder, "lineitem").select(*LINES.names))
+    lines = read_csv(spark, path, LINES, where="l_quantity > 15")
+    return lines.groupBy("l_returnflag").agg(
+        F.count("*").alias("n_rows"), F.round(F.sum("l_quantity"), 4).alias("quantity"), F.max("l_linenumber").alias("last_line")
+    )

@@ -4,6 +4,7 @@ from tabfold.catalogue.registry import registered
 from tabfold.catalogue.stop_words import ENGLISH
 from tabfold.functions import split_words, without_words
 from tabfold.operators import text as op
+from tabfold.operators.features import assemble
 from tabfold.sources import load_table
 
 SPACE = r"[ \t\n\x0B\f\r]"
@@ -139,3 +140,17 @@ SELECT doc_id, slot, sum(n)::double AS n FROM counts JOIN slots USING (term) GRO
 def hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
     hashed = op.hash_terms(_kept(spark, folder), "kept_words")
     return op.hashed_counts(hashed, ["doc_id"], "features")
+
+
+@registered(
+    "SELECT doc_id, slot, n FROM (VALUES (0, 1.0::double), (1, 2.0::double)) v(slot, n), documents "
+    "UNION ALL SELECT doc_id + 1000000000, 0, n_chars::double FROM documents WHERE n_chars <> 0"
+)
+def mixed_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Elements of dense and of sparse vectors in one column; zeros are left out."""
+    docs = load_table(spark, folder, "documents").withColumns({"one": F.lit(1.0), "two": F.lit(2.0), "none": F.lit(0.0)})
+    # The assembler stores a vector densely or sparsely, whichever is shorter.
+    dense = assemble(docs, ["one", "two", "none"], "v").select("doc_id", "v")
+    wide = assemble(docs, ["n_chars", *["none"] * 20], "v")
+    sparse = wide.select((F.col("doc_id") + 1_000_000_000).alias("doc_id"), "v")
+    return op.hashed_counts(dense.unionByName(sparse), ["doc_id"], "v")

@@ -11,12 +11,9 @@ def threshold_label(column: str, limit: float) -> Column:
 
 
 def cast_label(column: str, on_bad: str = "error", to: str = "int") -> Column:
-    """Cast to the label type; text that is no number fails the query or gives null."""
+    """Cast to the label type; a value that is none of it fails the query or gives null."""
     if on_bad == "error":
         return F.col(column).cast(to)
     if on_bad == "null":
-        # A failed cast raises inside and is slow; text without any digit is
-        # sorted out before, as no such text is a number.
-        text = F.col(column)
-        return F.when(text.cast("string").rlike("[0-9]"), text).try_cast(to)
+        return F.col(column).try_cast(to)
     raise ValueError("on_bad must be 'error' or 'null'")

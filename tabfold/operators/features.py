@@ -10,16 +10,15 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorIndexer,
 )
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabfold.functions import as_array, rescale
 from tabfold.operators.positions import with_position
 
-# A label table is broadcast up to this size; a larger one is joined by shuffle.
+# Labels are broadcast up to this size, the most frequent first; of a larger table
+# at most so many labels.
 BROADCAST_BYTES = 64 << 20
-# Rows of the most frequent labels never go through a shuffle join.
 HOT_LABELS = 10_000
-HOT_LABEL_LENGTH = 1_000
 
 
 # --- stages for ML pipelines -------------------------------------------------
@@ -58,9 +57,15 @@ def assemble(
 
 
 def vector_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:
-    """Vector elements as scalar columns, in place of the vector."""
+    """Vector elements as scalar columns, in place of the vector.
+
+    A vector of another length than ``names`` fails the query.
+    """
+    values = as_array(vector)
+    unequal = F.raise_error(F.concat(F.lit(f"not {len(names)} elements but "), F.size(values).cast("string")))
+    checked = F.when(values.isNotNull() & (F.size(values) != len(names)), unequal).otherwise(values)
     elements = {n: F.col("_values")[i] for i, n in enumerate(names)}
-    return df.withColumn("_values", as_array(vector)).withColumns(elements).drop("_values", vector)
+    return df.withColumn("_values", checked).withColumns(elements).drop("_values", vector)
 
 
 # --- min-max scaling on plain columns ----------------------------------------
@@ -102,31 +107,36 @@ def string_labels(df: DataFrame, column: str) -> DataFrame:
 def index_strings(
     df: DataFrame, column: str, labels: DataFrame, out: str, handle_invalid: str = "error"
 ) -> DataFrame:
-    """Add each row's label index from a ``string_labels`` table.
+    """Add each row's label index from a ``string_labels`` table, in one scan.
 
-    A label table of checked small size is broadcast. Beyond that size only the
-    most frequent labels are: their rows are done without a shuffle, which leaves
-    no hot key for the shuffle join that serves the remaining labels.
+    The most frequent labels, up to ``BROADCAST_BYTES``, are broadcast. If that is
+    not all of them, the rows still without an index take part in a shuffle join
+    with the others; rows that are served, or null, go along under keys of their
+    own that match nothing and are spread over all tasks.
     """
-    size = labels.agg(F.sum(F.octet_length("label") + 32).alias("bytes"), F.count("*").alias("n")).first()
-    table = labels.select(F.col("label").alias("_label"), F.col("index").cast("double").alias("_index"))
-    on = F.col(column).cast("string") == F.col("_label")
-    if (size["bytes"] or 0) <= BROADCAST_BYTES:
-        found = df.join(F.broadcast(table), on, "left")
-    else:
-        hot = (F.col("_index") < HOT_LABELS) & (F.length("_label") <= HOT_LABEL_LENGTH)
-        head = F.broadcast(table.where(hot))
-        rest = df.join(head.select("_label"), on, "left_anti")
-        # Nulls match nothing, and as join keys would all meet in one task.
-        tail = rest.where(F.col(column).isNotNull()).join(table.where(~hot), on, "left")
-        nulls = rest.where(F.col(column).isNull())
-        found = (
-            df.join(head, on, "inner")
-            .unionByName(tail)
-            .unionByName(nulls, allowMissingColumns=True)
-        )
-    return _settle(found, F.col("_index"), column, out, size["n"], handle_invalid).drop(
-        "_label", "_index"
+    sized = labels.select(
+        F.col("label").alias("_label"), F.col("index").cast("double").alias("_index"), "n", (F.octet_length("label") + 32).alias("_bytes")
+    )
+    total = sized.agg(F.sum("_bytes").alias("bytes"), F.count("*").alias("n")).first()
+    text = F.col(f"`{column}`").cast("string")
+    if (total["bytes"] or 0) <= BROADCAST_BYTES:
+        found = df.join(F.broadcast(sized.select("_label", "_index")), text == F.col("_label"), "left")
+        return _settle(found, F.col("_index"), column, out, total["n"], handle_invalid).drop("_label", "_index")
+    # At most HOT_LABELS rows are summed up in order.
+    upto = F.sum("_bytes").over(Window.orderBy("_index").rowsBetween(Window.unboundedPreceding, 0))
+    hot = sized.where(F.col("_index") < HOT_LABELS).withColumn("_upto", upto).where(F.col("_upto") <= BROADCAST_BYTES)
+    n_hot = hot.count()
+    head = sized.where(F.col("_index") < n_hot).select(F.col("_label").alias("_hot"), F.col("_index").alias("_hot_index"))
+    rest = sized.where(F.col("_index") >= n_hot).select("_label", "_index")
+    served = df.join(F.broadcast(head), text == F.col("_hot"), "left")
+    waiting = F.col("_hot").isNull() & text.isNotNull()
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    keyed = served.withColumns({"_wanted": F.when(waiting, text), "_salt": F.when(waiting, F.lit(0).cast("long")).otherwise(spread)})
+    on = (F.col("_wanted") == F.col("_label")) & (F.col("_salt") == F.col("_zero"))
+    found = keyed.join(rest.withColumn("_zero", F.lit(0).cast("long")), on, "left")
+    index = F.coalesce("_hot_index", "_index")
+    return _settle(found, index, column, out, total["n"], handle_invalid).drop(
+        "_label", "_index", "_hot", "_hot_index", "_wanted", "_salt", "_zero"
     )
 
 

@@ -6,11 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabfold.operators.positions import with_position
-
-# Largest row_number() limit that Spark applies to each group in the map tasks.
-TRIM_SETTING, TRIM_DEFAULT = "spark.sql.optimizer.windowGroupLimitThreshold", "1000"
-BROADCAST_GROUPS = 100_000
+# Tasks that share a group's rows before they meet in one.
+SALTS = 64
 
 
 def project(df: DataFrame, *columns: str | Column, **renamed: str | Column) -> DataFrame:
@@ -45,29 +42,20 @@ def preview(df: DataFrame, n: int, order_by: list[str | Column]) -> DataFrame:
 
 
 def rows_per_group(df: DataFrame, group: str, n: int, order_by: list[str]) -> DataFrame:
-    """First n rows of every group in one pass, with their position ``rn``.
+    """First n rows of every group, with their position ``rn``; one plan for every n.
 
-    Up to a limit Spark keeps at most n rows per group in each map task before it
-    shuffles, so a group that holds most rows stays cheap. Beyond the limit the
-    rows are numbered by a distributed sort, and a group's first number is taken
-    off: no task ever holds a whole group.
+    Rows are trimmed twice: to n per group and salt, then to n per group. A group
+    that holds most rows is spread over ``SALTS`` tasks in the first step, and the
+    second one sees at most n times as many rows of it. Rows that tie in
+    ``order_by`` follow the hash of all their columns, in any layout.
     """
-    spark = df.sparkSession
-    if n <= int(spark.conf.get(TRIM_SETTING, TRIM_DEFAULT)):
-        ranked = Window.partitionBy(group).orderBy(*order_by)
-        return df.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= n)
-    # The row id parts equal rows, which would all sort into one task.
-    told_apart = df.withColumn("_id_tie", F.monotonically_increasing_id())
-    numbered = with_position(told_apart, [F.col(c) for c in (group, *order_by, "_id_tie")], "_at")
-    starts = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("_at").alias("_start"))
-    if starts.count() <= BROADCAST_GROUPS:
-        starts = F.broadcast(starts)
-    return (
-        numbered.join(starts, F.col(group).eqNullSafe(F.col("_group")))
-        .withColumn("rn", (F.col("_at") - F.col("_start") + 1).cast("int"))
-        .where(F.col("rn") <= n)
-        .drop("_id_tie", "_at", "_group", "_start")
-    )
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    salted = df.withColumn("_tie", tie).withColumn("_salt", F.pmod("_tie", F.lit(SALTS)))
+    order = [*order_by, "_tie"]
+    for keys in ([group, "_salt"], [group]):
+        ranked = Window.partitionBy(*keys).orderBy(*order)
+        salted = salted.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= n)
+    return salted.drop("_tie", "_salt")
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
@@ -75,22 +63,18 @@ def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
 
 
 def schema_table(df: DataFrame) -> DataFrame:
-    """Schema as rows: position, column, type, and the number of null values found.
+    """Schema as rows: position, column, type and nullable flag. Reads no data."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields, start=1)]
+    return df.sparkSession.createDataFrame(
+        rows, "position int, column_name string, data_type string, nullable boolean"
+    )
 
-    The declared nullable flag of a file scan is always true, so nullability is
-    reported as what one pass over the data shows.
-    """
+
+def null_counts(df: DataFrame) -> DataFrame:
+    """Rows (column_name, n_null) for every column, from one pass over all of them."""
     fields = df.schema.fields
     nulls = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"c{i}") for i, f in enumerate(fields)])
-    rows = [
-        F.struct(
-            F.lit(i + 1).alias("position"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.col(f"c{i}").alias("n_null"),
-        )
-        for i, f in enumerate(fields)
-    ]
+    rows = [F.struct(F.lit(f.name).alias("column_name"), F.col(f"c{i}").alias("n_null")) for i, f in enumerate(fields)]
     return nulls.select(F.inline(F.array(*rows)))
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from tabfold.functions.tokens import word_counts
 
 HASHED_SIZE = 1 << 18
+# Fixed value: the mark of a sparse vector in its stored form.
+SPARSE = 0
 
 
 def tokenizer(column: str, out: str = "words") -> Tokenizer:
@@ -48,15 +50,18 @@ def term_counts(df: DataFrame, keys: Sequence[str], words: str) -> DataFrame:
 
 
 def hashed_counts(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
-    """One row (keys, slot, n) per non-zero element of a sparse vector column.
+    """One row (keys, slot, n) per non-zero element of a vector column.
 
-    Reads the stored indices and values; the full width is never written out.
+    Of a sparse vector the stored indices and values are read, and its full width
+    is never written out; a dense vector has its values in the order of the slots.
     """
-    sparse = F.unwrap_udt(F.col(vector))
-    pairs = F.arrays_zip(sparse["indices"].alias("slot"), sparse["values"].alias("n"))
-    return df.select(*keys, F.inline(pairs))
+    stored = F.unwrap_udt(F.col(vector))
+    every = F.transform(stored["values"], lambda v, i: i.cast("int"))
+    slots = F.when(stored["type"] == SPARSE, stored["indices"]).otherwise(every)
+    pairs = F.arrays_zip(slots.alias("slot"), stored["values"].alias("n"))
+    return df.select(*keys, F.inline(F.filter(pairs, lambda p: p["n"] != 0)))
 
 
 def vector_mass(vector: str):
-    """Sum of the stored values of a sparse vector column."""
+    """Sum of the stored values of a vector column."""
     return F.aggregate(F.unwrap_udt(F.col(vector))["values"], F.lit(0.0), lambda s, v: s + v)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -16,6 +16,7 @@ def read_csv(
     infer: bool = False,
     header: bool = True,
     sep: str = ",",
+    where: str | Column | None = None,
     **options,
 ) -> DataFrame:
     """Read CSV with a declared schema, inferred types, or all columns as strings.
@@ -26,7 +27,14 @@ def read_csv(
     Text with doubled quotes needs ``escape='"'``. Text with
     line breaks needs ``multiLine=True``, which stops Spark from splitting a file
     among tasks, so such inputs should come as many files of moderate size.
+
+    Columns that the schema (a ``StructType`` or DDL text) declares as not null are
+    checked as the rows stream by. A filter given as ``where`` goes to the scan,
+    ahead of the check; one applied to the result stops at it. ``null_counts``
+    checks every column of every row.
     """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     if schema is not None and infer:
         raise ValueError("give a schema or ask for inference, not both")
     if schema is not None and header:
@@ -35,6 +43,8 @@ def read_csv(
     reader = spark.read.format("csv").options(header=header, sep=sep, **options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
     df = reader.load(path)
+    if where is not None:
+        df = df.where(where)
     if isinstance(schema, StructType):
         # A file read reports every column as nullable, so declared non-null
         # columns are enforced on the rows.

@@ -7,11 +7,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
-from tabfold.operators.features import assemble, string_labels
+from tabfold.catalogue import QUERIES
+from tabfold.operators import features
+from tabfold.operators.features import assemble, index_strings, string_labels
 from tabfold.operators.relational import filter_equals, preview, rows_per_group
 from tabfold.operators.splits import hash_split
-from tabfold.sources import load_table
+from tabfold.sources import FLIGHTS, load_table, read_csv
 
 
 def plan_of(df):
@@ -21,9 +22,9 @@ def plan_of(df):
     return text.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairing_and_no_python_rows(spark, folder, name):
-    plan = plan_of(queries()[name](spark, folder))
+    plan = plan_of(QUERIES[name](spark, folder))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas"):
         assert banned not in plan, plan
 
@@ -44,7 +45,7 @@ def test_no_pairing_and_no_python_rows(spark, folder, name):
 )
 def test_only_used_columns_are_read(spark, folder, name, columns):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    schemas = re.findall(r"ReadSchema: struct<(.*?)>", plan_of(queries()[name](spark, folder)))
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", plan_of(QUERIES[name](spark, folder)))
     read = {field.split(":")[0] for s in schemas for field in s.split(",")}
     assert read == columns
 
@@ -60,7 +61,7 @@ def test_hash_split_moves_nothing(spark, folder):
 
 
 def test_split_counts_take_one_scan(spark, folder):
-    plan = plan_of(queries()["hash_split_counts"](spark, folder))
+    plan = plan_of(QUERIES["hash_split_counts"](spark, folder))
     assert plan.count("FileScan") == 1
 
 
@@ -75,12 +76,39 @@ def test_groups_are_trimmed_before_the_shuffle(spark, folder):
     assert "WindowGroupLimit" in below and "Partial" in below
 
 
-def test_large_limits_need_no_window_over_a_group(spark, folder):
+def test_groups_are_trimmed_by_salt_before_they_meet(spark, folder):
     orders = load_table(spark, folder, "orders")
-    plan = plan_of(rows_per_group(orders, "o_orderstatus", 2000, ["o_orderkey"]))
-    # The windows left run over one row per sort partition.
-    windows = [line for line in plan.splitlines() if "Window " in line]
-    assert windows and all("windowspecdefinition(_part" in line for line in windows)
+    for n in (10, 2000):
+        plan = plan_of(rows_per_group(orders, "o_orderstatus", n, ["o_orderkey"]))
+        assert plan.count("Exchange hashpartitioning(o_orderstatus") == 2 and plan.count("_salt") > 0
+        assert plan.count("FileScan") == 1
+
+
+def test_filters_reach_the_scan_of_a_declared_csv(spark, tmp_path):
+    row = ",".join(["1", "1", "AA", "1", "1", "1", "20"])
+    (tmp_path / "f.csv").write_text(",".join(FLIGHTS.names) + f"\n{row}\n")
+    plan = plan_of(read_csv(spark, str(tmp_path / "f.csv"), FLIGHTS, where="ArrDelay > 15").select("Carrier"))
+    assert "GreaterThan(ArrDelay,15)" in plan
+
+
+def test_string_indexes_beyond_the_broadcast_take_one_scan(spark, folder, monkeypatch):
+    customers = load_table(spark, folder, "customer").select("c_custkey", "c_name")
+    labels = string_labels(customers, "c_name")
+    monkeypatch.setattr(features, "BROADCAST_BYTES", 1000)
+    plan = plan_of(index_strings(customers, "c_name", labels, "i"))
+    assert plan.count("FileScan") == 1
+
+
+def test_holding_rows_runs_nothing_and_keeps_one_copy(spark):
+    from tabfold.operators.holding import held
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("holding", "")
+    with held(spark.range(100), "id", spread=3) as rows:
+        assert not tracker.getJobIdsForGroup("holding")
+        assert rows.storageLevel.useMemory and rows.rdd.getNumPartitions() == 3
+    assert not rows.storageLevel.useMemory
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_label_numbering_has_no_single_task_window_over_labels(spark, folder):

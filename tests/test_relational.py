@@ -89,9 +89,19 @@ def test_rows_per_group_of_equal_rows_and_null_groups(spark):
     assert got.columns == ["g", "v", "rn"]
 
 
-def test_schema_table_counts_nulls(delays):
-    rows = op.schema_table(delays.withColumn("s", F.lit("a"))).orderBy("position").collect()
-    assert [tuple(r) for r in rows] == [(1, "v", "int", 1), (2, "s", "string", 0)]
+def test_rows_per_group_is_one_plan_for_every_limit(spark):
+    df = spark.range(20_000).select((F.col("id") % 2).alias("g"), (F.col("id") % 5).alias("v"), "id")
+    few, more = (op.rows_per_group(df, "g", n, ["v"]) for n in (999, 1001))
+    assert sorted(few.collect()) == sorted(more.where("rn <= 999").collect())
+    moved = op.rows_per_group(df.repartition(7, "id"), "g", 999, ["v"])
+    assert sorted(few.collect()) == sorted(moved.collect())
+
+
+def test_schema_table_and_null_counts(delays):
+    df = delays.withColumn("s", F.lit("a"))
+    rows = op.schema_table(df).orderBy("position").collect()
+    assert [tuple(r) for r in rows] == [(1, "v", "int", True), (2, "s", "string", False)]
+    assert {tuple(r) for r in op.null_counts(df).collect()} == {("v", 1), ("s", 0)}
 
 
 def test_row_count(delays):

@@ -1,6 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from tabfold.session import fresh_path, shared_dir
 from tabfold.sources import FLIGHTS, load_table, read_csv, register, require_not_null, sql
@@ -99,3 +99,12 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     used = shared_dir(spark)
     assert named is None or used.removeprefix("file:").startswith(named.removeprefix("file:"))
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_ddl_text_is_enforced_like_a_schema(spark, tmp_path):
+    path = tmp_path / "n.csv"
+    path.write_text("a,b\n1,x\n,y\n")
+    for schema in ("a INT NOT NULL, b STRING", StructType.fromDDL("a INT NOT NULL, b STRING")):
+        with pytest.raises(Exception, match="null in required column a"):
+            read_csv(spark, str(path), schema).collect()
+        assert read_csv(spark, str(path), schema, where="a IS NOT NULL").count() == 1

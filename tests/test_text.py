@@ -87,3 +87,12 @@ def test_hashed_counts(spark):
     # Collisions add up in a narrow vector.
     narrow = op.hash_terms(df, "w", "f", size=1)
     assert narrow.select(op.vector_mass("f").alias("m")).first()["m"] == 3.0
+
+
+def test_hashed_counts_of_dense_and_sparse_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(1, Vectors.dense([0.0, 2.0, 3.0])), (2, Vectors.sparse(3, {0: 5.0, 2: 0.0})), (3, None), (4, Vectors.sparse(3, {}))]
+    df = spark.createDataFrame(rows, ["id", "v"])
+    got = [tuple(r) for r in op.hashed_counts(df, ["id"], "v").orderBy("id", "slot").collect()]
+    assert got == [(1, 1, 2.0), (1, 2, 3.0), (2, 0, 5.0)]
