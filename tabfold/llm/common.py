@@ -50,15 +50,24 @@ def hash_part(remainder_of: int, value: Column) -> Column:
     return F.pmod(F.crc32(value.cast("string").cast("binary")), F.lit(remainder_of))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns under names that clash with no other: c0, c1, ..."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a text column."""
     return column.cast(pa.binary()).to_pylist()
 
 
 def batches_by_bytes(
-    batches: Iterable[pa.RecordBatch], column: int, limit: int = 1 << 24
+    batches: Iterable[pa.RecordBatch], column: int, limit: int = 1 << 23
 ) -> Iterator[pa.RecordBatch]:
-    """Slices of at most ``limit`` bytes in one column, or a single longer row."""
+    """Slices of at most ``limit`` bytes in one column, or a single longer row.
+
+    Python workers live on from task to task, so what Arrow has freed goes back to
+    the system after every batch.
+    """
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
         ends = np.cumsum(sizes)
@@ -68,3 +77,4 @@ def batches_by_bytes(
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()

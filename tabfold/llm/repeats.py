@@ -1,11 +1,13 @@
 """Repeated passages by sparse suffix arrays.
 
 Of all suffixes of all texts only those are kept that start at minimisers: words
-whose next ``KEY`` words have the smallest hash among ``WINDOW`` neighbours. What is
-kept depends on the words alone, so a passage of ``MIN_WORDS`` words keeps the same
+whose next words, as many as a key has, have the smallest hash among their
+neighbours. What is kept depends on the words alone, so a passage of ``MIN_WORDS`` words keeps the same
 suffix wherever it stands. Suffixes that start alike meet under one key, in the
 order of document id and place; each is compared with the first of them, extended
 to the left and right word by word, and reported if both share ``MIN_WORDS`` words.
+Places of a passage that agree with its first place are found whole; words at its
+edges that agree with some later place only are not counted to it.
 The first occurrence of a passage is never reported, so that one copy of it stays.
 
 This is done twice: a coarse selection with short keys finds the parts of texts that
@@ -31,9 +33,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from tabfold.llm.common import WORD_BYTES, WORD_TEXT, as_bytes, batches_by_bytes, settle
+from tabfold.llm.common import WORD_BYTES, WORD_TEXT, as_bytes, batches_by_bytes, numbered, settle
 from tabfold.llm.mixing import n_words
 
 MIN_WORDS = 50
@@ -42,7 +43,8 @@ MIN_WORDS = 50
 COARSE, FINE = 12, 47
 # Bits of a word's tag; the neighbours of a key have to fit 64 bits.
 TAG_BITS = 21
-KNOWN_WORDS = 500_000
+# Words whose hashes a task remembers.
+KNOWN_WORDS = 300_000
 # Rows of a table that may be broadcast, at some 20 bytes each.
 BROADCAST_ROWS = 1_000_000
 NO_ID = (1 << 63) - 1
@@ -139,6 +141,7 @@ def _coarse(key: int, window: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes.view(np.int64)), pa.array(uid), pa.array(place)], ["key", "uid", "at"]
             )
+        _known.clear()
 
     return run
 
@@ -172,6 +175,7 @@ def _fine(key: int, window: int, before: int, behind: int):
             uid = batch.column(0).to_numpy(zero_copy_only=False)[text]
             columns = [hashes.view(np.int64), uid, place, left.view(np.int64), right.view(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "uid", "at", "left", "right"])
+        _known.clear()
 
     return run
 
@@ -199,7 +203,7 @@ def _lines(matches: DataFrame) -> DataFrame:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if it is bounded; ``df`` is a written table."""
+    """Marked for broadcast if it is bounded; ``df`` is a written table of a few numbers a row."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
@@ -255,7 +259,7 @@ def content_spans(docs: DataFrame, classes: DataFrame, min_words: int = MIN_WORD
     return _lines(matches)
 
 
-def _contents(docs: DataFrame, doc_id: str, text: str, *more: Column) -> DataFrame:
+def _contents(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
     named = docs.select(
         *more, F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(f"`{text}`").alias("text")
     )
@@ -294,13 +298,17 @@ def _cut(text: bytes, spans: list[dict]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches_by_bytes(batches, 1):
-        texts = [
-            t if not s else _cut(t, s) for t, s in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist())
-        ]
-        cut = pa.array(texts, pa.binary()).cast(pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column(0), cut], ["_document", "_cut"])
+def _without(at: int):
+    """Batches whose last column holds the spans to cut from column ``at``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_by_bytes(batches, at):
+            texts = [_cut(t, s) for t, s in zip(as_bytes(batch.column(at)), batch.columns[-1].to_pylist())]
+            columns = batch.columns[:-1]
+            columns[at] = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    return run
 
 
 def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -309,8 +317,10 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     A document of which nothing is left goes, and so does a copy of an earlier one
     of ``min_words`` words. Shorter copies and empty texts stay as they are.
     """
-    rows = _contents(docs, doc_id, text, F.struct("*").alias("_document"))
-    named = rows.select("doc_id", "text", "uid").where("uid IS NOT NULL")
+    names = docs.columns
+    plain, key, body = numbered(docs), f"c{names.index(doc_id)}", f"c{names.index(text)}"
+    rows = _contents(plain, key, body, *plain.columns).drop("text")
+    named = _contents(plain, key, body).where("uid IS NOT NULL")
     ids = settle(named.select("doc_id", "uid", n_words(F.col("text")).alias("n")), "contents")
     classes = settle(ids.groupBy("uid").agg(F.min("doc_id").alias("least"), F.max("n").alias("n")), "classes")
     cuts = content_spans(named, classes.select("uid", "least"), min_words)
@@ -320,12 +330,13 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     known = settle(
         cuts.join(several, "uid", "full").join(classes.withColumnRenamed("uid", "_uid"), F.col("uid") == F.col("_uid")).drop("_uid"),
         "cuts",
-    ).withColumnRenamed("uid", "_uid")
-    joined = rows.join(_small(known), rows["uid"] == F.col("_uid"), "left")
-    copy = F.col("several") & (F.col("doc_id") != F.col("least")) & (F.col("n") >= min_words)
-    kept = joined.where(~F.coalesce(copy, F.lit(False))).select("_document", "text", "spans")
-    schema = StructType([kept.schema["_document"], StructField("_cut", StringType())])
-    cut = kept.where("spans IS NULL").select("_document", F.col("text").alias("_cut")).unionByName(
-        kept.where("spans IS NOT NULL").mapInArrow(_without, schema).where(F.regexp_like("_cut", F.lit(WORD_TEXT)))
     )
-    return cut.select(*[F.col("_cut").alias(c) if c == text else F.col(f"_document.`{c}`") for c in docs.columns])
+    # Most texts have nothing to cut and do not move; the others meet their spans.
+    ids = _small(known.select("uid"))
+    untouched = rows.join(ids, "uid", "left_anti").select(plain.columns)
+    joined = rows.join(ids, "uid", "left_semi").join(known, "uid")
+    copy = F.col("several") & (F.col("doc_id") != F.col("least")) & (F.col("n") >= min_words)
+    kept = joined.where(~F.coalesce(copy, F.lit(False))).select(*plain.columns, "spans")
+    cut = kept.where("spans IS NOT NULL").mapInArrow(_without(names.index(text)), plain.schema)
+    whole = untouched.unionByName(kept.where("spans IS NULL").select(plain.columns))
+    return whole.unionByName(cut.where(F.regexp_like(body, F.lit(WORD_TEXT)))).toDF(*names)
