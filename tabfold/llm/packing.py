@@ -40,7 +40,7 @@ ID_BYTES = 4
 # Tokens that a task gathers before it packs them.
 BLOCK_TOKENS = 1 << 21
 # Words whose ids a Python worker remembers from task to task, at some 200 bytes each.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 300_000
 # Room for the number of a partition's sequences beside the partition's own number.
 SEQUENCE_BITS = 40
 
@@ -260,7 +260,7 @@ def pack(
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         packer, types = Packer(limits, place), None
-        for batch in batches_by_bytes(batches, 1, 1 << 22):
+        for batch in batches_by_bytes(batches, 1, 1 << 21):
             types = types or [batch.schema.field(0).type, *[pa.int64()] * 5, pa.binary()]
             keys, bodies = batch.column(0).to_pylist(), words.ids(batch.column(1).to_pylist())
             heads = words.ids(batch.column(2).to_pylist()) if prompt else [b""] * len(bodies)

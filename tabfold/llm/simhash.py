@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tabfold.llm.common import WORD_BYTES, as_bytes, batches_by_bytes, settle
+from tabfold.llm.common import WORD_BYTES, as_bytes, batches_by_bytes, numbered, settle
 from tabfold.llm.components import components, forest
 from tabfold.llm.tiles import pairs_of_tiles, tile_of
 
@@ -37,6 +37,7 @@ SEED = 42
 # Fingerprints of a tile: 512 KB, so that a fingerprint is sent to few tasks, and
 # some seconds for two tiles.
 TILE = 1 << 16
+MOST_PARTITIONS = 10_000
 # Shingles whose bits are counted at a time; rows and columns of a block of pairs,
 # which fits a core's cache.
 COUNTED, ROWS, COLUMNS = 1 << 15, 16, 8192
@@ -122,6 +123,9 @@ def near_links(codes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Data
     span = lambda pick: at([pick(r) if r else 0 for r in reach])
     own = at(first[:-1]) + tile_of(F.col("fingerprint"), F.greatest(at(n_tiles), F.lit(1)))
     tasks = pairs_of_tiles(counted, own, span(min), span(max)).drop("_count")
+    # Small in bytes but not in work: as many partitions as pairs of tiles.
+    n_tasks = min(MOST_PARTITIONS, sum(n * len(r) for n, r in zip(n_tiles, reach)) or 1)
+    tasks = tasks.repartition(n_tasks, "low", "high")
     return tasks.groupBy("low", "high").applyInPandas(_compare(radius), "a long, b long")
 
 
@@ -154,12 +158,10 @@ def one_per_group(
 
     Of several rows with that id one stays, and one of a component without ids.
     """
-    packed = docs.select(
-        F.struct("*").alias("_document"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")
-    )
-    marked = settle(
-        with_fingerprint(packed.select("doc_id", "text"), words=words).select("doc_id", "fingerprint"), "fingerprints"
-    )
+    names = docs.columns
+    rows, key, body = numbered(docs), f"c{names.index(doc_id)}", f"c{names.index(text)}"
+    marked = with_fingerprint(rows.select(F.col(key).alias("doc_id"), F.col(body).alias("text")), words=words)
+    marked = settle(marked.select("doc_id", "fingerprint"), "fingerprints")
     classes = component_of_codes(marked, radius)
     heads = (
         marked.join(classes, "fingerprint")
@@ -170,9 +172,9 @@ def one_per_group(
         .agg(F.min(F.struct("fingerprint", "doc_id", "n")).alias("head"))
     )
     heads = settle(heads.select("root", "head.*"), "heads").withColumnsRenamed({"doc_id": "_id", "fingerprint": "_code"})
-    on = (F.col("fingerprint") == F.col("_code")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    kept = with_fingerprint(packed, words=words).join(heads, on)
+    on = (F.col("fingerprint") == F.col("_code")) & F.col(key).eqNullSafe(F.col("_id"))
+    kept = with_fingerprint(rows, body, words=words).join(heads, on)
     if heads.where("n > 1").limit(1).count():
         # Repeated rows of one id: any of them, the others are the same id and class.
         kept = kept.where("n = 1").unionByName(kept.where("n > 1").dropDuplicates(["root"]))
-    return kept.select("_document.*")
+    return kept.select(rows.columns).toDF(*names)

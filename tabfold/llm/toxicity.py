@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tabfold.llm.common import batches_by_bytes, settle
+from tabfold.llm.common import batches_by_bytes, numbered, settle
 
 # Characters read as a Latin letter. Letters first, by script, then
 # digits and signs; l, 1 and the stroke are read as i.
@@ -63,7 +63,7 @@ PER_DOUBLING, BINS = 8, 320
 # Scores: the rise per doubling of the density, and the score that means toxic.
 SLOPE, TOXIC_SCORE = 2.0, 0.7
 # Terms that a task holds before it hands them on.
-HELD_TERMS = 300_000
+HELD_TERMS = 200_000
 
 
 class _Folding(dict):
@@ -101,9 +101,9 @@ def _term_counts(wanted: frozenset[str] | None):
             for text in batch.column(0).to_pylist():
                 terms = _terms(set(fold(text or "").split()))
                 counts.update(terms if wanted is None else terms & wanted)
-            if len(counts) > HELD_TERMS:
-                yield _as_batch(counts)
-                counts.clear()
+                if len(counts) > HELD_TERMS:
+                    yield _as_batch(counts)
+                    counts.clear()
         yield _as_batch(counts)
 
     return run
@@ -279,5 +279,6 @@ def _best_cut(rows: DataFrame, draft: Lexicon) -> float:
 
 def without_toxic(docs: DataFrame, lexicon: Lexicon, *, text: str = "text", threshold: float = TOXIC_SCORE) -> DataFrame:
     """The documents that score below ``threshold``, with all their columns."""
-    packed = docs.select(F.struct("*").alias("_document"), F.col(f"`{text}`").alias("text"))
-    return with_score(packed, lexicon).where(F.col("score") < threshold).select("_document.*")
+    names = docs.columns
+    scored = with_score(numbered(docs), lexicon, f"c{names.index(text)}")
+    return scored.where(F.col("score") < threshold).drop("density", "score").toDF(*names)
