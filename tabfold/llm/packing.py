@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tabfold.llm.common import batches_by_bytes
 
@@ -40,7 +40,7 @@ ID_BYTES = 4
 # Tokens that a task gathers before it packs them.
 BLOCK_TOKENS = 1 << 21
 # Words whose ids a Python worker remembers from task to task, at some 200 bytes each.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 400_000
 # Room for the number of a partition's sequences beside the partition's own number.
 SEQUENCE_BITS = 40
 
@@ -64,16 +64,22 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        # For words that are lower case and split already.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    @staticmethod
+    def _encode(tokenizer: Tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[str]) -> None:
-        ids = self._encode(" ".join(words))
+        ids = self._encode(self.plain, " ".join(words))
         cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         if len(cuts) != len(words):
             raise ValueError("the tokenizer does not close each word with its mark")
@@ -88,10 +94,10 @@ class WordTokenizer:
             self.known.clear()
         new = set().union(*filter(None, words)) - self.known.keys()
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         of = self.known.__getitem__
         return [
-            b"".join(map(of, w)) if w is not None else self._encode(t).tobytes() if t else b"" for t, w in zip(texts, words)
+            b"".join(map(of, w)) if w is not None else self._encode(self.tokenizer, t).tobytes() if t else b"" for t, w in zip(texts, words)
         ]
 
 
@@ -260,7 +266,7 @@ def pack(
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         packer, types = Packer(limits, place), None
-        for batch in batches_by_bytes(batches, 1, 1 << 21):
+        for batch in batches_by_bytes(batches, 1, 1 << 22):
             types = types or [batch.schema.field(0).type, *[pa.int64()] * 5, pa.binary()]
             keys, bodies = batch.column(0).to_pylist(), words.ids(batch.column(1).to_pylist())
             heads = words.ids(batch.column(2).to_pylist()) if prompt else [b""] * len(bodies)
