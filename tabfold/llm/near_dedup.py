@@ -1,0 +1,252 @@
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash finds, the shingles decide.
+
+Texts are compared as sets of shingles of five words in lower case. Texts with equal
+sets are one class, so groups of copies shrink to a row. A class has a fingerprint
+of 256 bits; pairs that may reach the similarity are found by exclusive-or and bit
+counts over tiles of all classes whose numbers of shingles allow it. At the least
+similarity some 39 of the bits differ, give or take 6, and at random 128, so the
+radius keeps what can be similar. What is found is confirmed before it links: the
+shingles of each group of candidates are compared exactly, in tiles of bounded size,
+and a task returns a spanning forest of the links that hold.
+
+Defined results: fewer words than a shingle make one shingle of them all. Null and
+empty texts have no shingles, are copies of each other and near nothing else. A
+null id is never the smallest of a group.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tabfold.llm.common import as_bytes, batches_by_bytes, numbered, settle
+from tabfold.llm.components import components, forest
+from tabfold.llm.repeats import _mixed, _small, run_hashes, word_hashes
+from tabfold.llm.simhash import COLUMNS, MOST_PARTITIONS, ROWS, TILE
+from tabfold.llm.tiles import pairs_of_tiles, tile_of
+
+SHINGLE_WORDS = 5
+SIMILARITY = 0.8
+# Fingerprint words of 64 bits; differing bits of the first word and of all of them.
+LANES = 4
+FIRST_RADIUS, RADIUS = 22, 80
+# Shingles and classes of a tile of candidates.
+TILE_SHINGLES, TILE_CLASSES = 1 << 20, 4096
+# Shingles whose bits are counted at a time.
+COUNTED = 1 << 13
+
+_salts = np.array([0x9E3779B97F4A7C15 * (k + 1) % (1 << 64) for k in range(LANES)], np.uint64)
+_lanes = [f"w{k}" for k in range(LANES)]
+
+
+def shingles(text: bytes | None, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes of the different shingles of one text, in order."""
+    hashes, _ = word_hashes([(text or b"").lower()])
+    return np.unique(run_hashes(hashes, min(words, len(hashes)))) if len(hashes) else hashes
+
+
+def digest(found: np.ndarray) -> int:
+    """A number for a set of shingles."""
+    return xxhash.xxh64_intdigest(found.tobytes()) if len(found) else 0
+
+
+def fingerprint(found: np.ndarray) -> np.ndarray:
+    """Words of the fingerprint: a bit is set if over half the shingles have it."""
+    counts = np.zeros(64 * LANES, np.int64)
+    for at in range(0, len(found), COUNTED):
+        salted = _mixed(_mixed(found[at : at + COUNTED, None] + _salts[None]))
+        counts += np.unpackbits(salted.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return np.packbits(counts * 2 > len(found), bitorder="little").view(np.uint64)
+
+
+def _with(docs: DataFrame, text: str, make: Callable[[list[np.ndarray]], list[pa.Array]], names: list[str], words: int) -> DataFrame:
+    """All columns of ``docs``, and those that ``make`` finds from the shingles of a batch."""
+    at = docs.columns.index(text)
+    schema = StructType([*docs.schema.fields, *[StructField(n, LongType()) for n in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_by_bytes(batches, at):
+            made = make([shingles(t, words) for t in as_bytes(batch.column(at))])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *names])
+
+    return docs.mapInArrow(run, schema)
+
+
+def _codes(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array(np.array([digest(s) for s in sets], np.uint64).view(np.int64))
+
+
+def with_code(docs: DataFrame, text: str, words: int = SHINGLE_WORDS) -> DataFrame:
+    """All columns of ``docs`` and the class, ``code``."""
+    return _with(docs, text, lambda sets: [_codes(sets)], ["code"], words)
+
+
+def with_fingerprint(docs: DataFrame, text: str, words: int = SHINGLE_WORDS) -> DataFrame:
+    """All columns of ``docs``, the class, the number of its shingles and its fingerprint."""
+
+    def make(sets: list[np.ndarray]) -> list[pa.Array]:
+        bits = np.array([fingerprint(s) for s in sets], np.uint64).reshape(-1, LANES).view(np.int64)
+        sizes = pa.array([len(s) for s in sets], pa.int64())
+        return [_codes(sets), sizes, *[pa.array(bits[:, k].copy()) for k in range(LANES)]]
+
+    return _with(docs, text, make, ["code", "n", *_lanes], words)
+
+
+def _bits(pdf: pd.DataFrame) -> np.ndarray:
+    return np.stack([pdf[c].to_numpy(np.int64).view(np.uint64) for c in _lanes])
+
+
+def _sides(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    is_left = pdf["is_left"].to_numpy(bool)
+    left, right = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+    return left, right if len(right) else left
+
+
+def _near(bits: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the pairs (i, j) may be similar, by all bits and by their numbers of shingles."""
+    apart = sum(np.bitwise_count(b[i] ^ b[j]).astype(np.int16) for b in bits)
+    return (apart <= RADIUS) & (np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j]) - 1e-6)
+
+
+def _find(similarity: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes, sizes, bits = pdf["code"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), _bits(pdf)
+        left, right = _sides(pdf)
+        found = [(np.zeros(0, np.int64),) * 2]
+        held = np.empty((ROWS, COLUMNS), np.uint64)
+        for at in range(0, len(right), COLUMNS):
+            others = right[at : at + COLUMNS]
+            for start in range(0, len(left), ROWS):
+                some = left[start : start + ROWS]
+                block = held[: len(some), : len(others)]
+                np.bitwise_xor(bits[0][some, None], bits[0][None, others], out=block)
+                i, j = (np.bitwise_count(block) <= FIRST_RADIUS).nonzero()
+                i, j = some[i], others[j]
+                near = (i != j) & _near(bits, sizes, i, j, similarity)
+                if near.any():
+                    found.append((i[near], j[near]))
+        root = forest(len(codes), *map(np.concatenate, zip(*found)))
+        linked = root != np.arange(len(codes))
+        return pd.DataFrame({"a": codes[linked], "b": codes[root[linked]]})
+
+    return run
+
+
+def candidate_links(classes: DataFrame, similarity: float = SIMILARITY, tile: int = TILE) -> DataFrame:
+    """Links (a, b) that connect all classes which may be similar; a row of ``classes`` each.
+
+    Sets of which neither is over 1/similarity times the other are in the same or
+    in neighbouring bands of sizes. There are some hundred bands. Sets too small to
+    differ by a shingle and be similar are left out.
+    """
+    least = math.ceil(similarity / (1 - similarity) - 1e-6)
+    band = F.floor(F.log("n") * (1 - 1e-9) / math.log(1 / similarity)).cast("int")
+    banded = classes.where(F.col("n") >= least).select("code", "n", *_lanes).withColumn("_band", band)
+    sizes = {r["_band"]: r["rows"] for r in banded.groupBy("_band").agg(F.count("*").alias("rows")).collect()}
+    top = max(sizes, default=0)
+    n_tiles = [-(-sizes.get(b, 0) // tile) for b in range(top + 1)]
+    first = np.concatenate([[0], np.cumsum(n_tiles)]).tolist()
+    reach = [(first[max(0, b - 1)], first[min(top, b + 1) + 1] - 1) for b in range(top + 1)]
+    at = lambda values: F.array(*[F.lit(v) for v in values])[F.col("_band")]
+    own = at(first[:-1]) + tile_of(F.col("code"), F.greatest(at(n_tiles), F.lit(1)))
+    tasks = pairs_of_tiles(banded, own, at([r[0] for r in reach]), at([max(r) for r in reach])).drop("_band")
+    n_tasks = min(MOST_PARTITIONS, sum(n * (b - a + 1) for n, (a, b) in zip(n_tiles, reach)) or 1)
+    tasks = tasks.repartition(n_tasks, "low", "high")
+    return tasks.groupBy("low", "high").applyInPandas(_find(similarity), "a long, b long")
+
+
+def _confirm(similarity: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes, sizes, bits = pdf["code"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), _bits(pdf)
+        sets = [np.frombuffer(s, np.uint64) for s in pdf["shingles"]]
+        left, right = _sides(pdf)
+        root = np.arange(len(codes))
+        for i in left:
+            others = right[root[right] != root[i]]
+            others = others[_near(bits, sizes, np.full(len(others), i), others, similarity)]
+            for j in others:
+                if root[i] != root[j]:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if both / (sizes[i] + sizes[j] - both) >= similarity:
+                        root[root == root[j]] = root[i]
+        linked = root != np.arange(len(codes))
+        return pd.DataFrame({"a": codes[linked], "b": codes[root[linked]]})
+
+    return run
+
+
+def confirmed_links(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) that connect all similar classes of each group of candidates.
+
+    ``sets`` has a row (group, code, n, w0, ..., shingles) for each class.
+    """
+    whole = sets.groupBy("group").agg(F.sum("n").alias("_n"), F.count("*").alias("_rows"))
+    tiles = F.greatest(F.ceil(F.col("_n") / TILE_SHINGLES), F.ceil(F.col("_rows") / TILE_CLASSES)).cast("int")
+    dealt = sets.join(_small(settle(whole.select("group", tiles.alias("_tiles")), "groups")), "group")
+    tasks = pairs_of_tiles(dealt, tile_of(F.col("code"), F.col("_tiles")), F.lit(0), F.col("_tiles") - 1).drop("_tiles")
+    return tasks.groupBy("group", "low", "high").applyInPandas(_confirm(similarity), "a long, b long")
+
+
+def _with_shingles(docs: DataFrame, text: str, words: int) -> DataFrame:
+    """Rows (code, shingles), the hashes as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_by_bytes(batches, 0, 1 << 22):
+            sets = [shingles(t, words) for t in as_bytes(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([_codes(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["code", "shingles"])
+
+    return docs.select(text).mapInArrow(run, "code long, shingles binary")
+
+
+def similar_classes(docs: DataFrame, *, words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, code) for all rows (doc_id, text), and rows (code, root, component_id)."""
+    marked = settle(with_fingerprint(docs, "text", words).drop("text"), "fingerprints")
+    firsts = [F.min(c).alias(c) for c in ("n", *_lanes)]  # equal for all rows of a class
+    classes = settle(marked.groupBy("code").agg(F.min("doc_id").alias("least"), *firsts), "classes")
+    groups = components(candidate_links(classes, similarity)).select(F.col("node").alias("code"), F.col("root").alias("group"))
+    members = settle(classes.join(groups, "code"), "members")
+    # Texts of a class' smallest id only; another text with that id does no harm.
+    ids = _small(members.select("least").distinct())
+    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["least"]), "left_semi")
+    sets = _with_shingles(texts, "text", words).join(_small(members.select("code")), "code", "left_semi").dropDuplicates(["code"])
+    links = confirmed_links(settle(sets.join(members.drop("least"), "code"), "shingles"), similarity)
+    reached = components(links).withColumnRenamed("node", "code")
+    rooted = classes.select("code", "least").join(reached, "code", "left").withColumn("root", F.coalesce("root", "code"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.select("doc_id", "code"), settle(rooted.join(least, "root").select("code", "root", "component_id"), "classes")
+
+
+def one_per_similar(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates, all its columns.
+
+    Of several rows with that id one stays, and one of a group without ids.
+    """
+    names = docs.columns
+    rows, key, body = numbered(docs), f"c{names.index(doc_id)}", f"c{names.index(text)}"
+    marked, classes = similar_classes(
+        rows.select(F.col(key).alias("doc_id"), F.col(body).alias("text")), words=words, similarity=similarity
+    )
+    heads = (
+        marked.join(classes, "code")
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root", "doc_id", "code")
+        .agg(F.count("*").alias("n"))
+        .groupBy("root")
+        .agg(F.min(F.struct("code", "doc_id", "n")).alias("head"))
+    )
+    heads = settle(heads.select("root", "head.*"), "heads").withColumnsRenamed({"doc_id": "_id", "code": "_code"})
+    on = (F.col("code") == F.col("_code")) & F.col(key).eqNullSafe(F.col("_id"))
+    kept = with_code(rows, body, words).join(heads, on)
+    if heads.where("n > 1").limit(1).count():
+        # Repeated rows of one id: any of them, the others are the same id and class.
+        kept = kept.where("n = 1").unionByName(kept.where("n > 1").dropDuplicates(["root"]))
+    return kept.select(rows.columns).toDF(*names)

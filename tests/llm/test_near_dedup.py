@@ -1,0 +1,66 @@
+import random
+import re
+
+import pytest
+from helpers import WORD, components, documents, with_clashes
+
+import corpus_pipeline
+from tabfold.llm import near_dedup
+from tabfold.llm.near_dedup import one_per_similar
+
+
+def shingle_set(text):
+    words = re.findall(WORD, (text or "").encode().lower())
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute_links(rows):
+    sets = [shingle_set(r[1]) for r in rows]
+    similar = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b) > 0
+    return sets, [(i, j) for i in range(len(rows)) for j in range(i) if similar(sets[i], sets[j])]
+
+
+def brute_heads(rows):
+    of = components(range(len(rows)), brute_links(rows)[1])
+    ids = {}
+    for i, r in enumerate(rows):
+        ids.setdefault(of[i], []).append(r[0])
+    return sorted((min((k for k in own if k is not None), default=None) for own in ids.values()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    out = []
+    for i in range(60):
+        text = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([8, 9, 12, 40, 300]))]
+        out.append((i, " ".join(text)))
+        for copy in range(4):
+            # From well above to well below the similarity.
+            other = list(text)
+            for _ in range(max(1, round(len(text) * rng.choice([0.005, 0.015, 0.02, 0.025, 0.04])))):
+                other[rng.randrange(len(other))] = f"x{rng.randrange(5000)}"
+            out.append((1000 + 10 * i + copy, " ".join(other)))
+        out.append((3000 + i, " ".join([*text, "more"])))
+    return out + [(5, out[0][1]), (5, out[0][1]), (None, out[0][1].upper()), (7000, None), (7001, ""), (7002, "few words"), (7003, "Few  words"), (None, "unlike any other")]
+
+
+def test_equals_brute_force(spark, rows):
+    docs = with_clashes(documents(spark, rows))
+    kept = one_per_similar(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == brute_heads(rows)
+
+
+def test_small_tiles(spark, rows, monkeypatch):
+    monkeypatch.setattr(near_dedup, "TILE_CLASSES", 2)
+    assert sorted((r.doc_id for r in one_per_similar(documents(spark, rows)).collect()), key=repr) == brute_heads(rows)
+
+
+def test_stage_drops_pairs_of_the_similarity(spark, rows, folder):
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), folder)
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == brute_heads(rows)
+
+
+def test_empty(spark):
+    assert one_per_similar(documents(spark, [])).collect() == []
