@@ -4,10 +4,12 @@ Of all suffixes of all texts only those are kept that start at minimisers: words
 whose next words, as many as a key has, have the smallest hash among their
 neighbours. What is kept depends on the words alone, so a passage of ``MIN_WORDS`` words keeps the same
 suffix wherever it stands. Suffixes that start alike meet under one key, in the
-order of document id and place; each is compared with the first of them, extended
-to the left and right word by word, and reported if both share ``MIN_WORDS`` words.
-Places of a passage that agree with its first place are found whole; words at its
-edges that agree with some later place only are not counted to it.
+order of document id and place. Where all of them have the same words around the key,
+each is compared with the first, extended to the left and right word by word, and
+reported if both share ``MIN_WORDS`` words. Where those words differ, each run of
+``MIN_WORDS`` words about the key has a first place of its own, found by an aggregate
+over the words to the left and right, and each place is reported with the first of
+every run that it has. So a place meets an earlier one for all that it shares with any.
 The first occurrence of a passage is never reported, so that one copy of it stays.
 
 This is done twice: a coarse selection with short keys finds the parts of texts that
@@ -189,6 +191,28 @@ def _shared(one: str, other: str, n: int) -> Column:
     return count
 
 
+def _first_and_last(*place: str) -> tuple[Column, Column]:
+    return F.min(F.struct(*place)).alias("first"), F.max(F.struct(*place[:3])).alias("last")
+
+
+def _runs(n: int) -> Column:
+    """Tags of the n words about a key, for each way to take some ahead of it and the rest behind.
+
+    A run that reaches over the end of the text is left out.
+    """
+    nearest = lambda c, i: F.col(c).bitwiseAND(F.lit((1 << TAG_BITS * i) - 1))
+    farthest = lambda c, i: F.shiftright(F.col(c), TAG_BITS * (i - 1)).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
+    made = []
+    for i in range(n + 1):
+        inside = F.lit(True)
+        for side, words in (("left", i), ("right", n - i)):
+            if words:
+                inside = inside & (farthest(side, words) != 0)
+        tags = F.struct(F.lit(i).alias("ahead"), nearest("left", i).alias("left"), nearest("right", n - i).alias("right"))
+        made.append(F.when(inside, tags))
+    return F.array_compact(F.array(*made))
+
+
 def _lines(matches: DataFrame) -> DataFrame:
     """Matches (uid, first_id, first_uid, shift, start, end) that overlap in line, as one span."""
     line = Window.partitionBy("uid", "first_uid", "first_id", "shift").orderBy("start")
@@ -231,13 +255,11 @@ def content_spans(docs: DataFrame, classes: DataFrame, min_words: int = MIN_WORD
         _fine(fine_key, fine_window, window - 1, min_words), "key long, uid long, at long, left long, right long"
     )
     fine = settle(fine, "suffixes")
-    first = (
-        fine.join(_small(ids), "uid")
-        .groupBy("key")
-        .agg(
-            F.min(F.struct("least", "uid", "at", "left", "right")).alias("first"),
-            F.max(F.struct("least", "uid", "at")).alias("last"),
-        )
+    keyed = fine.join(_small(ids), "uid")
+    context = [f(c).alias(f"{n}_{c}") for c in ("left", "right") for f, n in ((F.min, "low"), (F.max, "high"))]
+    first = settle(
+        keyed.groupBy("key")
+        .agg(*_first_and_last("least", "uid", "at", "left", "right"), *context)
         .where(F.struct("first.least", "first.uid", "first.at") < F.col("last"))
         .select(
             "key",
@@ -246,17 +268,38 @@ def content_spans(docs: DataFrame, classes: DataFrame, min_words: int = MIN_WORD
             F.col("first.at").alias("first_at"),
             F.col("first.left").alias("first_left"),
             F.col("first.right").alias("first_right"),
-        )
+            ((F.col("low_left") != F.col("high_left")) | (F.col("low_right") != F.col("high_right"))).alias("varied"),
+        ),
+        "firsts",
     )
-    matches = (
-        fine.join(first, "key")
-        .where((F.col("uid") != F.col("first_uid")) | (F.col("at") != F.col("first_at")))
+    later = (F.col("uid") != F.col("first_uid")) | (F.col("at") != F.col("first_at"))
+    line = ["uid", "first_uid", "first_id", (F.col("first_at") - F.col("at")).alias("shift")]
+    # Where all places of a key have the same words around it, the first shares with each all that any does.
+    alike = (
+        fine.join(first.where(~F.col("varied")), "key")
+        .where(later)
         .withColumn("start", F.col("at") - _shared("left", "first_left", fine_window - 1))
         .withColumn("end", F.col("at") + fine_key + _shared("right", "first_right", fine_window - 1))
         .where(F.col("end") - F.col("start") >= min_words)
-        .select("uid", "first_uid", "first_id", (F.col("first_at") - F.col("at")).alias("shift"), "start", "end")
+        .select(*line, "start", "end")
+    )
+    # Elsewhere each run of ``min_words`` words about the key has a first place of its own.
+    several = settle(keyed.join(_small(first.where("varied").select("key")), "key", "left_semi"), "varied")
+    runs = several.withColumn("run", F.explode(_runs(fine_window - 1))).select("key", "run.*", "uid", "at", "least")
+    run = ["key", "ahead", "left", "right"]
+    begun = (
+        runs.groupBy(*run)
+        .agg(*_first_and_last("least", "uid", "at"))
+        .where(F.col("first") < F.col("last"))
+        .select(*run, F.col("first.least").alias("first_id"), F.col("first.uid").alias("first_uid"), F.col("first.at").alias("first_at"))
+    )
+    found = (
+        runs.join(begun, run)
+        .where(later)
+        .withColumn("start", (F.col("at") - F.col("ahead")).cast("long"))
+        .select(*line, "start", (F.col("start") + min_words).alias("end"))
     )
-    return _lines(matches)
+    return _lines(alike.unionByName(found))
 
 
 def _contents(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:

@@ -119,3 +119,28 @@ def test_selection_is_that_of_its_definition():
 def test_empty(spark):
     empty = documents(spark, [])
     assert repeats(empty).collect() == [] and without_repeats(empty).collect() == []
+
+
+@pytest.mark.parametrize("size, head", [(50, 49), (51, 49), (52, 48), (60, 47), (90, 49)])
+def test_passages_that_an_earlier_document_has_in_part(spark, size, head):
+    """The first place of a key shares under 50 words, a later one shares the whole passage."""
+    rng = random.Random(size * 100 + head)
+    unique = iter(range(10**6))
+    own = lambda n: [f"u{next(unique)}" for _ in range(n)]
+    rows = []
+    for case in range(30):
+        passage = [f"p{rng.randrange(10**6)}" for _ in range(size)]
+        at = rng.randrange(size - head + 1)
+        parts = [passage[at : at + head], passage, passage, passage[: size - 1], passage[1:]]
+        rows += [(10 * case + i, " ".join(own(rng.choice([0, 2, 70])) + part + own(rng.choice([0, 1, 80])))) for i, part in enumerate(parts)]
+    covered = defaultdict(set)
+    for r in repeats(documents(spark, rows)).collect():
+        covered[r.doc_id].update(range(r.start, r.end))
+    assert dict(covered) == {k: v for k, v in brute(rows, 50).items() if v}
+
+
+def test_equals_all_runs(spark, rows):
+    covered = defaultdict(set)
+    for r in repeats(documents(spark, rows)).collect():
+        covered[r.doc_id].update(range(r.start, r.end))
+    assert dict(covered) == {k: v for k, v in brute(rows, 50).items() if v}
