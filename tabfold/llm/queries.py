@@ -5,8 +5,8 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import embedding_dedup, language, licences, mixing, packing, repeats, simhash, topk, toxicity, url_filter
-from tabfold.llm.common import hash_part, table
+from tabfold.llm import embedding_dedup, language, licences, merkle, mixing, packing, repeats, simhash, topk, toxicity, url_filter
+from tabfold.llm.common import hash_part, lower_ascii, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -216,3 +216,89 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeats(table(spark, folder, "documents"))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB text of the unsigned crc32 of a string's UTF-8; wants the table ``crc(t)`` in scope."""
+    octets = f"list_transform(range(1, 2 * strlen({text}) + 1, 2), lambda i: ('0x' || substr(hex(encode({text})), i, 2))::bigint)"
+    step = "lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {octets}), {step}), 4294967295)"
+
+
+# The table of crc32: eight steps of its polynomial (fixed value) for each octet.
+CRC_TABLE_SQL = """crc AS MATERIALIZED (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i::bigint, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::bigint) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))
+)"""
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _leaf_sql(columns: list[str]) -> str:
+    coded = [f"coalesce(strlen(({c})::varchar)::varchar || ':' || ({c})::varchar, '-')" for c in columns]
+    return f"sha256({' || '.join(coded)})"
+
+
+def _tree_sql(name: str, key: str, height: int) -> str:
+    """Runs and nodes of a tree over ``name``0, as tables up to ``height`` levels above; a lone node stays."""
+    found = []
+    for k in range(height):
+        found.append(f"""{name}_run{k} AS (SELECT {key}, i // 16 AS p, list(d ORDER BY i) AS run FROM {name}{k} WHERE n > 1 GROUP BY ALL),
+{name}{k + 1} AS (
+  SELECT {key}, i, d, n FROM {name}{k} WHERE n = 1
+  UNION ALL SELECT {key}, p, sha256(array_to_string(run, '')), count(*) OVER (PARTITION BY {key}) FROM {name}_run{k})""")
+    return ",\n".join(found)
+
+
+def _climb_sql(name: str, key: str, height: int) -> str:
+    """Siblings and the changed digest on the way up, one step a level, from ``up_{name}0``."""
+    found = []
+    for k in range(height):
+        found.append(f"""up_{name}{k + 1} AS (
+  SELECT u.* REPLACE (u.i // 16 AS i,
+    u.proof || coalesce(array_to_string(r.run[1:u.i % 16] || r.run[u.i % 16 + 2:], ''), '') AS proof,
+    CASE WHEN r.run IS NULL THEN u.fold
+      ELSE sha256(array_to_string(r.run[1:u.i % 16] || [u.fold] || r.run[u.i % 16 + 2:], '')) END AS fold)
+  FROM up_{name}{k} u LEFT JOIN {name}_run{k} r ON u.{key} IS NOT DISTINCT FROM r.{key} AND u.i // 16 = r.p)""")
+    return ",\n".join(found)
+
+
+# Room for 16**6 documents of a source and 16**3 sources.
+MANIFEST_SQL = f"""
+WITH {CRC_TABLE_SQL}, leaves AS (
+  SELECT doc_id, source, {_leaf_sql(MANIFEST_FIELDS)} AS leaf,
+    CASE WHEN {crc32_sql("doc_id::varchar")} % 5 = 0 THEN {_leaf_sql([*MANIFEST_FIELDS[:-1],
+      "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"])} END AS changed
+  FROM documents, crc
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM leaves
+), doc0 AS (SELECT source, i, leaf AS d, n FROM placed),
+{_tree_sql("doc", "source", 6)},
+src0 AS (SELECT 0 AS one, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, d, count(*) OVER () AS n, source FROM doc6),
+{_tree_sql("src", "one", 3)},
+up_doc0 AS (SELECT doc_id, source, leaf, i, '' AS proof, coalesce(changed, leaf) AS fold FROM placed),
+{_climb_sql("doc", "source", 6)},
+up_src0 AS (
+  SELECT doc_id, leaf, s.d AS subroot, s.one, s.i, proof, fold
+  FROM up_doc6 u JOIN src0 s ON u.source IS NOT DISTINCT FROM s.source),
+{_climb_sql("src", "one", 3)}
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = d AS verified
+FROM up_src3, src3
+"""
+
+
+@registered(MANIFEST_SQL)
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tree = merkle.manifest(
+        table(spark, folder, "documents"),
+        id="doc_id",
+        group="source",
+        fields=MANIFEST_FIELDS,
+        changed={"text": lower_ascii(F.col("text"))},
+        when=hash_part(5, F.col("doc_id")) == 0,
+    )
+    return tree.proofs().withColumnsRenamed({"id": "doc_id", "proof": "proof_sha256"})
