@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import embedding_dedup, language, licences, merkle, mixing, packing, repeats, simhash, topk, toxicity, url_filter
+from tabfold.llm import embedding_dedup, language, licences, merkle, mixing, packing, repeats, simhash, spelling, topk, toxicity, url_filter
 from tabfold.llm.common import hash_part, lower_ascii, table
 
 QUERIES, ORACLES = {}, {}
@@ -302,3 +302,45 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
         when=hash_part(5, F.col("doc_id")) == 0,
     )
     return tree.proofs().withColumnsRenamed({"id": "doc_id", "proof": "proof_sha256"})
+
+
+# Near words share a text of theirs with one code point marked or left out.
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE_SQL}, found AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zA-ZÀ-ÿ]+')) AS run
+    FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL
+), coded AS (
+  SELECT run, n, {crc32_sql("(doc_id || ':' || run)")} AS h FROM found, crc
+), words AS (
+  SELECT word, sum(n)::bigint AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+      ELSE run END AS word, n FROM coded)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), holes AS (
+  SELECT word, n, i, left(word, i - 1) AS a, substr(word, i + 1) AS b
+  FROM words, (SELECT unnest(range(1, 1 + (SELECT max(length(word)) FROM words))) AS i) WHERE i <= length(word)
+), pairs AS (
+  SELECT DISTINCT x.word, x.n, y.word AS near, y.n AS near_n FROM holes x JOIN holes y USING (a, b, i) WHERE x.word <> y.word
+  UNION SELECT x.word, x.n, y.word, y.n FROM holes x JOIN words y ON x.a || x.b = y.word
+  UNION SELECT y.word, y.n, x.word, x.n FROM holes x JOIN words y ON x.a || x.b = y.word
+), near AS (
+  SELECT word, count(*) AS n_near,
+    min({{'less': -near_n, 'form': near}}) FILTER (near_n >= 10 * n) AS best
+  FROM pairs GROUP BY word
+), roots AS (
+  SELECT word, best.form AS root FROM near WHERE best IS NOT NULL
+  UNION SELECT r.word, n.best.form FROM roots r JOIN near n ON r.root = n.word WHERE n.best IS NOT NULL
+)
+SELECT w.word, best.form AS form, coalesce(r.root, w.word) AS root, w.n, coalesce(n_near, 0)::bigint AS n_near,
+  (-best.less)::bigint AS form_n
+FROM words w LEFT JOIN near ON w.word = near.word
+LEFT JOIN (SELECT r.word, r.root FROM roots r LEFT JOIN near n ON r.root = n.word WHERE n.best IS NULL) r ON r.word = w.word
+"""
+
+
+@registered(SPELLING_SQL)
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, folder, "documents")))
