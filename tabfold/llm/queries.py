@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import embedding_dedup, language, licences, merkle, mixing, packing, repeats, simhash, spelling, topk, toxicity, url_filter
+from tabfold.llm import embedding_dedup, language, licences, merkle, mixing, packing, repeats, simhash, spelling, topk, toxicity, url_filter, wrappers
 from tabfold.llm.common import hash_part, lower_ascii, table
 
 QUERIES, ORACLES = {}, {}
@@ -344,3 +344,24 @@ LEFT JOIN (SELECT r.word, r.root FROM roots r LEFT JOIN near n ON r.root = n.wor
 @registered(SPELLING_SQL)
 def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, folder, "documents")))
+
+
+# The article by its own tags, which the pages of the given tables have; the query infers where it is.
+ARTICLE_SQL = r"""
+WITH bodies AS (
+  SELECT page_id, url, coalesce(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '') AS body FROM pages
+), plain AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS body FROM bodies
+), decoded AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(body, '&#x27;', ''''),
+    '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g') AS body
+  FROM plain
+), spaced AS (SELECT page_id, url, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text FROM decoded)
+SELECT page_id, url, text, length(text) AS n_chars FROM spaced
+"""
+
+
+@registered(ARTICLE_SQL)
+def op11_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = wrappers.main_text(table(spark, folder, "pages"), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
