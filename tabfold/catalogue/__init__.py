@@ -4,6 +4,8 @@ from tabfold.catalogue import (  # noqa: F401
     classification,
     clustering,
     features,
+    joins,
+    ordered,
     regression,
     relational,
     sources,

@@ -119,6 +119,19 @@ def test_label_numbering_has_no_single_task_window_over_labels(spark, folder):
     assert len(single) == 2 and "HashAggregate" in single[1]
 
 
+@pytest.mark.parametrize("name", ["running_revenue", "running_revenue_by_flag", "moving_hundred_lines", "asof_last_order", "overlapping_spans"])
+def test_ordered_work_has_no_task_that_sees_all_rows(spark, folder, name):
+    plan = plan_of(QUERIES[name](spark, folder))
+    assert "SinglePartition" not in plan
+    assert all("windowspecdefinition(_part" in w or "windowspecdefinition(_key" in w for w in re.findall(r"Window \[.*", plan))
+
+
+def test_asof_shuffles_its_rows_once(spark, folder):
+    plan = plan_of(QUERIES["asof_last_order"](spark, folder))
+    # Besides that, only the rows of keys at cuts are reduced to one per cut.
+    assert plan.count("Exchange hashpartitioning(_part") == 2 and plan.count("max_by") > 0
+
+
 def test_vector_steps_stay_in_generated_code(spark, folder):
     lines = load_table(spark, folder, "lineitem")
     plan = plan_of(assemble(lines, ["l_quantity", "l_tax"]).select("features"))
