@@ -10,6 +10,7 @@ from tabfold.catalogue import (  # noqa: F401
     relational,
     sources,
     splits,
+    streams,
     text,
 )
 from tabfold.catalogue.registry import ORACLES, QUERIES
