@@ -3,6 +3,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabfold.catalogue.registry import LINE_KEYS, LINE_TRAIN_SQL, bucket_sql, registered
 from tabfold.catalogue.text import HASHED
 from tabfold.functions import as_array, cast_label, threshold_label
+from tabfold.operators.holding import ROWS_PER_PART
 from tabfold.operators.features import assembler
 from tabfold.operators.models import chain, coefficients, decision_tree, fit, logistic_regression
 from tabfold.operators.relational import project
@@ -11,8 +12,6 @@ from tabfold.plans.sentiment import sentiment
 from tabfold.sources import load_table
 
 REG_PARAM = 0.01
-# The tables here are single files; fits pass over them many times.
-SPREAD = 8
 
 # A line's "delay" follows its quantity, with the discount as noise.
 DELAY = "l_quantity + 200 * l_discount"
@@ -57,7 +56,7 @@ def tree_stump(spark: SparkSession, folder: str) -> DataFrame:
     step = F.floor(F.col("l_quantity") / 5).cast("int")
     lines = _lines(spark, folder, "l_quantity").withColumn("step", step)
     steps = chain(assembler(["step"]), decision_tree(maxDepth=1))
-    scored = fit(steps, lines, ["features", "label"], spread=SPREAD).transform(lines)
+    scored = fit(steps, lines, ["features", "label"], rows_per_part=ROWS_PER_PART).transform(lines)
     return scored.groupBy("step", "prediction").agg(F.count("*").alias("n_rows"))
 
 
@@ -201,7 +200,7 @@ def logistic_fit(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder, "l_quantity")
     # Run to convergence, so that the optimum itself can be compared.
     logit = logistic_regression(regParam=REG_PARAM, maxIter=100, tol=1e-8)
-    model = fit(chain(assembler(["l_quantity"]), logit), lines, ["features", "label"], spread=SPREAD)
+    model = fit(chain(assembler(["l_quantity"]), logit), lines, ["features", "label"], rows_per_part=ROWS_PER_PART)
     weights = coefficients(spark, model.stages[-1], ["l_quantity"])
     return weights.withColumn("value", F.round("value", 5))
 
@@ -212,7 +211,7 @@ def sentiment_scores(spark: SparkSession, folder: str) -> DataFrame:
     texts = load_table(spark, folder, "documents").select("doc_id", "text")
     labels = load_table(spark, folder, "labels").select("doc_id", "quality")
     data = project(texts.join(labels, "doc_id"), "doc_id", "text", label=cast_label("quality"))
-    return sentiment(data, "text", keys=["doc_id"], spread=SPREAD).predictions("doc_id")
+    return sentiment(data, "text", keys=["doc_id"], rows_per_part=ROWS_PER_PART).predictions("doc_id")
 
 
 TWO_SLOTS = 2
@@ -266,7 +265,7 @@ def sentiment_converged(spark: SparkSession, folder: str) -> DataFrame:
     texts = load_table(spark, folder, "documents").select("doc_id", "text")
     labels = load_table(spark, folder, "labels").select("doc_id", "quality")
     data = project(texts.join(labels, "doc_id"), "doc_id", "text", label=cast_label("quality"))
-    scored = sentiment(data, "text", keys=["doc_id"], size=TWO_SLOTS, max_iter=500, tol=1e-12, spread=SPREAD).scored
+    scored = sentiment(data, "text", keys=["doc_id"], size=TWO_SLOTS, max_iter=500, tol=1e-12, rows_per_part=ROWS_PER_PART).scored
     return scored.select(
         "doc_id", "trueLabel", F.round(as_array("probability")[1], 4).alias("probability"), "prediction"
     )

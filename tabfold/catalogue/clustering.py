@@ -1,6 +1,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabfold.catalogue.registry import registered
+from tabfold.operators.holding import ROWS_PER_PART
 from tabfold.operators import clusters as op
 from tabfold.operators.features import assemble
 from tabfold.operators.relational import rows_per_group
@@ -8,8 +9,6 @@ from tabfold.plans.segmentation import segment
 from tabfold.sources import load_table
 
 SEED = 0
-# The tables here are single files; fits pass over them many times.
-SPREAD = 8
 
 
 # --- given labels on embeddings ------------------------------------------------
@@ -166,7 +165,7 @@ def _traits(spark: SparkSession, folder: str) -> DataFrame:
 # best k clusters are then the k - 1 highest levels and all lower ones together.
 # Each round of the search for first centres reaches about one level further down.
 LEVELS = 6
-SWEEP = {"seed": SEED, "parallelism": 5, "spread": SPREAD, "initSteps": 3 * LEVELS}
+SWEEP = {"seed": SEED, "parallelism": 5, "rows_per_part": ROWS_PER_PART, "initSteps": 3 * LEVELS}
 STEPPED_SPARK = TRAITS_SPARK | {"band": f"100.0 * pow(10, o_custkey % {LEVELS})"}
 STEPPED_SQL = TRAITS_SQL | {"band": f"100.0 * pow(10, o_custkey % {LEVELS})"}
 STEPPED_X = f"[{', '.join(f'({e})::double' for e in STEPPED_SQL.values())}]"
@@ -212,7 +211,7 @@ def best_k(spark: SparkSession, folder: str) -> DataFrame:
 
 def _five_clusters(spark: SparkSession, folder: str):
     vectors = assemble(_traits(spark, folder), TRAITS)
-    return vectors, op.fit_kmeans(vectors.select("features"), "features", 5, SEED, spread=SPREAD)
+    return vectors, op.fit_kmeans(vectors.select("features"), "features", 5, SEED, rows_per_part=ROWS_PER_PART)
 
 
 @registered(

@@ -9,6 +9,7 @@ from tabfold.catalogue.registry import (
     LINE_TRAIN_SQL,
     registered,
 )
+from tabfold.operators.holding import ROWS_PER_PART
 from tabfold.operators.features import assemble, assembler, minmax_scaler
 from tabfold.operators.metrics import rmse, rmse_evaluator
 from tabfold.operators.models import chain, coefficients, fit, linear_regression, score
@@ -25,8 +26,6 @@ FIVE = ["l_quantity", "l_linenumber", "l_discount", "l_tax", "l_suppkey"]
 TARGET = "l_quantity + 200 * l_discount + 3 * l_linenumber + l_extendedprice / 5000"
 LAMBDA = 0.3
 SEED = 11
-# The tables here are single files; fits pass over them many times.
-SPREAD = 8
 
 
 # --- oracle text ---------------------------------------------------------------
@@ -182,7 +181,7 @@ def _held_out_scores(spark: SparkSession, folder: str) -> DataFrame:
     assemble_stage = assembler(["l_quantity"])
     scale = minmax_scaler(assemble_stage.getOutputCol(), "normFeatures")
     line = linear_regression(scale.getOutputCol(), regParam=LAMBDA)
-    model = fit(chain(assemble_stage, scale, line), parts.train, ["features", "label"], spread=SPREAD)
+    model = fit(chain(assemble_stage, scale, line), parts.train, ["features", "label"], rows_per_part=ROWS_PER_PART)
     return score(model, parts.test, *LINE_KEYS, "prediction", "trueLabel")
 
 
@@ -240,7 +239,7 @@ def _cross_validated(spark: SparkSession, folder: str):
         seed=SEED,
         fold_column="fold",
         parallelism=4,
-        spread=SPREAD,
+        rows_per_part=ROWS_PER_PART,
     )
 
 
@@ -295,7 +294,7 @@ def ridge_search_rmse(spark: SparkSession, folder: str) -> DataFrame:
 def flight_like_regression(spark: SparkSession, folder: str) -> DataFrame:
     """The whole tuned workflow on five features: search, refit, held-out error."""
     tuned = tuned_regression(
-        _lines(spark, folder, FIVE), FIVE, keys=LINE_KEYS, seed=SEED, parallelism=4, spread=SPREAD
+        _lines(spark, folder, FIVE), FIVE, keys=LINE_KEYS, seed=SEED, parallelism=4, rows_per_part=ROWS_PER_PART
     )
     return tuned.rmse.select(F.round("rmse", 6).alias("rmse"))
 

@@ -106,13 +106,13 @@ def _kmeans(rows: DataFrame, vector: str, k: int, seed: int, **params) -> KMeans
 
 
 def fit_kmeans(
-    df: DataFrame, vector: str, k: int, seed: int, *, spread: int | None = None, **params
+    df: DataFrame, vector: str, k: int, seed: int, *, rows_per_part: int | None = None, **params
 ) -> KMeansModel:
     """One k-means fit, the feature vectors held while it iterates.
 
     Centres depend on how rows lie in partitions, not on the seed alone.
     """
-    with held(df, vector, spread=spread) as rows:
+    with held(df, vector, rows_per_part=rows_per_part) as rows:
         return _kmeans(rows, vector, k, seed, **params)
 
 
@@ -128,7 +128,7 @@ def kmeans_sweep(
     *,
     seed: int,
     parallelism: int = 1,
-    spread: int | None = None,
+    rows_per_part: int | None = None,
     **params,
 ) -> Sweep:
     """Fit and score every k: rows (k, silhouette, training_cost).
@@ -138,7 +138,7 @@ def kmeans_sweep(
     a null silhouette.
     """
     ks = list(ks)
-    with held(df, vector, spread=spread) as rows:
+    with held(df, vector, rows_per_part=rows_per_part) as rows:
 
         def run(k: int) -> tuple[KMeansModel, float | None]:
             model = _kmeans(rows, vector, k, seed, **params)

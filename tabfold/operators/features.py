@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import (
     MinMaxScaler,
     StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
     VectorIndexer,
 )
@@ -104,6 +105,22 @@ def string_labels(df: DataFrame, column: str) -> DataFrame:
     return with_position(counts, [F.desc("n"), F.asc("label")], "index")
 
 
+def string_index_model(
+    df: DataFrame, column: str, out: str, handle_invalid: str = "error", *, max_bytes: int = BROADCAST_BYTES
+) -> StringIndexerModel:
+    """The fitted indexer of a text column, from one count of its labels.
+
+    The labels become a part of the model and pass through the driver, so more than
+    ``max_bytes`` of them, as text, are refused.
+    """
+    labels = string_labels(df, column)
+    size = labels.agg(F.sum(F.octet_length("label"))).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"the labels of column {column} take {size} bytes, more than {max_bytes}")
+    found = [r["label"] for r in labels.select("label", "index").orderBy("index").collect()]
+    return StringIndexerModel.from_labels(found, inputCol=column, outputCol=out, handleInvalid=handle_invalid)
+
+
 def index_strings(
     df: DataFrame, column: str, labels: DataFrame, out: str, handle_invalid: str = "error"
 ) -> DataFrame:

@@ -45,19 +45,19 @@ def chain(*stages: Transformer | Estimator) -> Pipeline:
 
 
 def fit(
-    pipeline: Pipeline, train: DataFrame, keep: Sequence[str], *, spread: int | None = None
+    pipeline: Pipeline, train: DataFrame, keep: Sequence[str], *, rows_per_part: int | None = None
 ) -> PipelineModel:
     """Fit a pipeline, holding only the columns that its estimators need.
 
     Leading stages that have nothing to learn run first; ``keep`` names the
     columns that the stages after them read. The estimators then pass over these
-    and not over the source, which for texts means over hashed words. ``spread``
-    deals them out to that many partitions first.
+    and not over the source, which for texts means over hashed words. ``rows_per_part``
+    deals them out to more partitions where the input has too few for its rows.
     """
     stages = pipeline.getStages()
     lead = list(takewhile(lambda s: isinstance(s, Transformer), stages))
     prepared = PipelineModel(lead).transform(train) if lead else train
-    with held(prepared, *keep, spread=spread) as rows:
+    with held(prepared, *keep, rows_per_part=rows_per_part) as rows:
         learned = Pipeline(stages=stages[len(lead) :]).fit(rows)
     return PipelineModel([*lead, *learned.stages])
 

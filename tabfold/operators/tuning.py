@@ -41,7 +41,7 @@ def cross_validate(
     seed: int,
     fold_column: str | None = None,
     parallelism: int = 1,
-    spread: int | None = None,
+    rows_per_part: int | None = None,
 ) -> Search:
     """Fit every grid point on every fold, then refit the best on all rows.
 
@@ -60,7 +60,7 @@ def cross_validate(
         parallelism=parallelism,
         **({"foldCol": fold_column} if fold_column else {}),
     )
-    with held(train, *train.columns, spread=spread) as rows:
+    with held(train, *train.columns, rows_per_part=rows_per_part) as rows:
         fitted = search.fit(rows)
     scores = fitted.avgMetrics
     pick = max if evaluator.isLargerBetter() else min

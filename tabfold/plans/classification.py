@@ -14,7 +14,7 @@ from tabfold.operators.features import (
     assembler,
     category_indexer,
     minmax_scaler,
-    string_indexer,
+    string_index_model,
 )
 from tabfold.operators.models import chain, decision_tree, fit, score
 from tabfold.operators.relational import project
@@ -27,7 +27,7 @@ FLIGHT_NAME = "Carrier"
 FLIGHT_CATEGORIES = ("DayofMonth", "DayOfWeek", "OriginAirportID", "DestAirportID")
 FLIGHT_NUMBERS = ("DepDelay",)
 # Labels of the text column that the driver and the model hold at most.
-MAX_LABELS = 100_000
+MAX_LABEL_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -47,23 +47,21 @@ def classify(
     seed: int = 0,
     handle_invalid: str = "error",
     carry: Sequence[str] = (),
-    spread: int | None = None,
+    rows_per_part: int | None = None,
     buckets: int = BUCKETS,
-    max_labels: int = MAX_LABELS,
+    max_label_bytes: int = MAX_LABEL_BYTES,
     **tree_params,
 ) -> Classification:
     """Index the text column and the categories, scale the numbers, fit a tree.
 
     ``data`` has a double ``label``. ``carry`` names further columns of the
     held-out rows to keep beside the predictions. The text column's labels become a
-    part of the model, so more than ``max_labels`` of them are refused.
+    part of the model, so more than ``max_label_bytes`` of them are refused.
     """
-    parts = hold_out(data, keys=keys, seed=None if keys else seed, buckets=buckets)
-    found = parts.train.select(name).distinct().limit(max_labels + 1).count()
-    if found > max_labels:
-        raise ValueError(f"column {name} has more than {max_labels} labels")
+    used = list(dict.fromkeys([name, *categories, *numbers, *carry, "label"]))
+    parts = hold_out(data, keys=keys, seed=None if keys else seed, buckets=buckets, columns=used)
     # Column names of the stages are those of the workflow's output.
-    named = string_indexer(name, f"{name}Idx", handle_invalid)
+    named = string_index_model(parts.train, name, f"{name}Idx", handle_invalid, max_bytes=max_label_bytes)
     gathered = assembler([named.getOutputCol(), *categories], "catFeatures")
     indexed = category_indexer(
         gathered.getOutputCol(), "idxCatFeatures", handle_invalid=handle_invalid
@@ -75,8 +73,8 @@ def classify(
     model = fit(
         chain(named, gathered, indexed, measured, scaled, joined, tree),
         parts.train,
-        [name, *categories, *numbers, "label"],
-        spread=spread,
+        [gathered.getOutputCol(), *numbers, "label"],
+        rows_per_part=rows_per_part,
     )
     scored = score(model, parts.test, *carry, "features", "prediction", "trueLabel")
     return Classification(parts, model, scored)

@@ -35,10 +35,13 @@ def hold_out(
     label: str = "label",
     true_label: str = "trueLabel",
     buckets: int = BUCKETS,
+    columns: Sequence[str] | None = None,
 ) -> Holdout:
     """Split by key hash, or at random by seed; the test label is renamed.
 
     The weights of a split by keys must be multiples of 1 / ``buckets``.
+    A random split writes its rows: ``columns`` names those that are read later, all by
+    default.
     """
     if (keys is None) == (seed is None):
         raise ValueError("give key columns or a seed, one of them")
@@ -48,6 +51,6 @@ def hold_out(
         number = hash_part(keys, weights, buckets=buckets)
         tagged = data.select(F.element_at(F.lit(list(PARTS)), number + 1).alias("part"))
     else:
-        parts = random_split(data, weights, seed)
+        parts = random_split(data if columns is None else data.select(*columns), weights, seed)
         tagged = union_all([p.select(F.lit(n).alias("part")) for n, p in zip(PARTS, parts)])
     return Holdout(parts[0], rename(parts[1], label, true_label), tagged)

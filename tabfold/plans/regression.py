@@ -46,7 +46,7 @@ def tuned_regression(
     max_iters: Sequence[int] = MAX_ITERS,
     search: str = "general",
     parallelism: int = 1,
-    spread: int | None = None,
+    rows_per_part: int | None = None,
     buckets: int = BUCKETS,
 ) -> TunedRegression:
     """Scale, fit, search penalty by iterations over the folds, score the held-out rows.
@@ -57,13 +57,13 @@ def tuned_regression(
     The general search fits every grid point on every fold. ``search="moments"``
     computes the errors from the moments of the folds, in one pass: a linear fit
     has a closed form, in which the iteration limit has no effect, so grid points
-    that differ in it tie and the first wins. ``spread`` deals the training rows
-    out to that many partitions while they are fitted.
+    that differ in it tie and the first wins. ``rows_per_part`` deals the training rows
+    out to more partitions while they are fitted, where the input has too few for them.
     """
     if search not in ("general", "moments"):
         raise ValueError("search must be 'general' or 'moments'")
     features = list(features)
-    parts = hold_out(data, keys=keys, seed=None if keys else seed, buckets=buckets)
+    parts = hold_out(data, keys=keys, seed=None if keys else seed, buckets=buckets, columns=[*features, "label"])
     fold = hash_fold(keys, folds) if keys else F.floor(F.rand(seed) * folds).cast("int")
     train = parts.train.withColumn("fold", fold).select(*features, "label", "fold")
     assemble = assembler(features)
@@ -81,7 +81,7 @@ def tuned_regression(
             seed=seed,
             fold_column="fold",
             parallelism=parallelism,
-            spread=spread,
+            rows_per_part=rows_per_part,
         )
         metrics, best_index, model = found.metrics, found.best_index, found.best_model
     else:
@@ -98,7 +98,7 @@ def tuned_regression(
         line.setParams(
             regParam=points[best_index][line.regParam], maxIter=points[best_index][line.maxIter]
         )
-        model = fit(steps, train, ["features", "label"], spread=spread)
+        model = fit(steps, train, ["features", "label"], rows_per_part=rows_per_part)
     scored = score(model, parts.test, "normFeatures", "prediction", "trueLabel")
     return TunedRegression(parts, metrics, best_index, model, scored, rmse(scored, "trueLabel"))
 

@@ -47,7 +47,7 @@ def segment(
     ks: Iterable[int] = range(2, 7),
     seed: int = 0,
     parallelism: int = 1,
-    spread: int | None = None,
+    rows_per_part: int | None = None,
     **params,
 ) -> Segmentation:
     """Sweep k, take the k with the best silhouette, and assign every row.
@@ -55,7 +55,7 @@ def segment(
     ``params`` are those of the k-means estimator.
     """
     vectors = assemble(data, features)
-    sweep = kmeans_sweep(vectors, "features", ks, seed=seed, parallelism=parallelism, spread=spread, **params)
+    sweep = kmeans_sweep(vectors, "features", ks, seed=seed, parallelism=parallelism, rows_per_part=rows_per_part, **params)
     model = sweep.best_model()
     return Segmentation(
         sweep,

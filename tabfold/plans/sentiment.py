@@ -46,7 +46,7 @@ def sentiment(
     max_iter: int = MAX_ITER,
     tol: float = TOL,
     aggregation_depth: int = 2,
-    spread: int | None = None,
+    rows_per_part: int | None = None,
     buckets: int = BUCKETS,
 ) -> Sentiment:
     """Words, less stop words, hashed and counted, then logistic regression.
@@ -70,7 +70,7 @@ def sentiment(
         chain(words, kept, hashed, model),
         parts.train.select(text, "label"),
         ["features", "label"],
-        spread=spread,
+        rows_per_part=rows_per_part,
     )
     return Sentiment(parts, fitted, score(fitted, parts.test))
 

@@ -54,12 +54,12 @@ def test_workflows_take_keys_and_reader_options(spark, tmp_path):
     path.write_text("\n".join([names, *rows]) + "\n")
     schema = "Id INT NOT NULL, " + ", ".join(f"{f.name} {f.dataType.simpleString()} NOT NULL" for f in FLIGHTS.fields)
     options = dict(keys=["Id"], schema=schema, csv={"sep": "|"}, buckets=100)
-    tuned = arrival_delay(spark, str(path), search="moments", spread=2, **options)
+    tuned = arrival_delay(spark, str(path), search="moments", rows_per_part=200, **options)
     assert tuned.rmse.first()["rmse"] < 3
     late = late_flights(spark, str(path), handle_invalid="keep", carry=["Id"], **options)
     assert late.predictions.columns == ["Id", "features", "prediction", "trueLabel"]
-    with pytest.raises(ValueError, match="more than 2 labels"):
-        late_flights(spark, str(path), max_labels=2, **options)
+    with pytest.raises(ValueError, match="more than 2"):
+        late_flights(spark, str(path), max_label_bytes=2, **options)
     tweets = tmp_path / "tweets.csv"
     tweets.write_text("Id;Sentiment;SentimentText\n" + "".join(f'{i};{i % 2};"good\n{"day" if i % 2 else "sad"} {i}"\n' for i in range(200)))
     mood = tweet_sentiment(spark, str(tweets), keys=["Id"], csv={"sep": ";", "multiLine": True}, size=4096, max_iter=30, tol=1e-9)

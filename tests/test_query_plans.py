@@ -104,13 +104,22 @@ def test_holding_rows_runs_nothing_and_keeps_one_copy(spark):
 
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("holding", "")
-    with held(spark.range(100), "id", spread=3) as rows:
+    with held(spark.range(100), "id") as rows:
         assert not tracker.getJobIdsForGroup("holding")
-        assert rows.storageLevel.useMemory and rows.rdd.getNumPartitions() == 3
+        assert rows.storageLevel.useMemory
     assert not rows.storageLevel.useMemory
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_held_rows_fill_as_many_parts_as_they_take_and_never_fewer_than_the_input_has(spark):
+    from tabfold.operators.holding import held
+
+    for rows_per_part, wanted in ((30, 4), (60, 2), (1000, 2)):
+        with held(spark.range(0, 100, 1, 2), "id", rows_per_part=rows_per_part) as rows:
+            assert rows.rdd.getNumPartitions() == wanted and rows.count() == 100
+    assert not rows.storageLevel.useMemory
+
+
 def test_label_numbering_has_no_single_task_window_over_labels(spark, folder):
     labels = string_labels(load_table(spark, folder, "customer"), "c_name")
     plan = plan_of(labels)
