@@ -9,7 +9,7 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabfold.llm import mixing, near_dedup, packing, repeats, toxicity
+from tabfold.llm import mixing, packing, repeats, simhash, toxicity
 from tabfold.llm.common import settle, table
 from tabfold.llm.queries import TOKENIZER, toxicity_lexicon
 
@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, five-word Jaccard 0.8 or more."""
-    return near_dedup.one_per_similar(docs)
+    """The document with the smallest id of each group whose SimHash fingerprints are linked."""
+    return simhash.one_per_group(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
