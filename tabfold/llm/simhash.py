@@ -141,14 +141,14 @@ def near_duplicates(
 
 
 def component_of_codes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Rows (fingerprint, root, component_id) for all rows (doc_id, fingerprint)."""
+    """Rows (fingerprint, least, root, component_id) for all rows (doc_id, fingerprint); ``least`` is the smallest id of the fingerprint."""
     classes = settle(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "classes")
     reached = components(near_links(classes.select("fingerprint"), radius))
     rooted = classes.join(reached.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return settle(rooted.join(least, "root").select("fingerprint", "root", "component_id"), "classes")
+    return settle(rooted.join(least, "root").select("fingerprint", "least", "root", "component_id"), "classes")
 
 
 def one_per_group(
@@ -163,16 +163,12 @@ def one_per_group(
     marked = with_fingerprint(rows.select(F.col(key).alias("doc_id"), F.col(body).alias("text")), words=words)
     marked = settle(marked.select("doc_id", "fingerprint"), "fingerprints")
     classes = component_of_codes(marked, radius)
-    heads = (
-        marked.join(classes, "fingerprint")
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root", "doc_id", "fingerprint")
-        .agg(F.count("*").alias("n"))
-        .groupBy("root")
-        .agg(F.min(F.struct("fingerprint", "doc_id", "n")).alias("head"))
-    )
-    heads = settle(heads.select("root", "head.*"), "heads").withColumnsRenamed({"doc_id": "_id", "fingerprint": "_code"})
-    on = (F.col("fingerprint") == F.col("_code")) & F.col(key).eqNullSafe(F.col("_id"))
+    # The class that has a component's smallest id; copies meet nowhere, as the id is a part of the key.
+    head = F.min(F.struct(F.col("fingerprint").alias("_code"), F.col("least").alias("_id"))).alias("head")
+    heads = classes.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("root").agg(head).select("root", "head.*")
+    of_head = lambda id: (F.col("fingerprint") == F.col("_code")) & F.col(id).eqNullSafe(F.col("_id"))
+    counted = marked.join(heads, of_head("doc_id")).groupBy("_code", "_id", "root").agg(F.count("*").alias("n"))
+    heads, on = settle(counted, "heads"), of_head(key)
     kept = with_fingerprint(rows, body, words=words).join(heads, on)
     if heads.where("n > 1").limit(1).count():
         # Repeated rows of one id: any of them, the others are the same id and class.
