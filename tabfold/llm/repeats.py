@@ -2,20 +2,22 @@
 
 Of all suffixes of all texts only those are kept that start at minimisers: words
 whose next words, as many as a key has, have the smallest hash among their
-neighbours. What is kept depends on the words alone, so a passage of ``MIN_WORDS`` words keeps the same
-suffix wherever it stands. Suffixes that start alike meet under one key, in the
-order of document id and place. Where all of them have the same words around the key,
-each is compared with the first, extended to the left and right word by word, and
-reported if both share ``MIN_WORDS`` words. Where those words differ, each run of
-``MIN_WORDS`` words about the key has a first place of its own, found by an aggregate
-over the words to the left and right, and each place is reported with the first of
-every run that it has. So a place meets an earlier one for all that it shares with any.
-The first occurrence of a passage is never reported, so that one copy of it stays.
+neighbours. What is kept depends on the words alone, so a passage of ``MIN_WORDS`` words
+keeps the same suffix wherever it stands. The suffixes are sorted by their key, the words
+behind and the words before it, then by document id and place, over ranges of that order,
+so that a passage that very many documents share fills as many ranges as it needs. In the
+sorted array places with the same words about their key are neighbours: each is matched,
+as far as these words go to the left and right, with the first of them. Only one place of
+each such stretch goes on, where its key has several: its runs of ``MIN_WORDS`` words
+about the key, one for each way to extend it, are sorted in the same way, and neighbours
+of equal runs are matched. So a place meets an earlier one for all that it shares with
+any, and matches that follow one another are one passage. The first occurrence of a
+passage is never reported, so that one copy of it stays.
 
 This is done twice: a coarse selection with short keys finds the parts of texts that
 may repeat, and only those get the fine selection with long keys. Texts that are
 equal are one content; all but the document with the smallest id are reported whole.
-Keys are counted by aggregates that combine in the map tasks, so a passage that a
+Coarse keys are counted by aggregates that combine in the map tasks, so a passage that a
 third of all documents share costs one row per task.
 
 Defined results: a null or empty text has no words and no repeats. A passage that
@@ -38,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabfold.llm.common import WORD_BYTES, WORD_TEXT, as_bytes, batches_by_bytes, numbered, settle
 from tabfold.llm.mixing import n_words
+from tabfold.operators.ranges import PART, TIE, by_range
 
 MIN_WORDS = 50
 # Words of the short and the long keys; a passage of MIN_WORDS words holds a
@@ -50,6 +53,8 @@ KNOWN_WORDS = 300_000
 # Rows of a table that may be broadcast, at some 20 bytes each.
 BROADCAST_ROWS = 1_000_000
 NO_ID = (1 << 63) - 1
+# The order of places: smallest document of the content, content, word.
+PLACE = ["least", "uid", "at"]
 
 _word = re.compile(WORD_BYTES)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -182,19 +187,15 @@ def _fine(key: int, window: int, before: int, behind: int):
     return run
 
 
-def _shared(one: str, other: str, n: int) -> Column:
-    """How many neighbours agree, from the nearest on; the edge of a text agrees with nothing."""
-    tag = lambda c, i: F.shiftright(F.col(c), TAG_BITS * i).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
+def _inside(tags: str, n: int) -> Column:
+    """How many of the n nearest words there are before the edge of the text."""
     count = F.lit(0)
     for i in reversed(range(n)):
-        count = F.when((tag(one, i) == tag(other, i)) & (tag(one, i) != 0), count + 1).otherwise(0)
+        tag = F.shiftright(F.col(tags), TAG_BITS * i).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
+        count = F.when(tag != 0, count + 1).otherwise(0)
     return count
 
 
-def _first_and_last(*place: str) -> tuple[Column, Column]:
-    return F.min(F.struct(*place)).alias("first"), F.max(F.struct(*place[:3])).alias("last")
-
-
 def _runs(n: int) -> Column:
     """Tags of the n words about a key, for each way to take some ahead of it and the rest behind.
 
@@ -256,50 +257,48 @@ def content_spans(docs: DataFrame, classes: DataFrame, min_words: int = MIN_WORD
     )
     fine = settle(fine, "suffixes")
     keyed = fine.join(_small(ids), "uid")
-    context = [f(c).alias(f"{n}_{c}") for c in ("left", "right") for f, n in ((F.min, "low"), (F.max, "high"))]
-    first = settle(
-        keyed.groupBy("key")
-        .agg(*_first_and_last("least", "uid", "at", "left", "right"), *context)
-        .where(F.struct("first.least", "first.uid", "first.at") < F.col("last"))
-        .select(
-            "key",
-            F.col("first.least").alias("first_id"),
-            F.col("first.uid").alias("first_uid"),
-            F.col("first.at").alias("first_at"),
-            F.col("first.left").alias("first_left"),
-            F.col("first.right").alias("first_right"),
-            ((F.col("low_left") != F.col("high_left")) | (F.col("low_right") != F.col("high_right"))).alias("varied"),
-        ),
-        "firsts",
-    )
-    later = (F.col("uid") != F.col("first_uid")) | (F.col("at") != F.col("first_at"))
-    line = ["uid", "first_uid", "first_id", (F.col("first_at") - F.col("at")).alias("shift")]
-    # Where all places of a key have the same words around it, the first shares with each all that any does.
-    alike = (
-        fine.join(first.where(~F.col("varied")), "key")
-        .where(later)
-        .withColumn("start", F.col("at") - _shared("left", "first_left", fine_window - 1))
-        .withColumn("end", F.col("at") + fine_key + _shared("right", "first_right", fine_window - 1))
+    # The sorted array of the suffixes kept; a range ends anywhere, also among equal neighbours.
+    sides = fine_window - 1
+    array = by_range(keyed.select("key", "right", "left", *PLACE), ["key", "right", "left", *PLACE])
+    around = F.struct("right", "left")
+    of_key = Window.partitionBy(PART, "key")
+    rows = array.rows.withColumn("several", F.min(around).over(of_key) != F.max(around).over(of_key))
+    rows = rows.withColumn("first", F.first(F.struct(*PLACE)).over(Window.partitionBy(PART, "key", "right", "left").orderBy(*PLACE)))
+    # A key that a cut goes through may have more neighbours beyond it.
+    cut = F.col("key").isin([c["key"] for c in array.cuts])
+    begins = F.struct(*PLACE) == F.col("first")
+    compared = settle(rows.where(~begins | F.col("several") | cut).drop(PART, TIE, "several"), "neighbours")
+    alike = _matches(
+        compared.where(~begins)
+        .withColumn("start", F.col("at") - _inside("left", sides))
+        .withColumn("end", F.col("at") + fine_key + _inside("right", sides))
         .where(F.col("end") - F.col("start") >= min_words)
-        .select(*line, "start", "end")
     )
-    # Elsewhere each run of ``min_words`` words about the key has a first place of its own.
-    several = settle(keyed.join(_small(first.where("varied").select("key")), "key", "left_semi"), "varied")
-    runs = several.withColumn("run", F.explode(_runs(fine_window - 1))).select("key", "run.*", "uid", "at", "least")
+    # The heads of the stretches, sorted by each run of ``min_words`` words about their key.
     run = ["key", "ahead", "left", "right"]
-    begun = (
-        runs.groupBy(*run)
-        .agg(*_first_and_last("least", "uid", "at"))
-        .where(F.col("first") < F.col("last"))
-        .select(*run, F.col("first.least").alias("first_id"), F.col("first.uid").alias("first_uid"), F.col("first.at").alias("first_at"))
-    )
-    found = (
-        runs.join(begun, run)
-        .where(later)
-        .withColumn("start", (F.col("at") - F.col("ahead")).cast("long"))
-        .select(*line, "start", (F.col("start") + min_words).alias("end"))
+    runs = compared.where(begins).withColumn("run", F.explode(_runs(sides))).select("key", "run.*", *PLACE)
+    array = by_range(runs, [*run, *PLACE])
+    first = F.first(F.struct(*PLACE)).over(Window.partitionBy(PART, *run).orderBy(*PLACE))
+    heads = array.rows.withColumn("first", first)
+    if array.cuts:
+        # One row per cut at most: the first of all places of a run that a cut goes through.
+        at_cuts = array.keys_at_cuts(run).select(*run).distinct()
+        least = runs.join(F.broadcast(at_cuts), run, "left_semi").groupBy(*run).agg(F.min(F.struct(*PLACE)).alias("least_of_all"))
+        heads = heads.join(F.broadcast(least), run, "left").withColumn("first", F.coalesce("least_of_all", "first"))
+    found = heads.where(F.struct(*PLACE) != F.col("first")).withColumn("start", (F.col("at") - F.col("ahead")).cast("long"))
+    return _lines(alike.unionByName(_matches(found.withColumn("end", F.col("start") + min_words))))
+
+
+def _matches(rows: DataFrame) -> DataFrame:
+    """Places with a ``start`` and ``end``, against the ``first`` place that they are matched with."""
+    return rows.select(
+        "uid",
+        F.col("first.uid").alias("first_uid"),
+        F.col("first.least").alias("first_id"),
+        (F.col("first.at") - F.col("at")).alias("shift"),
+        "start",
+        "end",
     )
-    return _lines(alike.unionByName(found))
 
 
 def _contents(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
@@ -313,7 +312,8 @@ def repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_
     """One row per repeated passage: doc_id, start, end, first_id, first_start.
 
     Words count from 0; ``end`` is the first word behind the passage. ``first_id`` is
-    the first document with it, and ``first_start`` its place there.
+    an earlier document with it, the first of its stretch of the sorted array, and
+    ``first_start`` its place there.
     """
     named = _contents(docs, doc_id, text).where("uid IS NOT NULL")
     ids = settle(named.select("doc_id", "uid", n_words(F.col("text")).alias("n")), "contents")
