@@ -52,6 +52,8 @@ TAG_BITS = 21
 KNOWN_WORDS = 300_000
 # Rows of a table that may be broadcast, at some 20 bytes each.
 BROADCAST_ROWS = 1_000_000
+# A key on at least one in so many places is joined by broadcast.
+OFTEN = 2000
 NO_ID = (1 << 63) - 1
 # The order of places: smallest document of the content, content, word.
 PLACE = ["least", "uid", "at"]
@@ -245,8 +247,12 @@ def content_spans(docs: DataFrame, classes: DataFrame, min_words: int = MIN_WORD
     )
     # A key repeats if it stands at two places of contents; copies of a content are one.
     edges = [f(F.struct("uid", "at")).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
-    repeated = coarse.groupBy("key").agg(*edges).where("low < high").select("key")
-    places = settle(coarse.join(repeated, "key").groupBy("uid").agg(F.collect_set("at").alias("places")), "places")
+    repeated = settle(coarse.groupBy("key").agg(*edges, F.count("*").alias("n")).where("low < high").select("key", "n"), "repeated")
+    # Keys on many rows, of which there can be no more than OFTEN, are sent to the rows and not the rows to them.
+    often = F.broadcast(repeated.where(F.col("n") * OFTEN >= coarse.count()).select("key"))
+    others = coarse.join(often, "key", "left_anti").join(repeated.select("key"), "key", "left_semi")
+    opened = coarse.join(often, "key", "left_semi").unionByName(others)
+    places = settle(opened.groupBy("uid").agg(F.collect_set("at").alias("places")), "places")
     # One document of each content; texts without a repeated key go before the shuffle.
     ids = settle(places.select("uid").join(classes, "uid"), "ids")
     named = ids.withColumnRenamed("uid", "_uid")
