@@ -11,6 +11,7 @@ from tabfold.catalogue import (  # noqa: F401
     sources,
     splits,
     streams,
+    summaries,
     text,
 )
 from tabfold.catalogue.registry import ORACLES, QUERIES
