@@ -4,6 +4,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from tabfold.catalogue.registry import registered
 from tabfold.session import fresh_path
 from tabfold.sources import load_table, read_csv, register, sql
+from tabfold.sources.json_fields import field_kinds, field_types, typed_fields
 
 CUSTOMER_COLUMNS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
 CUSTOMER_DDL = (
@@ -84,3 +85,17 @@ def csv_not_null(spark: SparkSession, folder: str) -> DataFrame:
     return lines.groupBy("l_returnflag").agg(
         F.count("*").alias("n_rows"), F.round(F.sum("l_quantity"), 4).alias("quantity"), F.max("l_linenumber").alias("last_line")
     )
+
+
+@registered("SELECT event_id, (props ->> 'k')::bigint AS k FROM events")
+def json_typed_props(spark: SparkSession, folder: str) -> DataFrame:
+    """A column for each field that the properties of events turn out to have."""
+    events = load_table(spark, folder, "events").select("event_id", "props")
+    return typed_fields(events, "props").drop("props")
+
+
+@registered(
+    "SELECT 'k' AS field, 'bigint' AS type, count(*) AS n FROM events WHERE json_type(props, '$.k') IN ('BIGINT', 'UBIGINT')"
+)
+def json_field_types(spark: SparkSession, folder: str) -> DataFrame:
+    return field_types(field_kinds(load_table(spark, folder, "events"), "props"))
