@@ -3,7 +3,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from tabfold.catalogue.registry import registered
 from tabfold.session import fresh_path
-from tabfold.sources import load_table, read_csv, register, sql
+from tabfold.sources import bucketed_join, bucketed_table, buckets_for, load_table, read_csv, register, sql
 from tabfold.sources.json_fields import field_kinds, field_types, typed_fields
 
 CUSTOMER_COLUMNS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
@@ -99,3 +99,43 @@ def json_typed_props(spark: SparkSession, folder: str) -> DataFrame:
 )
 def json_field_types(spark: SparkSession, folder: str) -> DataFrame:
     return field_types(field_kinds(load_table(spark, folder, "events"), "props"))
+
+
+def _stored(df: DataFrame, stem: str, key: str, buckets: int, by: tuple[str, ...] = ()):
+    path = fresh_path(df.sparkSession, stem)
+    return bucketed_table(df.sparkSession, path.rsplit("/", 1)[1].replace("-", "_"), path, df.schema, [key], buckets, by=by)
+
+
+@registered(
+    "SELECT year(o_orderdate)::int AS year, count(*) AS orders, "
+    "sum(CASE WHEN year(o_orderdate) % 2 = 1 THEN 1 ELSE 2 END * round(o_totalprice * 100)::bigint)::bigint AS cents, "
+    "count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1"
+)
+def partitions_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """Doubled prices by year of order; the odd years are then replaced by the plain ones, twice."""
+    orders = load_table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"), F.year("o_orderdate").alias("year")
+    )
+    held = _stored(orders, "orders", "o_orderkey", buckets_for(orders.count()), by=("year",))
+    held.replace(orders.withColumn("cents", F.col("cents") * 2))
+    for _ in range(2):
+        held.replace(orders.where("year % 2 = 1"))
+    return held.read().groupBy("year").agg(
+        F.count("*").alias("orders"), F.sum("cents").alias("cents"), F.count_distinct("o_custkey").alias("customers")
+    )
+
+
+@registered(
+    "SELECT o_orderpriority, l_returnflag, count(*) AS lines, sum(l_quantity) AS quantity "
+    "FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderdate < DATE '1997-01-01' GROUP BY ALL"
+)
+def bucketed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and their lines, stored in equal buckets and joined without a shuffle."""
+    orders = load_table(spark, folder, "orders").withColumnRenamed("o_orderkey", "orderkey")
+    lines = load_table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "orderkey")
+    buckets = buckets_for(lines.count())
+    left, right = _stored(orders, "orders", "orderkey", buckets), _stored(lines, "lines", "orderkey", buckets)
+    left.replace(orders)
+    right.replace(lines)
+    joined = bucketed_join(left, right, where={"left": "o_orderdate < DATE '1997-01-01'"})
+    return joined.groupBy("o_orderpriority", "l_returnflag").agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
