@@ -5,7 +5,8 @@ is streamed through it once: after each word it knows the longest run of words
 ending there that any template has (the matching statistics). Runs that cannot be
 made longer are kept if they are long enough, and those that follow each other in
 a text as well as in a template are chained into spans. A span that covers enough
-of its template gives the template's label. Base phrases are found in the same
+of its template, or enough words of a long one, gives the template's label: a clause
+is found without the licence around it. Base phrases are found in the same
 pass, wherever they end, and give theirs.
 
 Defined results: a null or empty text has no words, no places, empty labels and
@@ -27,6 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tabfold.llm.common import as_bytes, batches_by_bytes
+from tabfold.llm.licence_texts import CLAUSES
 
 # Words of the licence contract over lower-cased UTF-8 bytes, and its phrases.
 WORD = rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,7 +37,7 @@ PHRASES = (
     ("apache", "apache license"),
     ("gpl", "general public license"),
 )
-# Short notices of public licences.
+# Short notices of public licences; their clauses follow.
 TEMPLATES = (
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("mit", "Released under the MIT License. Permission is hereby granted, free of charge."),
@@ -47,6 +49,7 @@ TEMPLATES = (
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     ("reserved", "All rights reserved. No part of this publication may be reproduced"),
+    *CLAUSES,
 )
 
 # A run of words counts from this length on, or if it is a whole template.
@@ -54,6 +57,8 @@ SHORTEST_RUN = 3
 # Words of the text, and of the template, that may lie between two runs of a span.
 GAP = 12
 COVERED = 0.8
+# Words of a template that give its label whatever the share.
+LONG_SPAN = 16
 
 _word = re.compile(WORD)
 
@@ -70,6 +75,7 @@ class Span:
     start: int
     end: int
     covered: float
+    words: int
 
 
 class SuffixAutomaton:
@@ -132,10 +138,11 @@ class Scanner:
         shortest_run: int = SHORTEST_RUN,
         gap: int = GAP,
         covered: float = COVERED,
+        long_span: int = LONG_SPAN,
     ):
         self.labels = [label for label, _ in templates]
         self.phrase_labels = [label for label, _ in phrases]
-        self.shortest_run, self.gap, self.covered = shortest_run, gap, covered
+        self.shortest_run, self.gap, self.covered, self.long_span = shortest_run, gap, covered, long_span
         sequences = [words_of(t.encode()) for _, t in (*templates, *phrases)]
         self.automaton = SuffixAutomaton(sequences)
         n = len(templates)
@@ -191,7 +198,7 @@ class Scanner:
 
         def close(template: int) -> None:
             start, end, _, covered = open_chains.pop(template)
-            found.append(Span(template, start, end, covered / self.automaton.lengths[template]))
+            found.append(Span(template, start, end, covered / self.automaton.lengths[template], covered))
 
         for end, length, state in runs:
             start = end - length
@@ -216,10 +223,10 @@ class Scanner:
         words = words_of(text)
         places, runs = self.stream(words)
         spans = self.spans(runs)
-        good = [s for s in spans if s.covered >= self.covered]
+        good = [s for s in spans if s.covered >= self.covered or s.words >= self.long_span]
         base = sorted({self.phrase_labels[p] for p, _ in places})
         labels = sorted({*base, *(self.labels[s.template] for s in good)})
-        score = 1.0 if base else max((s.covered for s in spans), default=0.0)
+        score = 1.0 if base else max((max(s.covered, s.words / self.long_span) for s in spans), default=0.0)
         return len(words), sorted(places), good, base, labels, min(1.0, score)
 
 

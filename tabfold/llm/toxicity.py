@@ -1,26 +1,31 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick.
 
 Texts are folded first: letters of other scripts that look like Latin ones, full
-width forms, digits and signs that stand for letters, and letters that are told
-apart by nothing but a stroke all become one letter. The lexicon holds folded
-words and beginnings of words, each with a weight; one automaton finds all of
-them in one pass over a text, along with exception phrases, inside which a match
-does not count. The sum of weights is normalised by the length of the text, and a
-logistic curve turns it into a score.
+width forms, digits and signs that stand for letters become one letter; marks above
+and below letters and signs without width go. The lexicon holds folded words and
+beginnings of words, each with a weight; one automaton finds all of them in one pass
+over a text, along with exception phrases, inside which a match does not count. The
+sum of weights is normalised by the length of the text, and a logistic curve turns
+it into a score.
 
 Words and weights are learned from labelled rows: the log odds of a term between
-toxic and other documents. A beginning stands for all its words; it is taken only
-where it tells the classes apart as well as its longer forms do.
+toxic and other documents. Every word and beginning is counted in all of these rows,
+and its evidence alone decides. A beginning stands for all its words; it is taken only
+where it tells the classes apart as well as its longer forms do. Exceptions are
+learned as well: two words on end, one of them of the lexicon, that occur in clean
+rows far more than that word does by itself.
 
 Defined results: a null or empty text has nothing toxic and the lowest score. Labels
 that are null or whose document is missing teach nothing, nor does a null id. A document without a label is scored like any other. With no
 toxic training rows every score is zero. An empty table gives an empty result.
-Columns beyond those named do not matter.
+Columns beyond those named do not matter. Repeated rows are scored one by one; copies
+of a text teach once. A very long text costs memory in proportion to itself.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -29,33 +34,36 @@ from dataclasses import dataclass, replace
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tabfold.llm.common import batches_by_bytes, numbered, settle
 
-# Characters read as a Latin letter. Letters first, by script, then
-# digits and signs; l, 1 and the stroke are read as i.
+# Characters read as a Latin letter. Cyrillic, Greek, Armenian and other
+# letters by script, then digits and signs; l, 1 and the stroke are read as i.
 LOOKALIKES = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h",
-    "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
-    "l": "i", "ı": "i", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "i", "€": "e",
+    "ԁ": "d", "ԛ": "q", "ԝ": "w", "һ": "h", "ү": "y", "ӏ": "i", "ғ": "f", "г": "r", "п": "n", "ѵ": "v",
+    "α": "a", "β": "b", "γ": "y", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "τ": "t", "υ": "u", "χ": "x", "ω": "w",
+    "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g",
+    "ɑ": "a", "ɡ": "g", "ɩ": "i", "ƒ": "f", "ø": "o", "đ": "d", "ħ": "h", "ł": "i", "ŧ": "t", "ß": "b", "ʀ": "r", "ɴ": "n", "ʟ": "i", "ʏ": "y",
+    "l": "i", "ı": "i", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "i", "€": "e", "£": "e",
 }
-# Phrases in which a word of abuse means something else.
-EXCEPTIONS = ("trash can", "trash bag", "clown fish", "idiot proof")
+# Signs that stand for a letter only where one follows: elsewhere they end a word.
+_closing = re.compile(r"[!|$@€£]+(?![^\W_])")
 
-SHORTEST, LONGEST = 4, 12
-# The lexicon is the model and its size a parameter; so is that of the list of
-# candidates, the terms of most toxic documents.
-MAX_TERMS, MAX_CANDIDATES = 20_000, 200_000
+# Beginnings have every length between these, then each doubling; whole words any length.
+SHORTEST, LONGEST = 4, 16
+# Sizes of the model.
+MAX_TERMS, MAX_EXCEPTIONS = 20_000, 20_000
 # Labelled rows that the lexicon is fitted on.
 MAX_ROWS = 1_000_000
-# Toxic texts that a term has to occur in: this many, and this share of all.
-MIN_TOXIC_DOCS, MIN_TOXIC_SHARE = 4, 0.01
+# Toxic texts that a term has to occur in to be tested at all.
+MIN_TOXIC_DOCS = 4
 # Log odds count less this many standard errors. A term has to tell more than the
-# best of all candidates would by chance, by this much, and to weigh this share of
-# the heaviest: many light terms, such as words of one language, add up to nothing.
-CAUTION, SURPLUS, OF_HEAVIEST = 1.5, 1.0, 0.6
+# best of all tested would by chance, by this much, and to make a toxic text this
+# much likelier (log odds): many light terms, such as words of one language, add up.
+CAUTION, SURPLUS, LEAST = 1.5, 1.0, 2.0
 # Words of a text up to which its length hardly matters.
 LENGTH = 200
 # Histogram of densities: bins for each doubling, and in all.
@@ -70,8 +78,11 @@ class _Folding(dict):
     """Character table that folds a character when it is first met."""
 
     def __missing__(self, code: int) -> str:
-        plain = unicodedata.normalize("NFKC", chr(code)).lower()
-        folded = "".join(LOOKALIKES.get(c, c if c.isalnum() else " ") for c in plain)
+        folded = ""
+        for c in unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", chr(code)).lower()):
+            kind = unicodedata.category(c)
+            # Marks on letters and signs without width vanish, other signs part words.
+            folded += "" if kind in ("Mn", "Me", "Cf") else LOOKALIKES.get(c, c if c.isalnum() else " ")
         self[code] = folded
         return folded
 
@@ -81,38 +92,52 @@ _folding = _Folding()
 
 def fold(text: str) -> str:
     """Folded words, each between single spaces."""
-    return f" {' '.join(text.translate(_folding).split())} "
+    return f" {' '.join(_closing.sub(' ', text).translate(_folding).split())} "
+
+
+def _beginnings(word: str) -> Iterator[str]:
+    yield from (word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1))
+    n = 2 * LONGEST
+    while n <= len(word):
+        yield word[:n]
+        n *= 2
 
 
 def _terms(words: set[str]) -> set[str]:
     """Whole words, closed by a space, and beginnings of words."""
-    found = {f"{w} " for w in words if len(w) <= LONGEST}
+    found = {f"{w} " for w in words}
     for w in words:
-        found.update(w[:n] for n in range(SHORTEST, min(len(w), LONGEST) + 1))
+        found.update(_beginnings(w))
     return found
 
 
-def _term_counts(wanted: frozenset[str] | None):
-    """Documents per term, of ``wanted`` terms or of all; a task adds up what it reads."""
+def _counted(rows: DataFrame, found) -> DataFrame:
+    """Toxic and clean rows per thing that ``found`` gives for a text; a task adds up what it reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        counts: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+        things = found()
         for batch in batches_by_bytes(batches, 0, 1 << 22):
-            for text in batch.column(0).to_pylist():
-                terms = _terms(set(fold(text or "").split()))
-                counts.update(terms if wanted is None else terms & wanted)
-                if len(counts) > HELD_TERMS:
-                    yield _as_batch(counts)
-                    counts.clear()
-        yield _as_batch(counts)
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts[toxic].update(things(text or ""))
+                if len(counts[toxic]) > HELD_TERMS:
+                    yield _as_batch(counts[toxic], toxic)
+                    counts[toxic].clear()
+        for toxic in (False, True):
+            yield _as_batch(counts[toxic], toxic)
 
-    return run
+    parts = rows.select("text", "toxic").mapInArrow(run, "term string, toxic long, clean long")
+    return parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _as_batch(counts: Counter[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"]
-    )
+def _as_batch(counts: Counter[str], toxic: bool) -> pa.RecordBatch:
+    n, none = pa.array(list(counts.values()), pa.int64()), pa.array([0] * len(counts), pa.int64())
+    columns = [pa.array(list(counts), pa.string()), *((n, none) if toxic else (none, n))]
+    return pa.RecordBatch.from_arrays(columns, ["term", "toxic", "clean"])
+
+
+def _all_terms():
+    return lambda text: _terms(set(fold(text).split()))
 
 
 @dataclass(frozen=True)
@@ -120,12 +145,14 @@ class Lexicon:
     """Terms with weights, exception phrases, and the place of the score's curve."""
 
     weights: dict[str, float]
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
     middle: float = 0.0
     length: int = LENGTH
 
     def automaton(self) -> ahocorasick.Automaton:
         built = ahocorasick.Automaton()
+        # Occurs in no folded text; an automaton without words could not be run.
+        built.add_word("\n", (0, None))
         for term, weight in self.weights.items():
             built.add_word(" " + term, (len(term), weight))
         for phrase in self.exceptions:
@@ -134,6 +161,31 @@ class Lexicon:
         built.make_automaton()
         return built
 
+    def phrases(self):
+        """What finds, in a text, the matched words and the pairs of words that hold one.
+
+        A word stands as itself, a pair as the matched word, a tab and the pair.
+        """
+        automaton = Lexicon(self.weights).automaton()
+
+        def find(text: str) -> set[str]:
+            folded = fold(text)
+            found = set()
+            for start in {end - size for end, (size, _) in automaton.iter(folded)}:
+                start += folded[start] == " "
+                stop = folded.index(" ", start)
+                word = folded[start:stop]
+                found.add(word)
+                before = folded[folded.rfind(" ", 0, start - 1) + 1 : start - 1]
+                after = folded[stop + 1 : folded.find(" ", stop + 1)]
+                if before:
+                    found.add(f"{word}\t{before} {word}")
+                if after:
+                    found.add(f"{word}\t{word} {after}")
+            return found
+
+        return find
+
     def density(self, text: str | None, automaton: ahocorasick.Automaton) -> float:
         """Weight of the matches outside exception phrases, normalised by the text's length.
 
@@ -205,44 +257,61 @@ def learn(
     text: str = "text",
     max_rows: int = MAX_ROWS,
     max_terms: int = MAX_TERMS,
-    exceptions: Sequence[str] = EXCEPTIONS,
+    max_exceptions: int = MAX_EXCEPTIONS,
+    exceptions: Sequence[str] = (),
 ) -> Lexicon:
     """Fit a lexicon on documents with a label; ``labels`` has the id and ``toxic``, 0 or 1.
 
-    Copies of a text with one label count once. Terms are counted in all toxic
-    rows, then the candidates among them in all others. What reaches the driver is
-    bounded by the sizes above.
+    Copies of a text with one label count once. Terms are counted in all labelled rows
+    and judged there, in Spark: what reaches the driver is the lexicon, of ``max_terms``
+    terms and ``max_exceptions`` learned phrases at most. ``exceptions`` are more phrases.
     """
     rows = training_rows(docs, labels, doc_id=doc_id, text=text, max_rows=max_rows)
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
-
-    def counted(toxic: bool, wanted: frozenset[str] | None) -> DataFrame:
-        texts = rows.where(F.col("toxic") == toxic).select("text")
-        return texts.mapInArrow(_term_counts(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-
-    candidates = counted(True, None).where(F.col("n") >= max(MIN_TOXIC_DOCS, MIN_TOXIC_SHARE * n_toxic)).orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES)
-    toxic = {r["term"]: r["n"] for r in candidates.collect()}
-    clean = {r["term"]: r["n"] for r in counted(False, frozenset(toxic)).collect()}
-    weights = {t: cautious_odds(n, n_toxic, clean.get(t, 0), n_clean) for t, n in toxic.items()}
-    telling = math.log(max(1, len(toxic))) + SURPLUS
-    least = OF_HEAVIEST * max([0.0, *weights.values()])
-    sure = [t for t in weights if weights[t] > 0 and weights[t] >= least and evidence(toxic[t], n_toxic, clean.get(t, 0), n_clean) >= telling]
-    best = sorted(sure, key=lambda t: (-weights[t], t))[:max_terms]
-    draft = Lexicon(without_longer_forms({t: weights[t] for t in best}), tuple(exceptions))
+    if not n_toxic or not n_clean:
+        return Lexicon({}, tuple(exceptions))
+    tested = settle(_counted(rows, _all_terms).where(F.col("toxic") >= MIN_TOXIC_DOCS), "terms")
+    telling = math.log(max(1, tested.count())) + SURPLUS
+    toxic, clean = F.col("toxic"), F.col("clean")
+    odds = log_odds(toxic, n_toxic, clean, n_clean)
+    weight = odds - CAUTION * F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+    sure = tested.select("term", weight.alias("weight")).where(
+        (odds >= LEAST) & (weight > 0) & (evidence(toxic, clean, F.lit(n_toxic / (n_toxic + n_clean))) >= telling)
+    )
+    best = sure.orderBy(F.desc("weight"), "term").limit(max_terms).collect()
+    weights = without_longer_forms({r["term"]: r["weight"] for r in best})
+    spared = _exceptions(rows, Lexicon(weights), n_toxic, n_clean, max_exceptions) if weights else []
+    draft = Lexicon(weights, tuple(dict.fromkeys([*exceptions, *spared])))
     return replace(draft, middle=_best_cut(rows, draft) - math.log(TOXIC_SCORE / (1 - TOXIC_SCORE)) / SLOPE)
 
 
-def cautious_odds(toxic: int, n_toxic: int, clean: int, n_clean: int) -> float:
-    odds = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
-    return odds - CAUTION * math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-
+def _exceptions(rows: DataFrame, lexicon: Lexicon, n_toxic: int, n_clean: int, most: int) -> list[str]:
+    """Pairs of words that are clean although the lexicon's word in them is not.
 
-def evidence(toxic: int, n_toxic: int, clean: int, n_clean: int) -> float:
-    """Log likelihood ratio of a term's own share of toxic documents against the share of all."""
-    share, own = n_toxic / (n_toxic + n_clean), toxic / (toxic + clean)
-    rest = clean * math.log((1 - own) / (1 - share)) if clean else 0.0
-    return toxic * math.log(own / share) + rest
+    A pair is one if its rows are clean more often than those of the word, by more than
+    the best of all pairs would be by chance, and no oftener toxic than any row.
+    """
+    found = settle(_counted(rows, lexicon.phrases), "phrases").withColumn("word", F.split_part("term", F.lit("\t"), F.lit(1)))
+    words = found.where("term = word").select("word", F.col("toxic").alias("all_toxic"), F.col("clean").alias("all_clean"))
+    pairs = found.where("term <> word AND clean > 0").join(words, "word")
+    telling = math.log(max(1, pairs.count())) + SURPLUS
+    # The share of clean rows among those of the word; some of it is never clean by chance.
+    share = (F.col("all_clean") + 0.5) / (F.col("all_clean") + F.col("all_toxic") + 1)
+    surplus = F.when(F.col("clean") > share * (F.col("clean") + F.col("toxic")), evidence(F.col("clean"), F.col("toxic"), share)).otherwise(0.0)
+    sure = pairs.where((surplus >= telling) & (F.col("toxic") * n_clean <= F.col("clean") * n_toxic))
+    pair = F.split_part("term", F.lit("\t"), F.lit(2)).alias("pair")
+    return [r["pair"] for r in sure.groupBy(pair).agg(F.max(surplus).alias("surplus")).orderBy(F.desc("surplus"), "pair").limit(most).collect()]
+
+
+def log_odds(toxic: Column, n_toxic: int, clean: Column, n_clean: int) -> Column:
+    return F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((clean + 0.5) / (n_clean + 1))
+
+
+def evidence(own: Column, other: Column, share: Column) -> Column:
+    """Log likelihood ratio of the part ``own`` has of ``own`` and ``other`` against ``share``."""
+    part = own / (own + other)
+    return own * F.log(part / share) + F.when(other > 0, other * F.log((1 - part) / (1 - share))).otherwise(0.0)
 
 
 def without_longer_forms(weights: dict[str, float]) -> dict[str, float]:

@@ -3,6 +3,7 @@ import re
 
 from helpers import documents, with_clashes
 
+from tabfold.llm.licence_texts import CLAUSES
 from tabfold.llm.licences import PHRASES, TEMPLATES, Scanner, SuffixAutomaton, scan_licences, words_of
 
 
@@ -74,3 +75,51 @@ def test_against_brute_force(spark, folder):
 
 def test_empty(spark):
     assert scan_licences(documents(spark, [])).collect() == []
+
+
+def pieces(text, words):
+    split = text.split()
+    return [" ".join(split[i : i + words]) for i in range(0, len(split) - words + 1, words)]
+
+
+def test_every_part_of_a_clause_gives_its_label_alone():
+    scanner = Scanner()
+    for label, text in CLAUSES:
+        found = scanner.scan(f"some words before {text} and behind".encode())
+        # Base phrases and short notices inside a clause give labels of their own.
+        assert label in found[4] and found[5] == 1.0
+        for piece in pieces(text, 24):
+            _, _, spans, base, labels, score = scanner.scan(f"xx {piece} yy".encode())
+            assert label in labels, piece
+            assert score == 1.0
+            assert max(s.words for s in spans) >= 16 or base
+    mixed = scanner.scan(f"{CLAUSES[0][1]} unrelated {CLAUSES[1][1]}".encode())[4]
+    assert {"mit", "bsd"} <= set(mixed)
+
+
+def test_spans_are_the_longest_common_runs():
+    """A single run is compared with all runs of the text and the templates."""
+    scanner = Scanner()
+    rng = random.Random(3)
+    templates = [words_of(t.encode()) for _, t in TEMPLATES]
+    for _ in range(60):
+        template = rng.choice(templates)
+        size = rng.randrange(1, len(template) + 1)
+        at = rng.randrange(len(template) - size + 1)
+        words = [b"qq", b"zz", *template[at : at + size], b"ww"]
+        longest = max(
+            (j - i for i in range(len(words)) for j in range(i + 1, len(words) + 1) if any(words[i:j] == t[k : k + j - i] for t in templates for k in range(len(t) - (j - i) + 1))),
+            default=0,
+        )
+        assert longest == size
+        _, runs = scanner.stream(words)
+        assert (2 + size, size) in [(end, length) for end, length, _ in runs] or size < 3
+        _, _, _, _, _, score = scanner.scan(b" ".join(words))
+        assert score == 1.0 if size >= 16 else score >= 0
+
+
+def test_plain_prose_gets_no_label():
+    text = "In no event did the author of the software say that the above notice was included in all copies of the book. " * 3
+    assert Scanner().scan(text.encode())[4] == []
+    assert Scanner().scan(b"all rights were reserved for the guests")[4] == []
+    assert Scanner().scan(b"All rights reserved.")[4] == ["reserved"]

@@ -1,3 +1,4 @@
+import math
 import random
 
 from helpers import documents, with_clashes
@@ -28,6 +29,9 @@ def test_folding():
     assert fold("Mor0n mоrоn ｍｏｒｏｎ") == " moron moron moron "
     assert fold("1D!0T, idiot\tL0ser") == " idiot idiot ioser "
     assert fold("") == "  "
+    # Marks, signs without width and other scripts; signs that end a word are no letters.
+    assert fold("mo\u0301ro\u0308n m\u200bo\u00adron m\u03bfr\u0585n m\u00f8ron") == " moron moron moron moron "
+    assert fold("moron!! $hit! a!b") == " moron shit aib "
 
 
 def test_learned_lexicon_finds_disguised_words(spark):
@@ -81,3 +85,59 @@ def test_query_on_held_out_rows(spark, folder):
     checked = found.join(labels, "doc_id").where("held_out")
     right = checked.where(F.col("predicted") == F.col("toxic")).count()
     assert right >= 0.95 * checked.count()
+
+
+def test_a_rare_and_a_long_word_are_found(spark):
+    rng = random.Random(5)
+    words = ["ab" + c + d for c in "cdefghjkm" for d in "nprtuvwyz"]
+    rows, labels = [], []
+    for i in range(4000):
+        text = [rng.choice(words) for _ in range(20)] + [f"u{i}"]
+        if i % 4 == 0:
+            # One in half a hundred toxic rows, another in most.
+            text.append("blatherskiteandscoundrelism" if i % 100 == 0 else "zounder" if i % 80 == 0 else "moron")
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = documents(spark, rows)
+    lexicon = learn(docs, spark.createDataFrame(labels, LABELS))
+    for word in ("moron", "zounder", "blatherskiteandscoundrelism"):
+        assert any(fold(word)[1:].startswith(term) for term in lexicon.weights), word
+    assert len([t for t in lexicon.weights if t.startswith("ab")]) == 0
+
+
+def test_a_word_of_one_in_two_hundred_toxic_rows_is_found(spark):
+    rows = [(i, f"w{i % 97} w{i % 89} " + ("zounder" if i % 400 == 0 else "moron" if i % 2 == 0 else "fine")) for i in range(8000)]
+    labels = [(i, int(i % 2 == 0)) for i in range(8000)]
+    lexicon = learn(documents(spark, [(i, f"{t} n{i}") for i, t in rows]), spark.createDataFrame(labels, LABELS))
+    assert any("zounder ".startswith(term) for term in lexicon.weights)
+
+
+def test_exceptions_are_learned_from_clean_rows(spark):
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 3 == 0
+        clean = "the trash can is full" if i % 24 == 1 else "plain words here"
+        rows.append((i, f"n{i} {'you are trash really' if toxic else clean} m{i}"))
+        labels.append((i, int(toxic)))
+    lexicon = learn(documents(spark, rows), spark.createDataFrame(labels, LABELS))
+    assert "trash can" in lexicon.exceptions
+    assert not any("are trash" in e or "really" in e for e in lexicon.exceptions)
+    built = lexicon.automaton()
+    assert lexicon.density("a trash can", built) == 0.0 < lexicon.density("such trash", built)
+
+
+def test_density_by_brute_force():
+    rng = random.Random(2)
+    lexicon = Lexicon({"abc": 1.0, "abcd ": 2.5, "b ": 0.5, "cab": 1.5}, ("cab b",))
+    built = lexicon.automaton()
+    for _ in range(200):
+        words = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(12))]
+        meant = {}
+        for i, w in enumerate(words):
+            terms = [t for t in lexicon.weights if f"{w} ".startswith(t)]
+            pairs = [words[i - 1 : i + 1] if i else [], words[i : i + 2]]
+            if terms and ["cab", "b"] not in pairs:
+                term = max(terms, key=lexicon.weights.get)
+                meant[term] = meant.get(term, 0) + 1
+        want = sum(lexicon.weights[t] * (1 + math.log(n)) for t, n in meant.items()) / math.sqrt(1 + (len(words) + 1) / lexicon.length)
+        assert abs(lexicon.density(" ".join(words), built) - want) < 1e-9 or not words
