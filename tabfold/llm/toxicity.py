@@ -9,8 +9,8 @@ sum of weights is normalised by the length of the text, and a logistic curve tur
 it into a score.
 
 Words and weights are learned from labelled rows: the log odds of a term between
-toxic and other documents. Every word and beginning is counted in all of these rows,
-and its evidence alone decides. A beginning stands for all its words; it is taken only
+toxic and other documents. Every word and beginning of the toxic rows is judged, and
+its evidence alone decides. A beginning stands for all its words; it is taken only
 where it tells the classes apart as well as its longer forms do. Exceptions are
 learned as well: two words on end, one of them of the lexicon, that occur in clean
 rows far more than that word does by itself.
@@ -70,6 +70,8 @@ LENGTH = 200
 PER_DOUBLING, BINS = 8, 320
 # Scores: the rise per doubling of the density, and the score that means toxic.
 SLOPE, TOXIC_SCORE = 2.0, 0.7
+# Tested terms that are sent to the tasks; beyond it all terms are counted, with the same result.
+MAX_WANTED_BYTES = 1 << 25
 # Terms that a task holds before it hands them on.
 HELD_TERMS = 200_000
 
@@ -140,6 +142,14 @@ def _all_terms():
     return lambda text: _terms(set(fold(text).split()))
 
 
+def _wanted_terms(able: DataFrame):
+    """What finds the terms of ``able``, which go to the tasks if they are short enough, or else all terms."""
+    if (able.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0) > MAX_WANTED_BYTES:
+        return _all_terms
+    wanted = frozenset(r["term"] for r in able.select("term").collect())
+    return lambda: lambda text: _terms(set(fold(text).split())) & wanted
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Terms with weights, exception phrases, and the place of the score's curve."""
@@ -271,14 +281,17 @@ def learn(
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     if not n_toxic or not n_clean:
         return Lexicon({}, tuple(exceptions))
-    tested = settle(_counted(rows, _all_terms).where(F.col("toxic") >= MIN_TOXIC_DOCS), "terms")
+    share = n_toxic / (n_toxic + n_clean)
+    tested = settle(_counted(rows.where("toxic"), _all_terms).where(F.col("toxic") >= MIN_TOXIC_DOCS).select("term", "toxic"), "terms")
     telling = math.log(max(1, tested.count())) + SURPLUS
+    # Only these can have the evidence: it is greatest without a clean row.
+    able = tested.where(F.col("toxic") * -math.log(share) >= telling)
+    met = _counted(rows.where("NOT toxic"), _wanted_terms(able)).select("term", "clean")
+    judged = able.join(met, "term", "left").select("term", "toxic", F.coalesce("clean", F.lit(0)).alias("clean"))
     toxic, clean = F.col("toxic"), F.col("clean")
     odds = log_odds(toxic, n_toxic, clean, n_clean)
     weight = odds - CAUTION * F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-    sure = tested.select("term", weight.alias("weight")).where(
-        (odds >= LEAST) & (weight > 0) & (evidence(toxic, clean, F.lit(n_toxic / (n_toxic + n_clean))) >= telling)
-    )
+    sure = judged.select("term", weight.alias("weight")).where((odds >= LEAST) & (weight > 0) & (evidence(toxic, clean, F.lit(share)) >= telling))
     best = sure.orderBy(F.desc("weight"), "term").limit(max_terms).collect()
     weights = without_longer_forms({r["term"]: r["weight"] for r in best})
     spared = _exceptions(rows, Lexicon(weights), n_toxic, n_clean, max_exceptions) if weights else []
