@@ -1,12 +1,13 @@
 """Ordered operators against plain Python, with keys that hold most rows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window, functions as F
 
 from tabfold.operators.asof import asof_join
-from tabfold.operators.intervals import overlap_join, points_in_intervals
+from tabfold.operators.intervals import block_size, overlap_join, points_in_intervals
 from tabfold.operators.ranges import PART, by_range, moving, running_totals
 
 
@@ -129,6 +130,34 @@ def test_an_interval_over_all_points_is_shared_by_the_tasks(spark):
     assert found.groupBy("i").count().orderBy("i").collect() == [(1, 60000), (2, 1)]
 
 
+def test_pairs_come_into_being_after_the_shuffle(spark):
+    left = spark.range(2000).select(F.col("id").alias("i"), F.col("id").alias("s"), (F.col("id") + 1500).alias("e"))
+    right = left.toDF("j", "u", "w")
+    found = overlap_join(left, right, ("s", "e"), ("u", "w"), parts=4)
+    assert found.count() == sum(abs(a - b) < 1500 for a in range(2000) for b in range(2000))
+    # What is moved is a row per block that an interval reaches, not one per pair.
+    made = re.findall(r"explode\(sequence\((\S+)", found._jdf.queryExecution().optimizedPlan().toString())
+    assert any(m.startswith("FLOOR") for m in made) and not any("_start" in m for m in made)
+
+
+def test_a_block_that_all_intervals_hold_is_shared_by_the_tasks(spark):
+    points = spark.range(64000).select((F.col("id") * 10).alias("p"))
+    same = spark.range(3000).select(F.col("id").alias("i"), F.lit(100).alias("s"), F.lit(740).alias("e"))
+    found = points_in_intervals(points, same, "p", "s", "e", parts=8)
+    sizes = found.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sum(r["count"] for r in sizes) == 3000 * 64
+    assert found.groupBy("p").count().where("count = 3000").count() == 64
+
+
+def test_blocks_follow_the_intervals(spark):
+    placed = spark.range(1, 100001).select(F.col("id").alias("_place"))
+    held = lambda *bounds: spark.createDataFrame(bounds, "_from long, _upto long")
+    assert block_size(held((0, 1), (5, 6)), placed, 8) == 1
+    assert block_size(held((0, 100), (5, 105)), placed, 8) == 64
+    assert block_size(held((0, 100000)), placed, 8) == 2048 and block_size(held((0, 100000)), placed, 1) == 4096
+    assert block_size(held((0, 1)).limit(0), placed.limit(0), 8) == 1
+
+
 def test_clashing_columns_are_refused(spark):
     one = spark.createDataFrame([(1, 2, 3)], "k long, s long, e long")
     with pytest.raises(ValueError):
