@@ -96,6 +96,32 @@ def silhouette(df: DataFrame, vector: str = "features", cluster: str = "predicti
     return ClusteringEvaluator(featuresCol=vector, predictionCol=cluster).evaluate(df)
 
 
+def weighted_silhouette(df: DataFrame, vector: str, cluster: str, weight: str) -> float:
+    """The silhouette of rows that each stand for ``weight`` copies of themselves.
+
+    The ML library leaves out a row with all its weight where it is compared with its
+    own cluster; here a copy is compared with the others of its kind, as it is without
+    weights. The mean squared distance to a cluster is that to its mean and the mean
+    square about the mean; one row per cluster reaches the driver.
+    """
+    mean = Summarizer.metrics("mean").summary(F.col(vector), F.col(weight)).alias("s")
+    sums = df.groupBy(F.col(cluster).alias("c")).agg(F.sum(weight).alias("n"), mean)
+    found = sums.select("c", "n", as_array("s.mean").alias("mean")).orderBy("c").collect()
+    own = F.array_position(F.array(*[F.lit(r["c"]) for r in found]), F.col(cluster)).cast("int")
+    rows = _with_distances(df.select(vector, cluster, F.col(weight).alias("_w")), vector, [r["mean"] for r in found])
+    rows = rows.withColumn("_own", own)
+    spread = rows.groupBy("_own").agg(F.sum(F.element_at("_distances", F.col("_own")) * F.col("_w")).alias("q")).collect()
+    of_own = {r["_own"]: r["q"] for r in spread}
+    about = F.array(*[F.lit(float(of_own[i] / r["n"])) for i, r in enumerate(found, start=1)])
+    size = F.element_at(F.array(*[F.lit(float(r["n"])) for r in found]), F.col("_own"))
+    rows = rows.select("_own", "_w", size.alias("_n"), F.zip_with("_distances", about, lambda d, q: d + q).alias("_far"))
+    a = F.element_at("_far", F.col("_own")) * F.col("_n") / (F.col("_n") - 1)
+    b = F.array_min(F.transform("_far", lambda d, i: F.when(i + 1 != F.col("_own"), d)))
+    rows = rows.select("_w", "_n", F.when(F.col("_n") > 1, a).alias("_a"), b.alias("_b"))
+    s = F.when(F.col("_a") < F.col("_b"), 1 - F.col("_a") / F.col("_b")).when(F.col("_a") > F.col("_b"), F.col("_b") / F.col("_a") - 1)
+    return rows.agg(F.sum(F.coalesce(s, F.lit(0.0)) * F.col("_w")) / F.sum("_w")).first()[0]
+
+
 # --- k-means -----------------------------------------------------------------
 
 
@@ -121,6 +147,12 @@ def assign(df: DataFrame, model: KMeansModel) -> DataFrame:
     return model.transform(df)
 
 
+def distinct_vectors(df: DataFrame, vector: str) -> DataFrame:
+    """Each vector once, with its number of rows in ``_weight``; rows lie the same way in every run."""
+    counted = df.groupBy(vector).agg(F.count("*").cast("double").alias("_weight"))
+    return counted.sortWithinPartitions(F.xxhash64(vector))
+
+
 def kmeans_sweep(
     df: DataFrame,
     vector: str,
@@ -133,17 +165,19 @@ def kmeans_sweep(
 ) -> Sweep:
     """Fit and score every k: rows (k, silhouette, training_cost).
 
-    Only the feature vectors are held between the passes. ``parallelism`` works
-    on that many values of k at a time. A fit that ends with a single cluster has
-    a null silhouette.
+    Only the feature vectors are held between the passes, each once and with its
+    number of rows as weight, so that the passes grow with the distinct vectors.
+    ``parallelism`` works on that many values of k at a time. A fit that ends with
+    a single cluster has a null silhouette.
     """
     ks = list(ks)
-    with held(df, vector, rows_per_part=rows_per_part) as rows:
+    weighted = distinct_vectors(df, vector)
+    with held(weighted, vector, "_weight", rows_per_part=rows_per_part) as rows:
 
         def run(k: int) -> tuple[KMeansModel, float | None]:
-            model = _kmeans(rows, vector, k, seed, **params)
+            model = _kmeans(rows, vector, k, seed, weightCol="_weight", **params)
             several = len(model.clusterCenters()) > 1
-            return model, silhouette(model.transform(rows), vector) if several else None
+            return model, weighted_silhouette(model.transform(rows), vector, "prediction", "_weight") if several else None
 
         with ThreadPoolExecutor(parallelism) as pool:
             results = list(pool.map(inheritable_thread_target(df.sparkSession)(run), ks))

@@ -134,3 +134,18 @@ def test_squared_distance_has_one_form_and_checks_the_length(spark):
         for wrong in (size - 1, size + 1):
             with pytest.raises(Exception, match=f"not {wrong} values but {size}"):
                 df.select(squared_distance(F.col("x"), [0.0] * wrong).alias("d")).collect()
+
+
+def test_sweep_passes_over_distinct_vectors_by_weight(spark):
+    points = [(0.0, 0.0), (0.0, 1.0), (9.0, 0.0), (9.0, 1.0), (9.0, 2.0)]
+    copies = [p for i, p in enumerate(points) for _ in range(50 * (i + 1))]
+    rows = op.array_vector("x")
+    df = spark.createDataFrame([(list(p),) for p in copies], "x array<double>").repartition(7).select(rows.alias("features"))
+    once = op.distinct_vectors(df, "features")
+    assert sorted(r["_weight"] for r in once.collect()) == [50.0, 100.0, 150.0, 200.0, 250.0]
+    found = op.kmeans_sweep(df, "features", [2], seed=1).scores.first()
+    # Sums of squares of the two columns of points, copies and all.
+    left, right = 50 * 100 / 150, 150 * 200 + 150 * 250 + 200 * 250 + 3 * 150 * 250
+    assert found["training_cost"] == pytest.approx(left + right / 600)
+    labelled = df.withColumn("prediction", (op.as_array("features")[0] > 5).cast("int"))
+    assert found["silhouette"] == pytest.approx(op.silhouette(labelled))
