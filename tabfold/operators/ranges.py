@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 SAMPLED_PER_PART = 40
+# Sampled rows of a range's end: about a tenth of the range comes after the first of them.
+LATE = 4
 PART = "_part"
 TIE = "_tie"
 
@@ -25,11 +27,21 @@ def default_parts(df: DataFrame) -> int:
 
 @dataclass(frozen=True)
 class Ranges:
-    """``rows`` with their range in ``_part``; ``cuts`` has the first order of each range but the first."""
+    """``rows`` with their range in ``_part``; ``cuts`` has the first order of each range but the first.
+
+    ``late`` has an order near the end of each range, or null where the sample has too few rows of it.
+    """
 
     rows: DataFrame
     order: list[str]
     cuts: list[Row]
+    late: list[Row | None]
+
+    def is_late(self) -> Column:
+        """Whether a row is one of the last of its range: about a tenth of them; all where that is not known."""
+        place = F.struct(*[F.col(f"`{c}`") for c in self.order])
+        start = F.element_at(_points(self.late, place, self.rows), F.col(PART) + 1)
+        return start.isNull() | (start <= place)
 
     def keys_at_cuts(self, by: Sequence[str]) -> DataFrame:
         """(_part, key columns) of the stretch that each cut goes through; one row per cut."""
@@ -47,16 +59,25 @@ def by_range(df: DataFrame, order: Sequence[str], parts: int | None = None) -> R
     # The best of random draws: one pass, and no more than the wanted rows from each task.
     sample = rows.select(place.alias("o")).orderBy(F.rand(7)).limit(SAMPLED_PER_PART * parts)
     found = [r["o"] for r in sample.orderBy("o").collect()]
-    cuts = list(dict.fromkeys(found[len(found) * i // parts] for i in range(1, parts))) if found else []
-    return Ranges(rows.withColumn(PART, _range_of(place, cuts, rows)), names, cuts)
+    at = {found[i]: i for i in reversed([len(found) * i // parts for i in range(1, parts)])} if found else {}
+    starts = sorted(at.values())
+    cuts = [found[i] for i in starts]
+    late = [found[end - LATE] if end - LATE > start else None for start, end in zip([0, *starts], [*starts, len(found)])]
+    return Ranges(rows.withColumn(PART, _range_of(place, cuts, rows)), names, cuts, late)
+
+
+def _points(orders: list[Row | None], place: Column, rows: DataFrame) -> Column:
+    """Orders as a literal array of the kind of ``place``."""
+    kind = rows.select(place.alias("o")).schema["o"].dataType
+    made = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(o, kind)]) if o is not None else F.lit(None).cast(kind) for o in orders]
+    return F.array(*made)
 
 
 def _range_of(place: Column, cuts: list[Row], rows: DataFrame) -> Column:
     """How many cuts are not beyond ``place``, by bisection."""
     if not cuts:
         return F.lit(0)
-    kind = rows.select(place.alias("o")).schema["o"].dataType
-    points = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, kind)]) for cut in cuts])
+    points = _points(cuts, place, rows)
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
     return F.aggregate(
         steps, F.lit(0), lambda low, step: F.when(F.try_element_at(points, low + step) <= place, low + step).otherwise(low)
@@ -139,9 +160,14 @@ def moving(
     rows = ranges.rows.withColumn("_copy", F.lit(False))
     if ranges.cuts and preceding > 0:
         of_keys = _of_cut_keys(ranges, by)
+        late = ranges.is_late()
+        counts = of_keys.groupBy(PART, *by).agg(F.count("*").alias("_n"), F.count_if(late).alias("_late")).collect()
+        # Only the end of a range is sorted for its last rows, unless the end has too few of them.
+        short = sorted({r[PART] for r in counts if r["_late"] < min(preceding, r["_n"])})
+        ends = of_keys.where(late | F.col(PART).isin(short))
         last = Window.partitionBy(PART, *by).orderBy(*[F.desc(c) for c in (*order_by, TIE)])
-        tails = of_keys.withColumn("_back", F.row_number().over(last)).where(F.col("_back") <= preceding)
-        wanted = _reach(ranges, by, preceding, of_keys.groupBy(PART, *by).agg(F.count("*").alias("_n")).collect())
+        tails = ends.withColumn("_back", F.row_number().over(last)).where(F.col("_back") <= preceding)
+        wanted = _reach(ranges, by, preceding, counts)
         copies = tails.join(F.broadcast(wanted), _same(tails, wanted, by)).where("_back <= _reach")
         copies = copies.select(*[tails[c] for c in ranges.rows.columns if c != PART], F.col("_to").alias(PART))
         rows = rows.unionByName(copies.withColumn("_copy", F.lit(True)))

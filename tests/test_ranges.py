@@ -90,6 +90,18 @@ def test_totals_and_frames_equal_plain_windows(spark, by):
         assert rows_of(moving(rows, ["o"], preceding, wanted, by=by, parts=11)) == rows_of(plain)
 
 
+def test_last_rows_are_sought_at_the_end_of_a_range(spark):
+    ranges = by_range(spark.range(40000).select(F.col("id").alias("t")), ["t"], 8)
+    late = ranges.rows.where(ranges.is_late())
+    n, found = late.groupBy(PART).agg(F.count("*").alias("n"), F.min("t").alias("least")), {}
+    for r in n.collect():
+        found[r[PART]] = r["least"], r["n"]
+    assert len(found) == 8 and sum(n for _, n in found.values()) < 40000 / 4
+    # They are the last: from the least one on no row of the range is left out.
+    for part, (least, n) in found.items():
+        assert ranges.rows.where((F.col(PART) == part) & (F.col("t") >= least)).count() == n
+
+
 def test_totals_of_nothing(spark):
     none = spark.createDataFrame([], "o long, x long")
     assert running_totals(none, ["o"], {"s": "x"}).collect() == [] == moving(none, ["o"], 2, {"s": F.sum("x")}).collect()
