@@ -11,11 +11,10 @@ from pyspark.sql.types import StructType
 
 from tabfold.operators.features import assembler, minmax_scaler
 from tabfold.operators.metrics import rmse, rmse_evaluator
-from tabfold.operators.models import chain, fit, linear_regression, score
-from tabfold.operators.moments import ridge_search
+from tabfold.operators.models import chain, linear_regression, score
 from tabfold.operators.relational import project
 from tabfold.operators.splits import hash_fold
-from tabfold.operators.tuning import cross_validate, grid
+from tabfold.operators.tuning import cross_validate, cross_validate_ridge, grid
 from tabfold.plans.holdout import BUCKETS, Holdout, hold_out
 from tabfold.sources import FLIGHTS, read_csv
 
@@ -55,10 +54,10 @@ def tuned_regression(
     folds follow the key hash; otherwise both are drawn with ``seed``.
 
     The general search fits every grid point on every fold. ``search="moments"``
-    computes the errors from the moments of the folds, in one pass: a linear fit
-    has a closed form, in which the iteration limit has no effect, so grid points
+    computes the errors from the moments of the folds and fits the winner: a linear
+    fit has a closed form, in which the iteration limit has no effect, so grid points
     that differ in it tie and the first wins. ``rows_per_part`` deals the training rows
-    out to more partitions while they are fitted, where the input has too few for them.
+    out to more partitions during the general search, where the input has too few for them.
     """
     if search not in ("general", "moments"):
         raise ValueError("search must be 'general' or 'moments'")
@@ -83,24 +82,10 @@ def tuned_regression(
             parallelism=parallelism,
             rows_per_part=rows_per_part,
         )
-        metrics, best_index, model = found.metrics, found.best_index, found.best_model
     else:
-        scores = ridge_search(train, features, "label", "fold", reg_params, folds=folds).scores
-        by_point = [scores[reg_params.index(p[line.regParam])] for p in points]
-        best_index = by_point.index(min(by_point))
-        metrics = data.sparkSession.createDataFrame(
-            [
-                (i, float(p[line.regParam]), float(p[line.maxIter]), s)
-                for i, (p, s) in enumerate(zip(points, by_point))
-            ],
-            "grid_index int, regParam double, maxIter double, metric double",
-        )
-        line.setParams(
-            regParam=points[best_index][line.regParam], maxIter=points[best_index][line.maxIter]
-        )
-        model = fit(steps, train, ["features", "label"], rows_per_part=rows_per_part)
-    scored = score(model, parts.test, "normFeatures", "prediction", "trueLabel")
-    return TunedRegression(parts, metrics, best_index, model, scored, rmse(scored, "trueLabel"))
+        found = cross_validate_ridge(train, features, steps, points, folds=folds, fold_column="fold")
+    scored = score(found.best_model, parts.test, "normFeatures", "prediction", "trueLabel")
+    return TunedRegression(parts, found.metrics, found.best_index, found.best_model, scored, rmse(scored, "trueLabel"))
 
 
 def arrival_delay(

@@ -2,11 +2,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabfold.catalogue import QUERIES
 from tabfold.operators.features import assembler, minmax_scaler
 from tabfold.operators.metrics import rmse, rmse_evaluator
 from tabfold.operators.models import chain, linear_regression
 from tabfold.operators.moments import Moments, moments_table, predict, ridge_search, solve
-from tabfold.operators.tuning import best_row, cross_validate, grid
+from tabfold.operators.tuning import best_row, cross_validate, cross_validate_ridge, grid
 from tabfold.sources import load_table
 
 FEATURES = ["l_quantity", "l_linenumber", "l_discount", "l_suppkey"]
@@ -157,3 +158,42 @@ def test_best_row_breaks_ties_by_the_smallest(spark):
     df = spark.createDataFrame([(2, 0.5), (3, 0.9), (4, 0.9)], "k int, m double")
     assert best_row(df, "m", larger=True, tie="k").first()["k"] == 3
     assert best_row(df, "m", larger=False, tie="k").first()["k"] == 2
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_regression_workflow_passes_over_its_rows_a_few_times(spark, folder):
+    assert jobs_of(spark, "flights", lambda: QUERIES["flight_like_regression"](spark, folder).collect()) <= 20
+
+
+def test_closed_form_search_equals_the_general_one_with_its_model(train, searched):
+    line = linear_regression("s")
+    points = grid([(line.regParam, [300.0, 0.01]), (line.maxIter, [10, 5])])
+    steps = chain(assembler(FEATURES), minmax_scaler("features", "s"), line)
+    found = cross_validate_ridge(train, FEATURES, steps, points, folds=3, fold_column="fold")
+    assert found.metrics.schema == searched.metrics.schema and found.best_index == searched.best_index
+    one, general = ([tuple(r) for r in s.metrics.orderBy("grid_index").collect()] for s in (found, searched))
+    assert [r[:3] for r in one] == [r[:3] for r in general]
+    assert [r[3] for r in one] == pytest.approx([r[3] for r in general], rel=1e-9)
+    fits = [s.best_model.stages[-1] for s in (found, searched)]
+    assert list(fits[0].coefficients) == pytest.approx(list(fits[1].coefficients), rel=1e-9)
+    assert fits[0].getRegParam() == fits[1].getRegParam() and fits[0].getMaxIter() == fits[1].getMaxIter()
+
+
+def test_closed_form_search_refuses_what_has_none(train):
+    def search(line, axes):
+        steps = chain(assembler(FEATURES), line)
+        return cross_validate_ridge(train, FEATURES, steps, grid(axes(line)), folds=3, fold_column="fold")
+
+    for odd in ({"elasticNetParam": 0.5}, {"solver": "l-bfgs"}, {"fitIntercept": False}):
+        with pytest.raises(ValueError, match="no linear regression with a closed form"):
+            search(linear_regression(**odd), lambda line: [(line.regParam, [0.3])])
+    with pytest.raises(ValueError, match="only penalty and iteration limit"):
+        search(linear_regression(), lambda line: [(line.elasticNetParam, [0.0, 0.5])])
