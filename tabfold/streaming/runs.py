@@ -8,12 +8,31 @@ from the state that the checkpoint keeps.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+# Rows of a key are joined to sessions in each task before they are sent to the one that keeps it.
+SETTINGS = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession) -> Iterator[None]:
+    """``SETTINGS`` for a query that starts within the block, as it copies the session's."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def file_stream(spark: SparkSession, path: str, schema: StructType, *, files_at_once: int | None = None) -> DataFrame:
     """Rows of Parquet files as they come, in the order of their modification times.
 
@@ -45,14 +64,15 @@ class Run:
 def run_available(stream: DataFrame, folder: str) -> Run:
     """Run ``stream`` over the rows that are there; ``folder`` holds its output and checkpoint and names the stream."""
     output, checkpoint = f"{folder}/output", f"{folder}/checkpoint"
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", output)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with settings(stream.sparkSession):
+        query = writer.start()
     # Progress is kept for the last batches only, so it is read while they run.
     seen: dict[int, dict] = {}
     ended = False

@@ -1,122 +1,40 @@
-"""Sessions of keys by state of our own: rows whose gaps are at most some length.
+"""Sessions of keys: rows whose gaps are at most some length.
 
-The state of a key is its open sessions, a few numbers each. Rows are merged into them
-in any order; a session is closed, written and forgotten once the watermark has passed
-its end by more than the gap, which a timer of the key sees to when no more rows come.
-Rows are first joined to runs within each batch of a task, so that a hot key sends runs
-and not rows to the one task that keeps it.
+The state has one row per open session, kept by Spark's session windows. Rows are merged
+into sessions in any order; a session is closed, written and forgotten once the watermark
+has passed its end by more than the gap. Rows are first joined to sessions within each task,
+so that a hot key sends sessions and not rows to the one task that keeps it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tabfold.streaming.runs import Run
 
-STATE = "starts array<long>, ends array<long>, counts array<long>, totals array<long>"
-
-
-def _merged(starts, ends, counts, totals, gap: int) -> list[np.ndarray]:
-    """Runs joined where the next starts at most ``gap`` after all before have ended."""
-    columns = [np.asarray(c, np.int64) for c in (starts, ends, counts, totals)]
-    order = np.argsort(columns[0], kind="stable")
-    starts, ends, counts, totals = (c[order] for c in columns)
-    reach = np.maximum.accumulate(ends)
-    first = np.flatnonzero(np.r_[True, starts[1:] - reach[:-1] > gap]) if len(starts) else np.zeros(0, np.int64)
-    last = np.r_[first[1:], len(starts)] - 1
-    if not len(first):
-        return [starts, ends, counts, totals]
-    return [starts[first], reach[last], np.add.reduceat(counts, first), np.add.reduceat(totals, first)]
-
-
-def _runs(gap: int):
-    """Rows (key, time, amount) joined to runs (key, start, end, n, total) within each batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch]).sort_by([("key", "ascending"), ("at", "ascending")])
-            n = table.num_rows
-            if not n:
-                continue
-            key, at = table["key"].combine_chunks(), table["at"].to_numpy()
-            amount = pc.fill_null(table["amount"], 0).to_numpy()
-            codes = key.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            begins = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (at[1:] - at[:-1] > gap)])
-            closes = np.r_[begins[1:], n] - 1
-            last = pa.array(at[closes], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    key.take(pa.array(begins)),
-                    pa.array(at[begins]),
-                    last,
-                    pa.array(closes - begins + 1),
-                    pa.array(np.add.reduceat(amount, begins)),
-                    last.cast(pa.timestamp("us")).cast(pa.timestamp("us", tz="UTC")),
-                ],
-                ["key", "start", "end", "n", "total", "seen"],
-            )
-
-    return run
-
-
-def _keep(gap: int):
-    def update(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = [np.asarray(x, np.int64) for x in state.get] if state.exists else [np.zeros(0, np.int64)] * 4
-        if not state.hasTimedOut:
-            for frame in frames:
-                new = [frame[c].to_numpy() for c in ("start", "end", "n", "total")]
-                held = _merged(*(np.concatenate([a, b]) for a, b in zip(held, new)), gap)
-        # The watermark is in milliseconds, times in microseconds; a row at the watermark may still come.
-        passed = state.getCurrentWatermarkMs() * 1000
-        closed = held[1] + gap < passed
-        if closed.any():
-            starts, ends, counts, totals = (x[closed] for x in held)
-            yield pd.DataFrame({"key": [key[0]] * len(starts), "start": starts, "end": ends, "n": counts, "total": totals})
-        held = [x[~closed] for x in held]
-        if len(held[0]):
-            state.update(tuple(x.tolist() for x in held))
-            state.setTimeoutTimestamp(max(int((held[1].min() + gap) // 1000) + 1, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-
-    return update
-
 
 def session_stream(stream: DataFrame, key: str, time: str, gap_seconds: float, delay: str, *, amount: str) -> DataFrame:
     """Closed sessions: ``key``, ``start`` and ``end`` in microseconds, rows ``n`` and ``total`` of a long column.
 
-    Rows without key or time belong to no session; null amounts add nothing. Runs whose
-    last row is older than the watermark are late: they are dropped and counted.
+    Rows without key or time belong to no session; null amounts add nothing. Rows that are
+    older than the watermark by the gap or more are late: they are dropped and counted. One that
+    is older by less than the gap joins a session that is open, or else begins one.
     """
-    gap = int(gap_seconds * 1_000_000)
     rows = stream.select(
-        F.col(key).alias("key"), F.unix_micros(F.col(time).cast("timestamp")).alias("at"), F.col(amount).cast("bigint").alias("amount")
+        F.col(key).alias("key"), F.col(time).cast("timestamp").alias("at"), F.coalesce(F.col(amount).cast("bigint"), F.lit(0)).alias("amount")
     ).where("key IS NOT NULL AND at IS NOT NULL")
-    kind = rows.schema["key"].dataType.simpleString()
-    runs = rows.mapInArrow(_runs(gap), f"key {kind}, start long, end long, n long, total long, seen timestamp")
-    return (
-        runs.withWatermark("seen", delay)
-        .groupBy("key")
-        .applyInPandasWithState(
-            _keep(gap), f"key {kind}, start long, end long, n long, total long", STATE, "append", GroupStateTimeout.EventTimeTimeout
-        )
-    )
+    window = F.session_window("at", f"{int(gap_seconds * 1_000_000)} microseconds").alias("window")
+    # A session ends as the watermark reaches its last row and the gap, but a row at the watermark may still come.
+    timed = rows.withWatermark("at", f"{delay} 1 millisecond")
+    found = timed.groupBy(window, "key").agg(F.max("at").alias("last"), F.count("*").alias("n"), F.sum("amount").alias("total"))
+    return found.select("key", F.unix_micros("window.start").alias("start"), F.unix_micros("last").alias("end"), "n", "total")
 
 
 def sessions_of(spark: SparkSession, run: Run, key_type: str) -> DataFrame:
     """All sessions of a run, those still open with ``final`` false, read from the state."""
     final = spark.read.schema(f"key {key_type}, start long, end long, n long, total long").parquet(run.output)
-    held = run.state(spark)
-    value = F.col("value.groupState")
-    zipped = F.explode(F.arrays_zip(value["starts"], value["ends"], value["counts"], value["totals"]))
-    still = held.select(F.col("key").getField(held.schema["key"].dataType.names[0]).alias("key"), zipped.alias("s"))
-    names = {"starts": "start", "ends": "end", "counts": "n", "totals": "total"}
-    still = still.select("key", *[F.col(f"s.{held}").alias(name) for held, name in names.items()])
+    # The window, the key and the aggregates in their order.
+    kept = f"struct<window: struct<start: timestamp, end: timestamp>, key: {key_type}, last: timestamp, n: bigint, total: bigint>"
+    value = run.state(spark).select(F.col("value").cast(kept).alias("s"))
+    still = value.select("s.key", F.unix_micros("s.window.start").alias("start"), F.unix_micros("s.last").alias("end"), "s.n", "s.total")
     return final.withColumn("final", F.lit(True)).unionByName(still.withColumn("final", F.lit(False)))

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tabfold.streaming import runs
 from tabfold.streaming import file_stream, run_available, session_stream, sessions_of, window_stream, windows_of
 
 SCHEMA = "user string, ts timestamp, x long"
@@ -113,6 +114,33 @@ def test_sessions_equal_gaps_and_islands(spark, tmp_path, by_time, delay):
     assert (spark.read.parquet(run.output).count() > 0) == by_time
 
 
+def test_keys_of_sessions_meet_no_python_and_hot_ones_are_joined_in_their_tasks(spark, tmp_path, capsys):
+    schema = files(spark, f"{tmp_path}/in", [[("hot", s, 1) for s in range(0, 5000, 50)]])
+    stream = session_stream(file_stream(spark, f"{tmp_path}/in", schema), "user", "ts", GAP, "600 seconds", amount="x")
+    stream.explain(extended=True)
+    plan = capsys.readouterr().out
+    assert "session_window" in plan and not any(s in plan for s in ("Pandas", "Python", "InArrow"))
+    name = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(name)
+    with runs.settings(spark):
+        assert spark.conf.get(name) == "true"
+    run = run_available(stream, f"{tmp_path}/run")
+    assert spark.conf.get(name) == before
+    assert of_sessions(spark, run) == [("hot", 0, 4950, 100, 100)]
+
+
+def test_sessions_of_rows_at_the_gap_and_at_the_watermark(spark, tmp_path):
+    # The second file's row is as late as the delay allows and a gap after the first session's end.
+    parts = [[("a", 0, 1), ("a", 100, 1), ("b", 300, 1)], [("a", 200, 1)], [("a", 301, None), ("c", 5000, 1)], [("z", 10, 1)]]
+    schema = files(spark, f"{tmp_path}/in", parts)
+    stream = session_stream(file_stream(spark, f"{tmp_path}/in", schema, files_at_once=1), "user", "ts", GAP, "100 seconds", amount="x")
+    run = run_available(stream, f"{tmp_path}/run")
+    assert of_sessions(spark, run) == [("a", 0, 200, 3, 3), ("a", 301, 301, 1, 0), ("b", 300, 300, 1, 1), ("c", 5000, 5000, 1, 1)]
+    assert run.late == 1
+    found = sessions_of(spark, run, "string")
+    assert [tuple(r) for r in found.where("not final").select("key", "n").collect()] == [("c", 1)]
+
+
 def test_restarts_add_nothing_twice(spark, tmp_path):
     rows = events(3)
     parts = dealt(rows, True)
