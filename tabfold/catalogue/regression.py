@@ -11,12 +11,12 @@ from tabfold.catalogue.registry import (
 )
 from tabfold.operators.holding import ROWS_PER_PART
 from tabfold.operators.features import assemble, assembler, minmax_scaler
-from tabfold.operators.metrics import rmse, rmse_evaluator
+from tabfold.operators.metrics import rmse
 from tabfold.operators.models import chain, coefficients, fit, linear_regression, score
 from tabfold.operators.moments import predict, ridge_search
 from tabfold.operators.relational import project
 from tabfold.operators.splits import with_hash_fold
-from tabfold.operators.tuning import cross_validate, grid
+from tabfold.operators.tuning import cross_validate_ridge, grid
 from tabfold.plans.holdout import hold_out
 from tabfold.plans.regression import MAX_ITERS, REG_PARAMS, tuned_regression
 from tabfold.sources import load_table, sql
@@ -230,16 +230,13 @@ def _cross_validated(spark: SparkSession, folder: str):
     assemble_stage = assembler(["l_quantity"])
     scale = minmax_scaler(assemble_stage.getOutputCol(), "normFeatures")
     line = linear_regression(scale.getOutputCol())
-    return cross_validate(
+    return cross_validate_ridge(
         _train_with_folds(spark, folder, ["l_quantity"]),
+        ["l_quantity"],
         chain(assemble_stage, scale, line),
-        rmse_evaluator(),
         grid([(line.regParam, REG_PARAMS), (line.maxIter, MAX_ITERS)]),
         folds=2,
-        seed=SEED,
         fold_column="fold",
-        parallelism=4,
-        rows_per_part=ROWS_PER_PART,
     )
 
 

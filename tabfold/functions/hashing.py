@@ -13,7 +13,7 @@ def _key_text(key: str, joined: bool) -> Column:
     text = F.col(key).cast("string")
     if joined:
         text = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("-"), F.lit("\\-"))
-    return F.when(text.isNull(), F.raise_error(F.lit(f"null in key column {key}"))).otherwise(text)
+    return F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null in key column {key}"))).otherwise(text)
 
 
 def hash_bucket(keys: Sequence[str], buckets: int, *, draw: int = 0) -> Column:

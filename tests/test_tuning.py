@@ -169,8 +169,9 @@ def jobs_of(spark, name, run):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_the_regression_workflow_passes_over_its_rows_a_few_times(spark, folder):
-    assert jobs_of(spark, "flights", lambda: QUERIES["flight_like_regression"](spark, folder).collect()) <= 20
+@pytest.mark.parametrize("name", ["flight_like_regression", "cv_metrics", "cv_best"])
+def test_searches_of_a_closed_form_pass_over_their_rows_a_few_times(spark, folder, name):
+    assert jobs_of(spark, name, lambda: QUERIES[name](spark, folder).collect()) <= 20
 
 
 def test_closed_form_search_equals_the_general_one_with_its_model(train, searched):
