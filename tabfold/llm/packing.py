@@ -33,14 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tabfold.llm.common import batches_by_bytes
+from tabfold.llm.common import batches_by_bytes, release_unused
 
 CLOSING_ID = 1
 ID_BYTES = 4
 # Tokens that a task gathers before it packs them.
 BLOCK_TOKENS = 1 << 21
 # Words whose ids a Python worker remembers from task to task, at some 200 bytes each.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
+# Bytes of texts that are split into words at a time; the words take some 15 times as much.
+SLICE_BYTES = 1 << 18
 # Room for the number of a partition's sequences beside the partition's own number.
 SEQUENCE_BITS = 40
 
@@ -266,7 +268,7 @@ def pack(
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         packer, types = Packer(limits, place), None
-        for batch in batches_by_bytes(batches, 1, 1 << 22):
+        for batch in batches_by_bytes(batches, 1, SLICE_BYTES):
             types = types or [batch.schema.field(0).type, *[pa.int64()] * 5, pa.binary()]
             keys, bodies = batch.column(0).to_pylist(), words.ids(batch.column(1).to_pylist())
             heads = words.ids(batch.column(2).to_pylist()) if prompt else [b""] * len(bodies)
@@ -277,5 +279,6 @@ def pack(
             yield from handed()
         packer.finish()
         yield from handed()
+        release_unused()
 
     return rows.mapInArrow(run, schema)

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabfold.llm.common import WORD_BYTES, WORD_TEXT, as_bytes, batches_by_bytes, numbered, settle
+from tabfold.llm.common import WORD_BYTES, WORD_TEXT, as_bytes, batches_by_bytes, numbered, release_unused, settle
 from tabfold.llm.mixing import n_words
 from tabfold.operators.ranges import PART, TIE, by_range
 
@@ -151,6 +151,7 @@ def _coarse(key: int, window: int):
                 [pa.array(hashes.view(np.int64)), pa.array(uid), pa.array(place)], ["key", "uid", "at"]
             )
         _known.clear()
+        release_unused()
 
     return run
 
@@ -185,6 +186,7 @@ def _fine(key: int, window: int, before: int, behind: int):
             columns = [hashes.view(np.int64), uid, place, left.view(np.int64), right.view(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "uid", "at", "left", "right"])
         _known.clear()
+        release_unused()
 
     return run
 

@@ -1,13 +1,17 @@
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents, with_clashes
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
+from tabfold.llm import common, packing
 from tabfold.llm.packing import Example, Limits, Packer, WordTokenizer, pack
 from tabfold.llm.queries import TOKENIZER, op8_packing
 
@@ -99,3 +103,36 @@ def test_query_and_empty(spark, folder):
     for p in op8_packing(spark, folder).collect():
         assert p.ids_crc32 == zlib.crc32(np.array(ids[p.doc_id][p.start : p.start + p.length], "<u4").tobytes())
     assert pack(documents(spark, []), FILE).collect() == []
+
+
+class OneBatch:
+    """Stands for a table: what ``pack`` would run in a task runs here."""
+
+    def __init__(self, spark):
+        self.schema = documents(spark, []).select("doc_id", "text").schema
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_memory_of_a_task(spark, monkeypatch):
+    """Words of a few texts are held at a time, not those of megabytes, and what is free goes back to the system."""
+    monkeypatch.setattr(packing.TaskContext, "get", classmethod(lambda _: SimpleNamespace(partitionId=lambda: 0)))
+    trims = []
+    monkeypatch.setattr(common, "_trim", lambda: trims.append)
+    rng = random.Random(2)
+    words = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(100)]
+    texts = [" ".join(rng.choices(words, k=5000)) for _ in range(300)]
+    batch = pa.record_batch([pa.array(range(300)), pa.array(texts)], names=["doc_id", "text"])
+    run = pack(OneBatch(spark), FILE)
+    assert sum(1 for _ in run(iter([batch.slice(0, 1)])))  # the tokenizer is loaded
+    trims.clear()
+    tracemalloc.start()
+    pieces = sum(b.num_rows for b in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces >= 300 and len(trims) >= 2
+    assert peak < 45 << 20
