@@ -39,10 +39,10 @@ CLOSING_ID = 1
 ID_BYTES = 4
 # Tokens that a task gathers before it packs them.
 BLOCK_TOKENS = 1 << 21
-# Words whose ids a Python worker remembers from task to task, at some 200 bytes each.
-KNOWN_WORDS = 200_000
+# Words whose ids a Python worker remembers from task to task, at some 150 bytes each.
+KNOWN_WORDS = 300_000
 # Bytes of texts that are split into words at a time; the words take some 15 times as much.
-SLICE_BYTES = 1 << 18
+SLICE_BYTES = 1 << 20
 # Room for the number of a partition's sequences beside the partition's own number.
 SEQUENCE_BITS = 40
 
@@ -94,9 +94,9 @@ class WordTokenizer:
         words = [PIECES.findall(t.lower()) if simple else None for t, simple in zip(texts, plain)]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        new = set().union(*filter(None, words)) - self.known.keys()
+        new = [w for w in set().union(*filter(None, words)) if w not in self.known]
         if new:
-            self._learn(list(new))
+            self._learn(new)
         of = self.known.__getitem__
         return [
             b"".join(map(of, w)) if w is not None else self._encode(self.tokenizer, t).tobytes() if t else b"" for t, w in zip(texts, words)

@@ -48,8 +48,10 @@ MIN_WORDS = 50
 COARSE, FINE = 12, 47
 # Bits of a word's tag; the neighbours of a key have to fit 64 bits.
 TAG_BITS = 21
-# Words whose hashes a task remembers.
-KNOWN_WORDS = 300_000
+# Words whose hashes a task remembers, at some 200 bytes each.
+KNOWN_WORDS = 100_000
+# Bytes of texts whose words are held at a time; words and hashes take some 20 times as much.
+SLICE_BYTES = 1 << 20
 # Rows of a table that may be broadcast, at some 20 bytes each.
 BROADCAST_ROWS = 1_000_000
 # A key on at least one in so many places is joined by broadcast.
@@ -142,7 +144,7 @@ def _own_places(chosen: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
 
 def _coarse(key: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_by_bytes(batches, 1, 1 << 22):
+        for batch in batches_by_bytes(batches, 1, SLICE_BYTES):
             words, counts = word_hashes(as_bytes(batch.column(1)))
             chosen, hashes = minimisers(words, counts, key, window)
             text, place = _own_places(chosen, counts)
@@ -160,7 +162,7 @@ def _fine(key: int, window: int, before: int, behind: int):
     """Selected long keys in the parts of the texts around their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_by_bytes(batches, 1, 1 << 22):
+        for batch in batches_by_bytes(batches, 1, SLICE_BYTES):
             words, counts = word_hashes(as_bytes(batch.column(1)))
             ends = np.cumsum(counts)
             starts = ends - counts
