@@ -19,6 +19,9 @@ from tabfold.session import shared_dir
 WORD_BYTES = rb"[^\x20\x09-\x0D]+"
 WORD_TEXT = r"[^\x20\x09-\x0D]+"
 
+# Bytes of a batch of rows on its way to a Python worker, and the session setting that says so.
+BATCH_BYTES, BATCH_SETTING = 1 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -43,6 +46,17 @@ def settle(df: DataFrame, stem: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let rows go to Python workers by the megabyte, unless the session names another size.
+
+    With batches of Spark's default, tens of megabytes, an executor's JVM keeps much of
+    what it has freed beside its heap, more from stage to stage, and each worker holds
+    a batch whole. The setting stays with the session, as a query runs after it is made.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -43,6 +43,8 @@ BLOCK_TOKENS = 1 << 21
 KNOWN_WORDS = 300_000
 # Bytes of texts that are split into words at a time; the words take some 15 times as much.
 SLICE_BYTES = 1 << 20
+# Sequences whose pieces are handed on at a time: a megabyte of ids where they are full.
+HANDED = 128
 # Room for the number of a partition's sequences beside the partition's own number.
 SEQUENCE_BITS = 40
 
@@ -217,17 +219,21 @@ class Packer:
                 break
         return total
 
-    def drain(self) -> None:
-        """Fill whole sequences while there is more than one left."""
+    def drain(self) -> Iterator[None]:
+        """Fill whole sequences while there is more than one left, one at each step."""
         while self.tokens >= 2 * self.limits.tokens and self._reach() >= self.limits.tokens:
-            self.fill(self.limits.tokens)
+            yield self.fill(self.limits.tokens)
 
-    def finish(self) -> None:
-        """Place everything; short sequences get lengths that are powers of two."""
+    def last(self) -> Iterator[None]:
+        """Place everything, a sequence at each step; short ones get lengths that are powers of two."""
         while self.tokens:
             reach = min(self.tokens, self._reach())
             whole = self.limits.tokens
-            self.fill(whole if reach >= whole else 1 << (reach.bit_length() - 1))
+            yield self.fill(whole if reach >= whole else 1 << (reach.bit_length() - 1))
+
+    def finish(self) -> None:
+        for _ in self.last():
+            pass
 
 
 def pack(
@@ -261,8 +267,9 @@ def pack(
             ids = example.ids[ID_BYTES * start : ID_BYTES * (start + n)]
             placed.append((example.key, start, n, example.size, first + sequence, offset, ids))
 
-        def handed() -> Iterator[pa.RecordBatch]:
-            if placed:
+        def handed(least: int = 1) -> Iterator[pa.RecordBatch]:
+            """What is placed, once it has pieces of so many sequences."""
+            if placed and placed[-1][4] - placed[0][4] >= least - 1:
                 columns = [pa.array(c, t) for c, t in zip(zip(*placed), types)]
                 placed.clear()
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
@@ -274,10 +281,12 @@ def pack(
             heads = words.ids(batch.column(2).to_pylist()) if prompt else [b""] * len(bodies)
             for key, head, body in zip(keys, heads, bodies):
                 packer.add(Example(key, head + body + closing, len(head) // ID_BYTES))
+                yield from handed(HANDED)
                 if packer.tokens >= BLOCK_TOKENS:
-                    packer.drain()
-            yield from handed()
-        packer.finish()
+                    for _ in packer.drain():
+                        yield from handed(HANDED)
+        for _ in packer.last():
+            yield from handed(HANDED)
         yield from handed()
         release_unused()
 

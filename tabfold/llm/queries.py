@@ -6,7 +6,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabfold.llm import embedding_dedup, language, licences, merkle, mixing, packing, repeats, simhash, spelling, topk, toxicity, url_filter, wrappers
-from tabfold.llm.common import hash_part, lower_ascii, table
+from tabfold.llm.common import hash_part, lower_ascii, small_batches, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -180,6 +180,7 @@ def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered()
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     pieces = packing.pack(table(spark, folder, "documents"), path(TOKENIZER))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
@@ -215,6 +216,7 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered()
 def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return repeats.repeats(table(spark, folder, "documents"))
 
 

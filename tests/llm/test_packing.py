@@ -136,3 +136,13 @@ def test_memory_of_a_task(spark, monkeypatch):
     tracemalloc.stop()
     assert pieces >= 300 and len(trims) >= 2
     assert peak < 45 << 20
+
+
+def test_pieces_are_handed_on_by_the_megabyte(spark, monkeypatch):
+    """A block of 2M tokens and its end do not wait for one large batch."""
+    monkeypatch.setattr(packing.TaskContext, "get", classmethod(lambda _: SimpleNamespace(partitionId=lambda: 0)))
+    texts = ["same words " * 900] * 1300
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    handed = list(pack(OneBatch(spark), FILE)(iter([batch])))
+    assert sum(sum(b["length"].to_pylist()) for b in handed) == 1300 * len(plain_ids(texts[:1])[0])
+    assert max(b.nbytes for b in handed) < 2 << 20
