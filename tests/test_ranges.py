@@ -170,6 +170,44 @@ def test_blocks_follow_the_intervals(spark):
     assert block_size(held((0, 1)).limit(0), placed.limit(0), 8) == 1
 
 
+def spans(spark, n, spread):
+    """Spans of many lengths, numbered out of order, some far longer than a stretch of places."""
+    start = F.col("id") * 10 + F.col("id") * 7 % 10
+    length = F.when(F.col("id") % 1000 == 5, n * 4).otherwise(F.col("id") * 31 % spread + 1)
+    return spark.range(n).select((F.col("id") * 7919 % n).alias("i"), start.alias("s"), (start + length).alias("e")).repartition(3)
+
+
+@pytest.mark.parametrize("spread", [25, 900, 9000])
+def test_spans_over_many_stretches_equal_a_nested_loop(spark, spread):
+    left, right = spans(spark, 3000, spread), spans(spark, 2500, spread // 2).toDF("j", "u", "w")
+    wanted = left.join(right, (F.col("s") < F.col("w")) & (F.col("u") < F.col("e"))).select("i", "j")
+    found = overlap_join(left, right, ("s", "e"), ("u", "w"), keep=["i", "j"], parts=5)
+    summed = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("i", "j").cast("decimal(20,0)"))).first()
+    assert found.columns == ["i", "j"] and summed(found) == summed(wanted)
+    within = points_in_intervals(right, left, "u", "s", "e", parts=5).select("i", "j")
+    assert summed(within) == summed(left.join(right, (F.col("s") <= F.col("u")) & (F.col("u") < F.col("e"))).select("i", "j"))
+
+
+def test_pairs_take_little_room_in_column_files(spark, tmp_path):
+    found = overlap_join(spans(spark, 6000, 40000), spans(spark, 6000, 40000).toDF("j", "u", "w"), ("s", "e"), ("u", "w"), parts=4).select("i", "j")
+    found.write.parquet(str(tmp_path / "pairs"))
+    rows = spark.read.parquet(str(tmp_path / "pairs")).count()
+    assert rows > 10_000_000 and sum(p.stat().st_size for p in (tmp_path / "pairs").glob("*.parquet")) < 0.3 * rows
+
+
+def test_only_kept_columns_are_moved(spark):
+    left, right = spans(spark, 50, 100).withColumn("text", F.lit("x")), spans(spark, 50, 100).toDF("j", "u", "w")
+    found = overlap_join(left, right, ("s", "e"), ("u", "w"), keep=["i", "w"], parts=4)
+    assert found.columns == ["i", "w"]
+    stored = {spark.read.parquet(f).schema.simpleString() for f in found.inputFiles()}
+    assert stored and not any(re.search(r"\b(text|j|s|u):", kinds) for kinds in stored)
+    none = overlap_join(left, right, ("s", "e"), ("u", "w"), keep=["j"], parts=4)
+    whole = overlap_join(left, right, ("s", "e"), ("u", "w"), parts=4)
+    assert none.columns == ["j"] and rows_of(none) == rows_of(whole.select("j"))
+    with pytest.raises(ValueError):
+        overlap_join(left, right, ("s", "e"), ("u", "w"), keep=["nothing"])
+
+
 def test_clashing_columns_are_refused(spark):
     one = spark.createDataFrame([(1, 2, 3)], "k long, s long, e long")
     with pytest.raises(ValueError):
